@@ -134,6 +134,9 @@ def finalize(
     first valid use puts into the audit.  Bounds are compared as exact texts.
     Winners and first uses are found by aggregation, never by a window over all
     requests of a key, so a key holding most of the requests stays parallel.
+
+    The requests with the audit rows they meet are checkpointed: the audit is
+    joined once, and rows appended to it later cannot change the judgement.
     """
     recorded = audit.select(
         "pipeline_run_id",
@@ -145,7 +148,7 @@ def finalize(
             "duration_seconds": seconds_crossed(F.col("start_time"), F.col("end_time")),
             "_argument_error": _argument_error(),
         }
-    ).join(recorded, "pipeline_run_id", "left")
+    ).join(recorded, "pipeline_run_id", "left").checkpoint()
 
     fresh = seen.where(
         F.col("_known").isNull()

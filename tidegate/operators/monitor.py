@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidegate.functions.text import match_key, source_entity, source_name
 from tidegate.operators.finalize import may_advance
+from tidegate.operators.sizes import small_side
 from tidegate.schemas import STATUS_PRECEDENCE
 
 SUMMARY = (
@@ -24,64 +25,68 @@ def _severity(status: Column) -> Column:
     return rank
 
 
+def _named(audit: DataFrame) -> DataFrame:
+    """Audit rows with the key under which spellings of one source count as equal."""
+    return audit.withColumn("_name", match_key(source_name(F.col("source_system"))))
+
+
+def _display_names(named: DataFrame) -> DataFrame:
+    """One spelling per source: the first in text order."""
+    spellings = named.select("_name", source_name(F.col("source_system")).alias("_text")).distinct()
+    return small_side(spellings.groupBy("_name").agg(F.min("_text").alias("source_system")))
+
+
 def source_batch(audit: DataFrame) -> DataFrame:
     """One row per source system and batch.
 
-    The facts are first summed by the name as spelled, where the running sums
-    have fixed width and combine before the shuffle; spellings that differ in
-    case are then merged on the much smaller result.
+    All running values have fixed width, so tasks combine their rows by hashing
+    before the one shuffle.  Display names are looked up afterwards, among the
+    few sources there are, rather than carried through the aggregate.
     """
+    named = _named(audit)
+    return _summarise(named, _display_names(named))
+
+
+def _summarise(named: DataFrame, display_names: DataFrame) -> DataFrame:
     status = F.upper("status")
     is_status = lambda code: F.sum(F.when(status == code, 1).otherwise(0))
-    by_spelling = (
-        audit.select(
-            source_name(F.col("source_system")).alias("source_system"),
-            "batch_id",
-            "status",
-            F.coalesce("source_row_count", F.lit(0)).alias("_source"),
-            F.coalesce("target_row_count", F.lit(0)).alias("_target"),
-            "start_time",
-            "end_time",
-        )
-        .groupBy("source_system", "batch_id")
-        .agg(
-            F.count(F.lit(1)).alias("object_count"),
-            is_status("SUCCESS").alias("success_count"),
-            is_status("FAILED").alias("failed_count"),
-            is_status("SKIPPED").alias("skipped_count"),
-            F.sum("_source").alias("source_rows"),
-            F.sum("_target").alias("target_rows"),
-            F.min("start_time").alias("batch_start_time"),
-            F.max("end_time").alias("batch_end_time"),
-            F.max(_severity(status)).alias("_severity"),
-        )
+    names = F.array(*[F.lit(code) for code in reversed(STATUS_PRECEDENCE)])
+    batches = named.groupBy("_name", "batch_id").agg(
+        F.count(F.lit(1)).alias("object_count"),
+        is_status("SUCCESS").alias("success_count"),
+        is_status("FAILED").alias("failed_count"),
+        is_status("SKIPPED").alias("skipped_count"),
+        F.sum(F.coalesce("source_row_count", F.lit(0))).alias("source_rows"),
+        F.sum(F.coalesce("target_row_count", F.lit(0))).alias("target_rows"),
+        F.min("start_time").alias("batch_start_time"),
+        F.max("end_time").alias("batch_end_time"),
+        F.max(_severity(status)).alias("_severity"),
     )
-    totals = ("object_count", "success_count", "failed_count", "skipped_count",
-              "source_rows", "target_rows")
-    merged = by_spelling.groupBy(match_key(F.col("source_system")).alias("_name"), "batch_id").agg(
-        F.min("source_system").alias("source_system"),
-        *[F.sum(name).alias(name) for name in totals],
-        F.min("batch_start_time").alias("batch_start_time"),
-        F.max("batch_end_time").alias("batch_end_time"),
-        F.max("_severity").alias("_severity"),
+    return (
+        batches.join(display_names, "_name")
+        .withColumn("source_status", F.element_at(names, F.col("_severity")))
+        .select(*SUMMARY)
     )
-    names = F.array(*[F.lit(code) for code in reversed(STATUS_PRECEDENCE)])
-    return merged.withColumn("source_status", F.element_at(names, F.col("_severity"))).select(*SUMMARY)
 
 
 def latest_source(audit: DataFrame) -> DataFrame:
     """The most recent batch of each source; equal end times go to the later id.
 
-    An aggregate keeps one candidate per task, where a ranking window would send
-    all batches of a source to one task.
+    A batch ends with its last row, so the latest batch is the one holding the
+    source's latest end time.  It is found by two aggregates over few columns,
+    each reduced to one row per source in every task; only the rows of those
+    batches are then summed.  No shuffle carries all batches.
     """
-    batches = source_batch(audit)
-    newest = F.max_by(F.struct(*SUMMARY), F.struct("batch_end_time", "batch_id"))
-    return (
-        batches.groupBy(match_key(F.col("source_system")).alias("_name"))
-        .agg(newest.alias("_row"))
-        .select("_row.*")
+    named = _named(audit)
+    ends = named.select("_name", "batch_id", "end_time")
+    newest = small_side(ends.groupBy("_name").agg(F.max("end_time").alias("end_time")))
+    chosen = small_side(
+        ends.join(newest, ["_name", "end_time"])
+        .groupBy("_name")
+        .agg(F.max("batch_id").alias("batch_id"))
     )
+    rows = named.join(chosen, ["_name", "batch_id"], "left_semi")
+    return _summarise(rows, _display_names(named))
 
 
 def object_history(audit: DataFrame) -> DataFrame:
@@ -117,8 +122,10 @@ def history_totals(history: DataFrame, dimensions: list[str]) -> DataFrame:
 
 def history_of(history: DataFrame, sources: DataFrame) -> DataFrame:
     """All history of the selected sources, not only their latest batch."""
-    chosen = sources.where(F.col("source_system").isNotNull()).select(
-        match_key(F.col("source_system")).alias("_name")
+    chosen = small_side(
+        sources.where(F.col("source_system").isNotNull()).select(
+            match_key(F.col("source_system")).alias("_name")
+        )
     )
     return (
         history.withColumn("_name", match_key(F.col("source_system")))

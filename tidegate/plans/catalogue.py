@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidegate.plans import control, monitoring
+from tidegate.plans import control, loading, monitoring
 
-MODULES = (monitoring, control)
+MODULES = (monitoring, loading, control)
 
 
 def queries() -> dict:

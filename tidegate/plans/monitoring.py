@@ -13,9 +13,10 @@ QUERIES, SQL = {}, {}
 
 _BATCHES = """
 named AS (
-  SELECT *, coalesce(nullif(trim(source_system), ''), 'UNKNOWN') AS name FROM audit),
+  SELECT *, min(clean) OVER (PARTITION BY lower(clean)) AS name FROM (
+    SELECT *, coalesce(nullif(trim(source_system), ''), 'UNKNOWN') AS clean FROM audit)),
 batches AS (
-  SELECT min(name) AS source_system, batch_id, count(*) AS object_count,
+  SELECT name AS source_system, batch_id, count(*) AS object_count,
     CAST(sum(CASE WHEN status = 'SUCCESS' THEN 1 ELSE 0 END) AS BIGINT) AS success_count,
     CAST(sum(CASE WHEN status = 'FAILED' THEN 1 ELSE 0 END) AS BIGINT) AS failed_count,
     CAST(sum(CASE WHEN status = 'SKIPPED' THEN 1 ELSE 0 END) AS BIGINT) AS skipped_count,
@@ -26,7 +27,7 @@ batches AS (
       WHEN bool_or(status = 'CANCELLED') THEN 'CANCELLED'
       WHEN bool_or(status = 'WARN') THEN 'WARN'
       WHEN bool_or(status = 'SUCCESS') THEN 'SUCCESS' ELSE 'SKIPPED' END AS source_status
-  FROM named GROUP BY lower(name), batch_id),
+  FROM named GROUP BY name, batch_id),
 latest AS (
   SELECT * EXCLUDE (place) FROM (
     SELECT *, row_number() OVER (PARTITION BY lower(source_system)

@@ -22,20 +22,18 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the settings the operators rely on and return the session."""
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_root(spark))
     return spark
 
 
 def shared_root(spark: SparkSession) -> str:
     """Folder all executors can reach: the cluster's ``spark.checkpoint.dir``.
 
-    Only where a session names none (unit tests) is a local folder made and
-    registered as the checkpoint folder.
+    Only where a session names none (unit tests) is a local folder made.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="tidegate-")
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    return (root or tempfile.mkdtemp(prefix="tidegate-")).rstrip("/")
 
 
 def work_folder(spark: SparkSession, label: str) -> str:
