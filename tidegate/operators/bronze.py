@@ -61,19 +61,20 @@ def orphan_executions(bronze: DataFrame, audit: DataFrame) -> DataFrame:
     return present.join(done, EXECUTION, "left_anti")
 
 
-def _folder(spark: SparkSession, path: str):
+def folder_of(spark: SparkSession, path: str):
+    """The file system of a path and the path as its object."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    files, target = _folder(spark, path)
+    files, target = folder_of(spark, path)
     return files.exists(target)
 
 
 def remove_folder(spark: SparkSession, path: str) -> bool:
     """Remove one folder tree; True when nothing is left there."""
-    files, target = _folder(spark, path)
+    files, target = folder_of(spark, path)
     if files.exists(target):
         files.delete(target, True)
     return not files.exists(target)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidegate.plans import control, loading, monitoring
+from tidegate.plans import control, filefeeds, loading, monitoring, quality
 
-MODULES = (monitoring, loading, control)
+MODULES = (monitoring, loading, filefeeds, control, quality)
 
 
 def queries() -> dict:

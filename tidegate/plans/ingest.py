@@ -14,6 +14,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tidegate.errors import BRONZE_CLEANUP_FAILED, LoadError
 from tidegate.functions.text import MESSAGE_LIMIT, PAIRED_MESSAGE_LIMIT
@@ -22,10 +23,15 @@ from tidegate.operators.configs import LARGEST_PAGE, checked_page_size
 from tidegate.operators.lineage import stamp_file_lineage, stamp_lineage, utc_now_text
 from tidegate.plans.store import ControlStore
 from tidegate.schemas import FINALIZE_REQUEST
+from tidegate.session import local_frame
 from tidegate.sources.files import discover, modified_window
 from tidegate.sources.readers import READERS, named_read_failure, parse_options, reader_for
 from tidegate.sources.tables import upper_bound, window_rows
 
+SOURCE_BOUND = StructType(
+    [StructField("config_id", IntegerType()), StructField("source_upper_bound", StringType())]
+)
+
 TableSource = Callable[[Row], DataFrame]
 
 
@@ -48,7 +54,7 @@ class LoadCycle:
         started = utc_now_text()
         base = self.store.version()
         calls = [self._finish(plan, started) for plan in self._plan(wanted, started, base)]
-        facts = self.spark.createDataFrame(calls, FINALIZE_REQUEST)
+        facts = local_frame(self.spark, calls, FINALIZE_REQUEST)
         judged = finalize.finalize(
             facts, self.store.audit(base), self.store.state(base), self.configs
         )
@@ -75,7 +81,7 @@ class LoadCycle:
             if row.decision == "DATABASE" and row.route == "SQL_SERVER|INCREMENTAL"
             and row.run_type.upper() == "REGULAR"
         ]
-        bounds = self.spark.createDataFrame(limits, "config_id int, source_upper_bound string")
+        bounds = local_frame(self.spark, limits, SOURCE_BOUND)
         windowed = windows.plan_windows(
             wanted, self.configs, self.store.state(base), bounds, started
         ).collect()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidegate.operators import bronze
 from tidegate.operators.lineage import stamp_lineage
@@ -10,8 +11,8 @@ from tidegate.operators.reconcile import content_reconcile, contiguity, resumabl
 from tidegate.plans import frames
 from tidegate.plans.ingest import LoadCycle
 from tidegate.plans.store import ControlStore
-from tidegate.schemas import AUDIT, CONFIG, CONNECTIONS, STATE
-from tidegate.session import work_folder
+from tidegate.schemas import AUDIT, CONFIG, CONNECTIONS, RUN_REQUEST, STATE
+from tidegate.session import local_frame, work_folder
 from tidegate.sources import ranges
 from tidegate.sources.tables import upper_bound, window_rows
 
@@ -97,12 +98,13 @@ def _append_orders(spark, folder):
 
 
 def _audit_of_orders(spark):
-    return spark.createDataFrame(
+    return local_frame(
+        spark,
         [
             ("B1", "run:F", "SUCCESS"), ("B1", "run:O", "SUCCESS"), ("B2", "run:P", "FAILED"),
             ("B2", "run:F", "SUCCESS"),
         ],
-        "batch_id string, pipeline_run_id string, status string",
+        StructType([f for f in AUDIT if f.name in ("batch_id", "pipeline_run_id", "status")]),
     )
 
 
@@ -214,18 +216,19 @@ def load_cycle(spark, folder):
     """Three runs of one incremental object: load, nothing new, backfill."""
     root = work_folder(spark, "cycle")
     store = ControlStore(spark, root)
-    configs = spark.createDataFrame(
+    configs = local_frame(
+        spark,
         [(1, "SHOP", "src", "sales", "orders", None, "DATABASE", None, None, None, None, "lake",
           "sales", "orders", "INCREMENTAL", "o_orderdate", True)],
         CONFIG,
     )
-    connections = spark.createDataFrame(
-        [("src", "SQL_SERVER", "{}"), ("lake", "LAKEHOUSE", "{}")], CONNECTIONS
+    connections = local_frame(
+        spark, [("src", "SQL_SERVER", "{}"), ("lake", "LAKEHOUSE", "{}")], CONNECTIONS
     )
-    first = spark.createDataFrame(
-        [(1, "o_orderdate", "1998-01-01T00:00:00", None, None, None)], STATE
+    first = local_frame(
+        spark, [(1, "o_orderdate", "1998-01-01T00:00:00", None, None, None)], STATE
     )
-    store.commit(0, spark.createDataFrame([], AUDIT), first)
+    store.commit(0, local_frame(spark, [], AUDIT), first)
     orders = frames.table(spark, folder, "orders")
     for step, request in enumerate(
         [(1, "REGULAR", "", ""), (1, "REGULAR", "", ""),
@@ -234,10 +237,7 @@ def load_cycle(spark, folder):
         cycle = LoadCycle(
             spark, store, configs, connections, f"{root}/lake", lambda row: orders, "", f"B{step}"
         )
-        wanted = spark.createDataFrame(
-            [request], "config_id int, run_type string, lower_bound string, upper_bound string"
-        )
-        cycle.run(wanted)
+        cycle.run(local_frame(spark, [request], RUN_REQUEST))
     loaded = bronze.read_committed(
         bronze.read_bronze(spark, f"{root}/lake/sales/orders"), store.audit()
     )

@@ -15,6 +15,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidegate.errors import WATERMARK_CONFLICT, LoadError
 from tidegate.schemas import AUDIT, STATE
+from tidegate.session import local_frame
 
 
 @dataclass
@@ -35,7 +36,7 @@ class ControlStore:
     def state(self, version: int | None = None) -> DataFrame:
         number = self.version() if version is None else version
         if number == 0:
-            return self.spark.createDataFrame([], STATE)
+            return local_frame(self.spark, [], STATE)
         return self.spark.read.schema(STATE).parquet(f"{self.root}/state/version={number}")
 
     def audit(self, version: int | None = None) -> DataFrame:
@@ -43,7 +44,7 @@ class ControlStore:
         number = self.version() if version is None else version
         files, folder = self._path("audit")
         if number == 0 or not files.exists(folder):
-            return self.spark.createDataFrame([], AUDIT)
+            return local_frame(self.spark, [], AUDIT)
         stored = StructType([*AUDIT.fields, StructField("version", IntegerType())])
         rows = self.spark.read.schema(stored).parquet(f"{self.root}/audit")
         return rows.where(F.col("version") <= number).drop("version")

@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 # Settings the operators rely on; all are runtime settings of the session.
 SETTINGS = {
@@ -39,3 +42,15 @@ def shared_root(spark: SparkSession) -> str:
 def work_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder name below the shared root; nothing is created yet."""
     return f"{shared_root(spark)}/tidegate/{label}-{uuid.uuid4().hex}"
+
+
+def local_frame(spark: SparkSession, rows: list[tuple] | list[dict], schema: StructType) -> DataFrame:
+    """A frame of driver-side rows whose exact size Catalyst knows.
+
+    Frames made from plain Python lists have no size, so every join with one
+    would be planned as a shuffle.
+    """
+    names = schema.fieldNames()
+    records = [row if isinstance(row, dict) else dict(zip(names, row)) for row in rows]
+    table = pa.Table.from_pylist(records, schema=to_arrow_schema(schema))
+    return spark.createDataFrame(table, schema=schema)

@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 
 from tidegate.operators.bronze import append_execution, delete_execution
 from tidegate.operators.lineage import stamp_file_lineage, stamp_lineage, utc_now_text
-from tidegate.sources.readers import _checked_delimited_options
+from tidegate.sources.readers import delimited_settings
 
 
 def load_available_files(
@@ -30,7 +30,7 @@ def load_available_files(
     """
     incoming = (
         spark.readStream.schema(schema)
-        .options(**_checked_delimited_options(options))
+        .options(**delimited_settings(options))
         .option("enforceSchema", "false")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", options.get("file_name_pattern") or "*")
