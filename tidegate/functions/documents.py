@@ -6,30 +6,32 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _single_value(text: Column) -> Column:
-    # Parsers stop after the first value; inside brackets anything that follows
-    # the value breaks the parse or adds a second element.
-    wrapped = F.concat(F.lit("["), text, F.lit("]"))
-    return F.try_parse_json(wrapped).isNotNull() & (F.json_array_length(wrapped) == 1)
+def bracketed(text: Column) -> Column:
+    """The text parsed as the only element of an array.
 
+    Parsers stop after the first value; inside brackets anything that follows it
+    breaks the parse or becomes a second element.
+    """
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
 
-def _opens_with(text: Column, mark: str) -> Column:
+
+def opens_with(text: Column, mark: str) -> Column:
     return F.startswith(F.ltrim(text, F.lit("\t\n\r ")), F.lit(mark))
 
 
+def _is_one(text: Column, mark: str) -> Column:
+    elements = F.try_variant_get(bracketed(text), "$", "array<variant>")
+    return F.coalesce(opens_with(text, mark) & (F.size(elements) == 1), F.lit(False))
+
+
 def is_json_array(text: Column) -> Column:
     """True for one complete JSON array; false for NULL and anything else."""
-    return F.coalesce(_opens_with(text, "[") & _single_value(text), F.lit(False))
+    return _is_one(text, "[")
 
 
 def is_json_object(text: Column) -> Column:
     """True for one complete JSON object; false for NULL and anything else."""
-    return F.coalesce(_opens_with(text, "{") & _single_value(text), F.lit(False))
-
-
-def array_items(text: Column) -> Column:
-    """Items of a JSON array as variants; NULL when it is none."""
-    return F.try_variant_get(F.try_parse_json(text), "$", "array<variant>")
+    return _is_one(text, "{")
 
 
 def kind_of(value: Column) -> Column:

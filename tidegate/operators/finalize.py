@@ -63,16 +63,16 @@ def _argument_error() -> Column:
 
 @dataclass
 class Finalized:
-    """``judged``: every request with its outcome; the other frames follow from it.
-
-    Write or checkpoint ``judged`` before using more than one of them, so that
-    all are cut from the same evaluation.
-    """
+    """``judged``: every request with its outcome; the other frames follow from it."""
 
     judged: DataFrame
     state: DataFrame
     configs: DataFrame
 
+    def settled(self) -> Finalized:
+        """The same with the outcomes checkpointed, for use of several frames."""
+        return Finalized(self.judged.checkpoint(), self.state, self.configs)
+
     def outcomes(self) -> DataFrame:
         return self.judged.select(
             "call_order", "pipeline_run_id", "ingestion_config_id", "outcome", "error_number"

@@ -14,38 +14,62 @@ from tidegate.errors import (
     OBJECT_EXPECTED,
     LoadError,
 )
-from tidegate.functions.documents import array_items, is_json_array, kind_of
+from tidegate.functions.documents import bracketed, kind_of, opens_with
+from tidegate.functions.once import computed_once
 from tidegate.functions.text import duplicate_list, match_key
 from tidegate.schemas import RUN_TYPES
 
 LARGEST_ID = 2**31 - 1
 
 
-def _member(item: Column, key: str) -> Column:
-    return F.try_variant_get(item, f"$.{key}", "variant")
-
-
-def _config_id(item: Column) -> Column:
+def _config_id(fields: Column) -> Column:
     """The id where it is a JSON integer in INT range above zero, else NULL."""
-    number = F.try_variant_get(item, "$.config_id", "bigint")
-    usable = (kind_of(_member(item, "config_id")) == "BIGINT") & number.between(1, LARGEST_ID)
+    value = fields["config_id"]
+    number = F.try_variant_get(value, "$", "bigint")
+    usable = (kind_of(value) == "BIGINT") & number.between(1, LARGEST_ID)
     return F.when(usable, number.cast("int"))
 
 
-def _run_type(item: Column) -> Column:
+def _run_type(fields: Column) -> Column:
     """The upper-cased run type where it is a known text, else NULL."""
-    text = F.upper(F.try_variant_get(item, "$.run_type", "string"))
-    usable = (kind_of(_member(item, "run_type")) == "STRING") & text.isin(*RUN_TYPES)
-    return F.when(usable, text)
+    text = F.upper(F.try_variant_get(fields["run_type"], "$", "string"))
+    return F.when(text.isin(*RUN_TYPES), text)
+
+
+def _bound_is_legal(fields: Column, key: str) -> Column:
+    return F.coalesce(kind_of(fields[key]), F.lit("VOID")).isin("STRING", "VOID")
 
 
-def _bound_is_legal(item: Column, key: str) -> Column:
-    kind = kind_of(_member(item, key))
-    return kind.isNull() | kind.isin("STRING", "VOID")
+def _parsed(envelopes: DataFrame, text: str) -> DataFrame:
+    """Add whether the text is an array, and its items as maps.
 
+    The items are NULL as a whole when one of them is no object.
+    """
+    document = computed_once(envelopes, _document=bracketed(F.col(text)))
+    is_array = (
+        opens_with(F.col(text), "[")
+        & F.col("_document").isNotNull()
+        & F.try_variant_get("_document", "$[1]", "variant").isNull()
+    )
+    return computed_once(
+        document,
+        _is_array=F.coalesce(is_array, F.lit(False)),
+        _items=F.try_variant_get("_document", "$[0]", "array<map<string,variant>>"),
+    ).drop("_document")
 
-def _is_object(item: Column) -> Column:
-    return F.startswith(kind_of(item), F.lit("OBJECT"))
+
+def _repeated(ids: Column) -> Column:
+    """Values that occur more than once, in order, each named once."""
+    start = F.struct(
+        F.lit(None).cast("int").alias("last"), F.array().cast("array<int>").alias("found")
+    )
+
+    def step(seen: Column, one: Column) -> Column:
+        again = (seen["last"] == one) & ~F.array_contains(seen["found"], one)
+        found = F.when(again, F.array_append(seen["found"], one)).otherwise(seen["found"])
+        return F.struct(one.alias("last"), found.alias("found"))
+
+    return F.aggregate(F.array_sort(ids), start, step, lambda seen: seen["found"])
 
 
 def validate_requests(envelopes: DataFrame, text: str = "request_json") -> DataFrame:
@@ -55,40 +79,37 @@ def validate_requests(envelopes: DataFrame, text: str = "request_json") -> DataF
     a repeated config id.  Everything is computed inside the envelope's own row:
     nothing is exploded, so nothing is shuffled.
     """
-    parsed = envelopes.select(
-        "*",
-        is_json_array(F.col(text)).alias("_is_array"),
-        array_items(F.col(text)).alias("_items"),
-    )
-    checked = parsed.select(
-        *envelopes.columns,
-        "_is_array",
-        F.exists("_items", lambda item: ~_is_object(item)).alias("_not_object"),
-        F.exists(
-            "_items",
-            lambda item: _config_id(item).isNull()
-            | _run_type(item).isNull()
-            | ~_bound_is_legal(item, "lower_bound")
-            | ~_bound_is_legal(item, "upper_bound"),
-        ).alias("_bad_field"),
-        F.array_sort(F.transform("_items", _config_id)).alias("_ids"),
-    )
-    repeated = F.array_distinct(
-        F.filter("_ids", lambda one, at: (at > 0) & (F.get(F.col("_ids"), at - 1) == one))
+    facts = F.transform(
+        "_items",
+        lambda item: F.struct(
+            item.isNull().alias("not_object"),
+            _config_id(item).alias("id"),
+            (
+                _run_type(item).isNotNull()
+                & _bound_is_legal(item, "lower_bound")
+                & _bound_is_legal(item, "upper_bound")
+            ).alias("well_formed"),
+        ),
     )
+    checked = computed_once(_parsed(envelopes, text), _facts=facts)
+    ids = F.transform("_facts", lambda fact: fact["id"])
+    bad = F.exists("_facts", lambda fact: fact["id"].isNull() | ~fact["well_formed"])
     error = (
         F.when(~F.col("_is_array"), ARRAY_EXPECTED)
-        .when(F.col("_not_object"), OBJECT_EXPECTED)
-        .when(F.col("_bad_field"), BAD_REQUEST_FIELDS)
-        .when(F.size("_repeated") > 0, DUPLICATE_REQUEST)
+        .when(
+            F.col("_facts").isNull() | F.exists("_facts", lambda fact: fact["not_object"]),
+            OBJECT_EXPECTED,
+        )
+        .when(bad, BAD_REQUEST_FIELDS)
+        .when(F.size(F.array_distinct(ids)) < F.size(ids), DUPLICATE_REQUEST)
+    )
+    judged = computed_once(checked, error_code=error)
+    named = F.transform(_repeated(ids), lambda one: one.cast("string"))
+    listed = F.when(
+        F.col("error_code") == DUPLICATE_REQUEST, duplicate_list(F.array_join(named, ", "))
     )
-    return checked.withColumn("_repeated", repeated).select(
-        *envelopes.columns,
-        error.alias("error_code"),
-        F.when(
-            error == DUPLICATE_REQUEST,
-            duplicate_list(F.array_join(F.transform("_repeated", lambda n: n.cast("string")), ", ")),
-        ).alias("duplicate_ids"),
+    return computed_once(judged, duplicate_ids=listed).select(
+        *envelopes.columns, "error_code", "duplicate_ids"
     )
 
 
@@ -98,15 +119,16 @@ def request_items(envelopes: DataFrame, key: str, text: str = "request_json") ->
     Meant for envelopes that passed validation: items without a usable id or run
     type keep NULL there.
     """
-    items = envelopes.select(key, F.posexplode(array_items(F.col(text))).alias("item_no", "_item"))
+    items = _parsed(envelopes, text).select(key, F.posexplode("_items").alias("item_no", "_item"))
+    item = F.col("_item")
     bound = lambda name: F.coalesce(
-        F.try_variant_get("_item", f"$.{name}", "string"), F.lit("")
+        F.try_variant_get(item[name], "$", "string"), F.lit("")
     )
     return items.select(
         key,
         "item_no",
-        _config_id(F.col("_item")).alias("config_id"),
-        _run_type(F.col("_item")).alias("run_type"),
+        _config_id(item).alias("config_id"),
+        _run_type(item).alias("run_type"),
         bound("lower_bound").alias("lower_bound"),
         bound("upper_bound").alias("upper_bound"),
     )

@@ -10,6 +10,7 @@ from tidegate.errors import (
     STATE_NOT_FOUND,
     UNSUPPORTED_FILE_WATERMARK,
 )
+from tidegate.functions.once import computed_once
 from tidegate.functions.temporal import sortable_bound
 from tidegate.schemas import FILE_WATERMARK_FIELD
 
@@ -35,54 +36,79 @@ def plan_windows(
         F.upper("load_strategy").alias("_strategy"),
         "watermark_field",
     )
-    checkpoint = state.select(
-        F.col("ingestion_config_id").alias("config_id"),
-        "watermark_field",
-        F.col("last_watermark_value").alias("_state_value"),
+    # bounds kept per config are normalised once, before they meet the requests
+    checkpoint = computed_once(
+        state.select(
+            F.col("ingestion_config_id").alias("config_id"),
+            "watermark_field",
+            F.col("last_watermark_value").alias("_state_value"),
+        ),
+        _state_sort=sortable_bound(F.col("_state_value")),
     )
+    bounds = computed_once(source_max, _source_sort=sortable_bound(F.col("source_upper_bound")))
     known = config.join(checkpoint, ["config_id", "watermark_field"], "left").join(
-        source_max, "config_id", "left"
+        bounds, "config_id", "left"
     )
     incremental = F.col("_strategy") == "INCREMENTAL"
     is_file = F.col("_pattern") == "FILE"
     regular = F.upper("run_type") == "REGULAR"
+    start = F.lit(run_start)
 
-    low = F.when(regular, F.col("_state_value")).otherwise(F.col("lower_bound"))
-    high = (
-        F.when(~regular, F.col("upper_bound"))
-        .when(is_file, F.lit(run_start))
-        .otherwise(F.col("source_upper_bound"))
-    )
-    low_sort, high_sort = sortable_bound(low), sortable_bound(high)
-    no_source_rows = regular & ~is_file & high.isNull()
-    unchanged = regular & ~is_file & (high_sort == low_sort)
-    grows = F.coalesce(high_sort > low_sort, F.lit(False))
+    def chosen(state_value, source_value, file_value, low_request, high_request):
+        low = F.when(regular, state_value).otherwise(low_request)
+        high = F.when(~regular, high_request).when(is_file, file_value).otherwise(source_value)
+        return low, high
 
+    low, high = chosen(
+        F.col("_state_value"), F.col("source_upper_bound"), start,
+        F.col("lower_bound"), F.col("upper_bound"),
+    )
+    low_sort, high_sort = chosen(
+        F.col("_state_sort"), F.col("_source_sort"), sortable_bound(start),
+        sortable_bound(F.col("lower_bound")), sortable_bound(F.col("upper_bound")),
+    )
+    ranged = computed_once(
+        requests.join(known, "config_id"),
+        _low=low,
+        _high=high,
+        _low_sort=low_sort,
+        _high_sort=high_sort,
+    )
+    from_table = regular & ~is_file
+    nothing_new = from_table & (
+        F.col("_high").isNull()
+        | F.coalesce(F.col("_high_sort") == F.col("_low_sort"), F.lit(False))
+    )
+    grows = F.coalesce(F.col("_high_sort") > F.col("_low_sort"), F.lit(False))
     error = F.when(
-        incremental & is_file & (F.col("watermark_field") != FILE_WATERMARK_FIELD),
-        UNSUPPORTED_FILE_WATERMARK,
-    ).when(incremental & F.col("_state_value").isNull(), STATE_NOT_FOUND).when(
-        incremental & ~no_source_rows & ~F.coalesce(unchanged, F.lit(False)) & ~grows,
-        INVALID_PROCESSING_BOUNDARY,
+        incremental,
+        F.when(
+            is_file & (F.col("watermark_field") != FILE_WATERMARK_FIELD),
+            UNSUPPORTED_FILE_WATERMARK,
+        )
+        .when(F.col("_state_value").isNull(), STATE_NOT_FOUND)
+        .when(~nothing_new & ~grows, INVALID_PROCESSING_BOUNDARY),
     )
+    failed = F.col("window_error").isNotNull()
     outcome = (
-        F.when(error.isNotNull(), "FAILED")
-        .when(~incremental, "PROCESS")
-        .when(no_source_rows | unchanged, "SKIPPED")
+        F.when(failed, "FAILED")
+        .when(incremental & nothing_new, "SKIPPED")
         .otherwise("PROCESS")
     )
     # a failed lookup leaves the bounds unset
-    resolved = incremental & (error.isNull() | (error == INVALID_PROCESSING_BOUNDARY))
+    resolved = incremental & (
+        ~failed | F.col("window_error").eqNullSafe(INVALID_PROCESSING_BOUNDARY)
+    )
     return (
-        requests.join(known, "config_id", "inner")
-        .withColumns({"window_error": error, "window_class": outcome})
+        computed_once(ranged, window_error=error)
+        .withColumn("window_class", outcome)
         .select(
             *requests.columns,
             F.col("_pattern").alias("ingestion_pattern"),
             F.col("_strategy").alias("load_strategy"),
             "watermark_field",
-            F.when(resolved, low).alias("processing_lower_bound"),
-            F.when(resolved, high).alias("processing_upper_bound"),
+            F.when(resolved, F.col("_low")).alias("processing_lower_bound"),
+            F.when(resolved, F.col("_high")).alias("processing_upper_bound"),
             "window_class",
             "window_error",
             ((F.col("window_class") == "PROCESS") & regular & incremental).alias("may_advance"),

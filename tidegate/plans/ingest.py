@@ -57,7 +57,7 @@ class LoadCycle:
         facts = local_frame(self.spark, calls, FINALIZE_REQUEST)
         judged = finalize.finalize(
             facts, self.store.audit(base), self.store.state(base), self.configs
-        )
+        ).settled()
         self.store.commit(base, judged.audit_rows(), judged.new_state(utc_now_text()[:-1]))
         self._compensate(judged)
         return judged.outcomes()
