@@ -12,6 +12,8 @@ def discover(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """One row per matching file at any depth: path, modified time, length.
 
     File contents are not read: the unused content column is pruned from the scan.
+    As with every Spark file source, files without a byte and hidden files (names
+    starting with ``_`` or ``.``) are no data and are not listed.
     """
     files = (
         spark.read.format("binaryFile")
