@@ -39,6 +39,8 @@ FINALIZE_OUTCOME_LOOKUP_FAILED = "FINALIZE_OUTCOME_LOOKUP_FAILED"
 # Codes of our own, where no published code exists.
 INVALID_PROCESSING_BOUNDARY = "INVALID_PROCESSING_BOUNDARY"
 HEADER_MISMATCH = "HEADER_MISMATCH"
+SOURCE_QUERY_FAILED = "SOURCE_QUERY_FAILED"
+LOAD_FAILED = "LOAD_FAILED"
 
 
 class LoadError(Exception):

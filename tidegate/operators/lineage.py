@@ -41,10 +41,13 @@ def stamp_file_lineage(df: DataFrame, landing_root: str, source_root: str) -> Da
     be applied to the frame a file reader returned, before any join or grouping.
     """
     prefix = source_root if source_root.endswith("/") else source_root + "/"
-    landed = F.try_url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    uri = F.col("_metadata.file_path")
+    # decoding would read a plus sign as a space; most paths need no decoding at all
+    decoded = F.try_url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+    landed = F.when(F.contains(uri, F.lit("%")), decoded).otherwise(uri)
     relative = relative_to(landed, landing_root)
     return df.select(
         "*",
-        F.element_at(F.split(relative, "/"), -1).alias("_source_file_name"),
+        F.substring_index(relative, "/", -1).alias("_source_file_name"),
         F.concat(F.lit(prefix), relative).alias("_source_file_path"),
     )

@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
-from tidegate.operators import bronze, landing
+from tidegate.operators import bronze, landing, reconcile, requests
+from tidegate.operators import configs as config_ops
 from tidegate.operators.lineage import stamp_file_lineage, stamp_lineage
 from tidegate.plans import frames
 from tidegate.plans.frames_sql import AUDIT, with_tables
+from tidegate.plans.ingest import LoadCycle
 from tidegate.plans.loading import INSTANT
-from tidegate.session import work_folder
-from tidegate.sources.files import discover, modified_window, rows_in_modified_window
+from tidegate.plans.store import ControlStore
+from tidegate.schemas import AUDIT as AUDIT_ROWS
+from tidegate.schemas import CONFIG, CONNECTIONS, STATE
+from tidegate.session import local_frame, work_folder
+from tidegate.sources.files import (
+    discover,
+    modified_window,
+    relative_to,
+    rows_in_modified_window,
+)
 from tidegate.sources.readers import parse_options, reader_for
 from tidegate.streaming import feed, rollup
 
@@ -130,26 +142,36 @@ def landing_manifest(spark, folder):
     leaf = landing.landing_leaf(work_folder(spark, "landing"), "2026-01-31", 1, "B1", "R1")
     found = modified_window(discover(spark, root, "part-*.csv"), LOW, HIGH)
     manifest = landing.land_files(spark, found, root, leaf).checkpoint()
-    gate = landing.landing_gate(manifest)
-    copies = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(leaf)
-    intact = (
-        manifest.select("sha256")
-        .exceptAll(copies.select(F.sha2("content", 256)))
-        .agg((F.count(F.lit(1)) == 0).alias("copies_intact"))
+    gate = landing.landing_gate(manifest).select(
+        F.lit("gate").alias("check_name"),
+        ((F.col("outcome") == "PROCESS") & (F.col("bytes_read") == F.col("bytes_written"))).alias(
+            "passed"
+        ),
+        F.lit(None).cast("bigint").alias("row_count"),
+    )
+    copies = discover(spark, leaf).select(
+        relative_to(F.col("path"), leaf).alias("relative_path"), "length"
     )
-    landed = reader_for("DELIMITED_TEXT")(spark, leaf, OPTIONS)
-    rows = landed.agg(F.count(F.lit(1)).alias("landed_rows"), F.lit("PROCESS").alias("outcome"))
-    return gate.select(
-        "outcome", "error_code",
-        (F.col("bytes_read") == F.col("bytes_written")).alias("bytes_equal"),
-    ).join(rows, "outcome", "left").join(
-        intact.withColumn("outcome", F.lit("PROCESS")), "outcome", "left"
+    differing = reconcile.data_drift(
+        manifest.select("relative_path", F.col("written").alias("length")), copies,
+        ["relative_path", "length"],
+    ).agg(
+        F.lit("copies").alias("check_name"),
+        (F.count(F.lit(1)) == 0).alias("passed"),
+        F.lit(None).cast("bigint").alias("row_count"),
     )
+    landed = reader_for("DELIMITED_TEXT")(spark, leaf, OPTIONS).agg(
+        F.lit("rows").alias("check_name"),
+        (F.count(F.lit(1)) > 0).alias("passed"),
+        F.count(F.lit(1)).alias("row_count"),
+    )
+    return gate.unionByName(differing).unionByName(landed)
 
 
 SQL["landing_manifest"] = f"""
-SELECT 'PROCESS' AS outcome, CAST(NULL AS VARCHAR) AS error_code, true AS bytes_equal,
-  count(*) AS landed_rows, true AS copies_intact
+SELECT 'gate' AS check_name, true AS passed, CAST(NULL AS BIGINT) AS row_count
+UNION ALL SELECT 'copies', true, NULL
+UNION ALL SELECT 'rows', true, count(*)
 FROM pages WHERE page_id % {SLOTS} >= 2 AND page_id % {SLOTS} < 7"""
 
 
@@ -217,8 +239,85 @@ SELECT date_trunc('hour', start_time) AS hour_start,
 FROM audit GROUP BY 1, 2""",
 )
 
+def run_all(spark, folder):
+    """Eight objects twice: everything loads, then only the full loads repeat."""
+    outcome, _ = run_all_twice(spark, folder)
+    return outcome
+
+
+def run_all_twice(spark, folder):
+    """The audit of two run-all batches, and the seconds of the second one."""
+    root = work_folder(spark, "run-all")
+    feed_root = _page_feed(spark, folder)
+    store = ControlStore(spark, f"{root}/control")
+    # object, source table, strategy, watermark
+    tables = [
+        ("orders", "orders", "INCREMENTAL", "o_orderdate"),
+        ("lines", "lineitem", "INCREMENTAL", "l_shipdate"),
+        ("clicks", "events", "INCREMENTAL", "ts"),
+        ("orders_again", "orders", "INCREMENTAL", "o_orderdate"),
+        ("lines_again", "lineitem", "INCREMENTAL", "l_shipdate"),
+        ("customers", "customer", "FULL", None),
+    ]
+    rows = [
+        (n, "SHOP", "db", source, name, None, "DATABASE", None, None, None, None, "lake", "shop",
+         name, strategy, watermark, True)
+        for n, (name, source, strategy, watermark) in enumerate(tables, start=1)
+    ] + [
+        (n, "CARRIER", "ftp", None, name, feed_root, "FILE", "DELIMITED_TEXT", frames.FILE_OPTIONS,
+         None, f"landing/{name}", "lake", "carrier", name, strategy, watermark, True)
+        for n, (name, strategy, watermark) in enumerate(
+            [("pages", "FULL", None), ("new_pages", "INCREMENTAL", "last_modified_time")], start=7
+        )
+    ]
+    configs = local_frame(spark, rows, CONFIG)
+    connections = local_frame(
+        spark, [("db", "SQL_SERVER", "{}"), ("ftp", "SFTP", "{}"), ("lake", "LAKEHOUSE", "{}")],
+        CONNECTIONS,
+    )
+    none = local_frame(spark, [], STATE)
+    first = config_ops.missing_state(configs, none).select(
+        *[
+            F.col(f.name) if f.name in ("ingestion_config_id", "watermark_field",
+                                        "last_watermark_value")
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in STATE
+        ]
+    )
+    store.commit(0, local_frame(spark, [], AUDIT_ROWS), first)
+    seconds = 0.0
+    for batch in ("B1", "B2"):
+        cycle = LoadCycle(
+            spark, store, configs, connections, f"{root}/lake",
+            lambda row: frames.table(spark, folder, row.source_schema), "", batch,
+        )
+        start = time.perf_counter()
+        cycle.run(requests.resolve_scope(configs))
+        seconds = time.perf_counter() - start
+    audit = store.audit().select(
+        "batch_id", "source_object", "status", "error_code", "source_row_count", "target_row_count"
+    )
+    return audit, seconds
+
+
+SQL["run_all"] = """
+WITH loaded AS (
+  SELECT 'orders' AS source_object, true AS moving, count(*) AS n FROM orders
+  UNION ALL SELECT 'lines', true, count(*) FROM lineitem
+  UNION ALL SELECT 'clicks', true, count(*) FROM events
+  UNION ALL SELECT 'orders_again', true, count(*) FROM orders
+  UNION ALL SELECT 'lines_again', true, count(*) FROM lineitem
+  UNION ALL SELECT 'customers', false, count(*) FROM customer
+  UNION ALL SELECT 'pages', false, count(*) FROM pages
+  UNION ALL SELECT 'new_pages', true, count(*) FROM pages)
+SELECT 'B1' AS batch_id, source_object, 'SUCCESS' AS status, CAST(NULL AS VARCHAR) AS error_code,
+  n AS source_row_count, n AS target_row_count FROM loaded
+UNION ALL
+SELECT 'B2', source_object, CASE WHEN moving THEN 'SKIPPED' ELSE 'SUCCESS' END, NULL,
+  CASE WHEN moving THEN 0 ELSE n END, CASE WHEN moving THEN 0 ELSE n END FROM loaded"""
+
 for _query in (
     file_discovery, file_window, delimited_read, file_lineage, landing_manifest, landing_gate,
-    stream_file_feed, stream_audit_rollup,
+    stream_file_feed, stream_audit_rollup, run_all,
 ):
     QUERIES[_query.__name__] = _query

@@ -1,14 +1,15 @@
 """The load cycle: requests in, tables appended, one audit row per object out.
 
-One plan decides about all requested objects.  Each object that runs is one
-Spark job; a page holds at most 5000 objects, and their outcomes are judged
-together at the end.
+One plan decides about all requested objects.  Each object that runs is a Spark
+job of its own; several are submitted at a time.  A page holds at most 5000
+objects, and their outcomes are judged together at the end.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -16,7 +17,12 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from tidegate.errors import BRONZE_CLEANUP_FAILED, LoadError
+from tidegate.errors import (
+    BRONZE_CLEANUP_FAILED,
+    LOAD_FAILED,
+    SOURCE_QUERY_FAILED,
+    LoadError,
+)
 from tidegate.functions.text import MESSAGE_LIMIT, PAIRED_MESSAGE_LIMIT
 from tidegate.operators import bronze, finalize, landing, requests, routing, windows
 from tidegate.operators.configs import LARGEST_PAGE, checked_page_size
@@ -37,7 +43,11 @@ TableSource = Callable[[Row], DataFrame]
 
 @dataclass
 class LoadCycle:
-    """Everything one batch needs; ``open_table`` returns a source table by config row."""
+    """Everything one batch needs.
+
+    ``open_table`` returns the source table of a config row, which carries the
+    connection settings and the checked extraction options; see ``read_jdbc``.
+    """
 
     spark: SparkSession
     store: ControlStore
@@ -48,12 +58,15 @@ class LoadCycle:
     file_root: str = ""
     batch_id: str = field(default_factory=lambda: str(uuid.uuid4()))
     registry: dict = field(default_factory=lambda: READERS)
+    objects_at_once: int = 8
 
     def run(self, wanted: DataFrame) -> DataFrame:
         """Run the requests and return their outcomes after the audit is committed."""
         started = utc_now_text()
         base = self.store.version()
-        calls = [self._finish(plan, started) for plan in self._plan(wanted, started, base)]
+        plans = self._plan(wanted, started, base)
+        with ThreadPoolExecutor(self.objects_at_once) as submitters:
+            calls = list(submitters.map(lambda plan: self._finish(*plan, started), plans))
         facts = local_frame(self.spark, calls, FINALIZE_REQUEST)
         judged = finalize.finalize(
             facts, self.store.audit(base), self.store.state(base), self.configs
@@ -62,7 +75,9 @@ class LoadCycle:
         self._compensate(judged)
         return judged.outcomes()
 
-    def _plan(self, wanted: DataFrame, started: str, base: int) -> list[Row]:
+    def _plan(
+        self, wanted: DataFrame, started: str, base: int
+    ) -> list[tuple[Row, Row | None, Exception | None]]:
         """Decision, route, options and window of each request, as driver rows."""
         decided = requests.execution_decision(wanted, self.configs, self.connections)
         resolved = routing.check_copy_options(
@@ -75,58 +90,74 @@ class LoadCycle:
         )
         rows = decided.join(detail, "config_id", "left").limit(LARGEST_PAGE + 1).collect()
         checked_page_size(max(1, len(rows)))
-        limits = [
-            (row.config_id, self._source_bound(row))
+        needs_bound = [
+            row
             for row in rows
-            if row.decision == "DATABASE" and row.route == "SQL_SERVER|INCREMENTAL"
+            if row.decision == "DATABASE"
+            and row.route == "SQL_SERVER|INCREMENTAL"
             and row.run_type.upper() == "REGULAR"
         ]
-        bounds = local_frame(self.spark, limits, SOURCE_BOUND)
+        with ThreadPoolExecutor(self.objects_at_once) as submitters:
+            found = dict(submitters.map(self._source_bound, needs_bound))
+        failures = {n: value for n, value in found.items() if isinstance(value, Exception)}
+        limits = [(n, value) for n, value in found.items() if n not in failures]
         windowed = windows.plan_windows(
-            wanted, self.configs, self.store.state(base), bounds, started
+            wanted, self.configs, self.store.state(base),
+            local_frame(self.spark, limits, SOURCE_BOUND), started,
         ).collect()
         by_id = {row.config_id: row for row in windowed}
-        return [(row, by_id.get(row.config_id)) for row in rows]
-
-    def _source_bound(self, row: Row) -> str | None:
-        table = self.open_table(row)
-        value = upper_bound(table, row.watermark_field).select(
-            F.date_format("upper_bound", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-        )
-        return value.first()[0]
+        return [(row, by_id.get(row.config_id), failures.get(row.config_id)) for row in rows]
 
-    def _finish(self, plan: tuple[Row, Row | None], started: str) -> dict:
+    def _source_bound(self, row: Row) -> tuple[int, str | None | Exception]:
+        """The source's highest value as text, or the failure of looking it up."""
+        try:
+            value = upper_bound(self.open_table(row), row.watermark_field).select(
+                F.date_format("upper_bound", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+            )
+            return row.config_id, value.first()[0]
+        except Exception as failure:  # other objects go on
+            return row.config_id, failure
+
+    def _verdict(
+        self, row: Row, window: Row | None, lookup_failure: Exception | None
+    ) -> tuple[str, str | None]:
+        """How the object ends without a load, or PROCESS."""
+        if row.terminal_status:
+            return row.terminal_status, None if row.terminal_status == "SKIPPED" else row.decision
+        if row.route_error:
+            return "FAILED", row.route_error
+        if lookup_failure:
+            return "FAILED", SOURCE_QUERY_FAILED
+        if window.window_class != "PROCESS":
+            return window.window_class, window.window_error
+        if row.decision == "DATABASE" and row.copy_error:
+            return "FAILED", row.copy_error
+        return "PROCESS", None
+
+    def _finish(
+        self, row: Row, window: Row | None, lookup_failure: Exception | None, started: str
+    ) -> dict:
         """Load one object and describe how it ended."""
-        row, window = plan
         run_id = str(uuid.uuid4())
         low = window.processing_lower_bound if window else None
         high = window.processing_upper_bound if window else None
-        status, code, message, counts, leaf = "SUCCESS", None, None, (0, 0), None
-        problem = row.terminal_status and row.decision or row.route_error or row.copy_error
-        if row.terminal_status == "SKIPPED":
-            status, code = "SKIPPED", None
-        elif problem:
-            status, code = "FAILED", problem
-        elif window.window_class != "PROCESS":
-            status, code = window.window_class, window.window_error
-        else:
+        status, code = self._verdict(row, window, lookup_failure)
+        message = str(lookup_failure)[:MESSAGE_LIMIT] if lookup_failure else None
+        count, leaf = 0, None
+        if status == "PROCESS":
             try:
                 if row.decision == "FILE":
                     leaf = landing.landing_leaf(
                         f"{self.lake}/{row.landing_path.strip('/')}", started[:10],
                         row.config_id, self.batch_id, run_id,
                     )
-                    count = self._load_files(row, window, run_id, leaf)
-                else:
-                    count = self._load_table(row, window, run_id)
-                if count is None:
-                    status = "SKIPPED"
+                    loaded = self._load_files(row, window, run_id, leaf)
                 else:
-                    counts = (count, count)
+                    loaded = self._load_table(row, window, run_id)
+                status, count = ("SKIPPED", 0) if loaded is None else ("SUCCESS", loaded)
             except Exception as failure:  # every failure ends in an audit row
-                status = "FAILED"
+                status, count = "FAILED", None
                 code, message = self._clean_up(row, run_id, failure)
-                counts = (None, None)
         may_advance = bool(window and window.may_advance) and status == "SUCCESS"
         return {
             "ingestion_config_id": row.config_id,
@@ -146,8 +177,8 @@ class LoadCycle:
             "watermark_field": row.watermark_field,
             "processing_lower_bound": low,
             "processing_upper_bound": high,
-            "source_row_count": counts[0],
-            "target_row_count": counts[1],
+            "source_row_count": count,
+            "target_row_count": count,
             "status": status,
             "error_code": code,
             "error_message": message,
@@ -197,7 +228,7 @@ class LoadCycle:
     def _clean_up(self, row: Row, run_id: str, failure: Exception) -> tuple[str, str]:
         """Remove what a failed write left behind; returns the audit code and message."""
         named = named_read_failure(failure)
-        code = named.code if isinstance(named, LoadError) else "LOAD_FAILED"
+        code = named.code if isinstance(named, LoadError) else LOAD_FAILED
         try:
             bronze.delete_execution(self.spark, self._target(row), self.batch_id, run_id)
         except Exception as second:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.functions.temporal import bound_instant
@@ -47,8 +47,8 @@ def rows_in_modified_window(df: DataFrame, low: str, high: str) -> DataFrame:
     )
 
 
-def relative_to(path_column, root: str):
+def relative_to(path: Column, root: str) -> Column:
     """Path below the root, without scheme, query mark or leading slash."""
     plain_root = root.split("://", 1)[-1] if "://" in root else root.removeprefix("file:")
-    tail = F.substring_index(path_column, plain_root.rstrip("/") + "/", -1)
-    return F.regexp_replace(tail, r"\?.*$", "")
+    tail = F.substring_index(path, plain_root.rstrip("/") + "/", -1)
+    return F.substring_index(tail, "?", 1)
