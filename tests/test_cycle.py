@@ -5,6 +5,7 @@ import time
 
 import pytest
 
+from tidegate.errors import LoadError
 from tidegate.functions.text import MESSAGE_LIMIT
 from tidegate.operators import bronze, finalize
 from tidegate.operators.requests import resolve_scope
@@ -172,6 +173,74 @@ def test_losing_the_checkpoint_removes_the_rows(spark, folder, cycle):
         assert not row.landing_path or not os.path.exists(row.landing_path)
 
 
+def test_one_broken_source_does_not_stop_the_others(spark, cycle):
+    good = spark.sql("SELECT 1 AS id, timestamp_ntz'2026-01-01' AS at")
+
+    def open_table(row):
+        if row.source_object == "rows":
+            raise OSError("source is down")
+        return good
+
+    got = run(spark, cycle("B1", open_table), 1, 2)
+    assert (got[1].status, got[1].error_code) == ("FAILED", "SOURCE_QUERY_FAILED")
+    assert "source is down" in got[1].error_message
+    assert got[2].status == "SUCCESS"
+
+
+def test_run_scope(spark, cycle):
+    made = cycle("B1")
+    for text, code in (("{}", "51010"), ('[{"config_id":1}]', "51012")):
+        with pytest.raises(LoadError) as caught:
+            made.run_scope(text)
+        assert caught.value.code == code
+    with pytest.raises(LoadError) as caught:
+        made.run_scope('[{"config_id":1,"run_type":"REGULAR"}]', "SHOP")
+    assert caught.value.code == "AMBIGUOUS_RUN_SCOPE"
+    with pytest.raises(LoadError):
+        made.run_scope(page_size=0)
+    assert made.store.audit().count() == 0
+    made.run_scope(source_system="SHOP", page_size=1)
+    assert made.store.version() == 3  # the first state and one version per page
+    assert {r.status for r in made.store.audit().collect()} == {"SUCCESS"}
+
+
+def test_recovery_removes_only_confirmed_conflicts(spark, folder, cycle):
+    made = cycle("B1")
+    run(spark, made, 2)
+    done = made.store.audit().first()
+    lost = {**done.asDict(), "pipeline_run_id": "lost", "status": "FAILED",
+            "error_code": "WATERMARK_CONFLICT"}
+    made.store.commit(made.store.version(), local_frame(spark, [lost], AUDIT), made.store.state())
+    table = folder + "/lake/shop/all"
+    rows = bronze.read_bronze(spark, table).drop("_pipeline_run_id")
+    for name in ("lost", "unknown"):
+        bronze.append_execution(rows.selectExpr("*", f"'{name}' AS _pipeline_run_id"), table)
+    uncertain = spark.createDataFrame(
+        [(2, "B1", name, "DATABASE", "shop", "all", None)
+         for name in (done.pipeline_run_id, "lost", "unknown")],
+        "ingestion_config_id int, batch_id string, pipeline_run_id string,"
+        " ingestion_pattern string, target_schema string, target_table string,"
+        " landing_path string",
+    )
+    got = {r.pipeline_run_id: r.final_error for r in made.recover(uncertain).collect()}
+    assert got == {
+        done.pipeline_run_id: "FINALIZE_RESPONSE_FAILED_COMMITTED",
+        "lost": "WATERMARK_CONFLICT",
+        "unknown": "FINALIZE_OUTCOME_UNCONFIRMED",
+    }
+    left = bronze.read_bronze(spark, table).select("_pipeline_run_id").distinct().collect()
+    assert {r[0] for r in left} == {done.pipeline_run_id, "unknown"}
+
+
+def test_committed_read_prunes_by_the_audit(spark, folder, cycle, plan):
+    made = cycle("B1")
+    run(spark, made, 2)
+    rows = bronze.read_committed(
+        bronze.read_bronze(spark, folder + "/lake/shop/all"), made.store.audit()
+    )
+    assert "dynamicpruning" in plan(rows) and rows.count() == 5
+
+
 def test_stream_takes_each_file_once(spark, folder):
     move_file(folder, "move_1.csv", ["m1,5"])
     options = {**OPTIONS, "file_name_pattern": "move_*.csv"}

@@ -118,3 +118,32 @@ def test_batch_sums_combine_before_their_only_shuffle(frame, plan):
     text = plan(monitor.source_batch(frame(AUDIT, fact(1, "S", "B", "SUCCESS", 1))))
     assert "SortAggregate" not in text and "Python" not in text
     assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_report_views_follow_the_table(spark, frame, folder):
+    path = folder + "/audit"
+    names = [f.split()[0] for f in AUDIT.split(", ")]
+    more = (
+        "*, 1 AS ingestion_config_id, 'R' AS pipeline_run_id, 'dbo' AS source_schema,"
+        " 't' AS source_object, 'REGULAR' AS run_type, 'FULL' AS load_strategy,"
+        " 1L AS duration_seconds, '' AS error_code, '' AS error_message"
+    )
+    spark.sql(f"CREATE TABLE audit_rows USING parquet LOCATION '{path}' AS SELECT {more} FROM"
+              " (SELECT * FROM {df})", df=frame(AUDIT, fact(1, "S", "A", "SUCCESS", 1)))
+    configs = frame(
+        "ingestion_config_id int, source_system string, source_schema string,"
+        " source_object string, load_strategy string"
+    )
+    state = frame("ingestion_config_id int, watermark_field string, last_watermark_value string")
+    monitor.register_views(spark.table("audit_rows"), configs, state)
+    latest = lambda: [(r.batch_id, r.source_status) for r in
+                      spark.table("v_monitor_latest_source").collect()]
+    assert latest() == [("A", "SUCCESS")]
+    frame(AUDIT, fact(2, "s", "B", "FAILED", 9)).selectExpr(*more.split(", ")).write.insertInto(
+        "audit_rows"
+    )
+    assert latest() == [("B", "FAILED")]
+    assert spark.table("v_monitor_object_history").count() == 2
+    assert spark.table("v_pipeline_watermarks").count() == 0
+    assert names[0] == "ingestion_log_id"
+    spark.sql("DROP TABLE audit_rows")

@@ -123,3 +123,15 @@ def upsert_configs(
         F.lit("ADDED").alias("change"),
     )
     return updated.unionByName(added)
+
+
+def upsert_connections(current: DataFrame, seed: DataFrame) -> DataFrame:
+    """The connections after seeding: references in the seed replaced, new ones added."""
+    key = match_key(F.col("connection_ref")).alias("_key")
+    columns = ["connection_ref", "connection_type", "connection_settings"]
+    old, new = current.select(key, *columns), seed.select(key, *columns)
+    kept = old.alias("old").join(new.alias("new"), "_key", "left").select(
+        "old.connection_ref",
+        *[F.coalesce(F.col(f"new.{name}"), F.col(f"old.{name}")).alias(name) for name in columns[1:]],
+    )
+    return kept.unionByName(new.join(old, "_key", "left_anti").select(*columns))

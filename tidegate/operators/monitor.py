@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegate.functions.text import match_key, source_entity, source_name
+from tidegate.operators.configs import watermark_view
 from tidegate.operators.finalize import may_advance
 from tidegate.operators.sizes import small_side
 from tidegate.schemas import STATUS_PRECEDENCE
@@ -30,21 +31,28 @@ def _named(audit: DataFrame) -> DataFrame:
     return audit.withColumn("_name", match_key(source_name(F.col("source_system"))))
 
 
-def _display_names(named: DataFrame) -> DataFrame:
+def _looked_up(df: DataFrame, live: bool) -> DataFrame:
+    return df if live else small_side(df)
+
+
+def _display_names(named: DataFrame, live: bool) -> DataFrame:
     """One spelling per source: the first in text order."""
     spellings = named.select("_name", source_name(F.col("source_system")).alias("_text")).distinct()
-    return small_side(spellings.groupBy("_name").agg(F.min("_text").alias("source_system")))
+    return _looked_up(spellings.groupBy("_name").agg(F.min("_text").alias("source_system")), live)
 
 
-def source_batch(audit: DataFrame) -> DataFrame:
+def source_batch(audit: DataFrame, live: bool = False) -> DataFrame:
     """One row per source system and batch.
 
     All running values have fixed width, so tasks combine their rows by hashing
     before the one shuffle.  Display names are looked up afterwards, among the
     few sources there are, rather than carried through the aggregate.
+
+    The lookup runs when the frame is built, so that its size is known to the
+    join.  With ``live`` it stays part of the plan, for views queried later.
     """
     named = _named(audit)
-    return _summarise(named, _display_names(named))
+    return _summarise(named, _display_names(named, live))
 
 
 def _summarise(named: DataFrame, display_names: DataFrame) -> DataFrame:
@@ -69,7 +77,7 @@ def _summarise(named: DataFrame, display_names: DataFrame) -> DataFrame:
     )
 
 
-def latest_source(audit: DataFrame) -> DataFrame:
+def latest_source(audit: DataFrame, live: bool = False) -> DataFrame:
     """The most recent batch of each source; equal end times go to the later id.
 
     A batch ends with its last row, so the latest batch is the one holding the
@@ -79,14 +87,15 @@ def latest_source(audit: DataFrame) -> DataFrame:
     """
     named = _named(audit)
     ends = named.select("_name", "batch_id", "end_time")
-    newest = small_side(ends.groupBy("_name").agg(F.max("end_time").alias("end_time")))
-    chosen = small_side(
+    newest = _looked_up(ends.groupBy("_name").agg(F.max("end_time").alias("end_time")), live)
+    chosen = _looked_up(
         ends.join(newest, ["_name", "end_time"])
         .groupBy("_name")
-        .agg(F.max("batch_id").alias("batch_id"))
+        .agg(F.max("batch_id").alias("batch_id")),
+        live,
     )
     rows = named.join(chosen, ["_name", "batch_id"], "left_semi")
-    return _summarise(rows, _display_names(named))
+    return _summarise(rows, _display_names(named, live))
 
 
 def object_history(audit: DataFrame) -> DataFrame:
@@ -149,6 +158,18 @@ def kpis(latest: DataFrame) -> DataFrame:
     )
 
 
+def register_views(audit: DataFrame, configs: DataFrame, state: DataFrame) -> None:
+    """Temporary views for reports; nothing is cached, each query reads the tables."""
+    views = {
+        "v_monitor_source_batch": source_batch(audit, live=True),
+        "v_monitor_latest_source": latest_source(audit, live=True),
+        "v_monitor_object_history": object_history(audit),
+        "v_pipeline_watermarks": watermark_view(configs, state),
+    }
+    for name, view in views.items():
+        view.createOrReplaceTempView(name)
+
+
 def recent_audits(audit: DataFrame, count: int) -> DataFrame:
     """The newest audit rows: a top-k, kept per task before the final merge."""
     return audit.orderBy(F.col("ingestion_log_id").desc()).limit(count)

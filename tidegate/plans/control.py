@@ -222,6 +222,37 @@ SELECT CAST((SELECT max(ingestion_config_id) FROM configs WHERE is_active) + row
 FROM configs WHERE NOT is_active""",
 )
 
+
+
+def connection_upsert(spark, folder):
+    """Sources get new settings; one connection per supplier is added."""
+    current = frames.connections(spark, folder)
+    source = current.where(F.startswith("connection_ref", F.lit("C"))).select(
+        F.lower("connection_ref").alias("connection_ref"),
+        F.lit("SFTP").alias("connection_type"),
+        F.lit('{"connectionId":"new"}').alias("connection_settings"),
+    )
+    added = frames.table(spark, folder, "supplier").select(
+        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("connection_ref"),
+        F.lit("SQL_SERVER").alias("connection_type"),
+        F.concat(F.lit('{"connectionId":"'), F.col("s_name"), F.lit('"}')).alias(
+            "connection_settings"
+        ),
+    )
+    return config_ops.upsert_connections(current, source.unionByName(added))
+
+
+SQL["connection_upsert"] = with_tables(
+    CONNECTIONS,
+    body="""
+SELECT connection_ref, CASE WHEN connection_ref LIKE 'C%' THEN 'SFTP' ELSE connection_type END
+    AS connection_type,
+  CASE WHEN connection_ref LIKE 'C%' THEN '{"connectionId":"new"}' ELSE connection_settings END
+    AS connection_settings FROM connections
+UNION ALL SELECT 'S' || s_suppkey, 'SQL_SERVER', '{"connectionId":"' || s_name || '"}'
+FROM supplier""",
+)
+
 # --- requests --------------------------------------------------------------------
 
 
@@ -610,6 +641,7 @@ WHERE ingestion_config_id NOT IN (SELECT ingestion_config_id FROM configs WHERE
 for _query in (
     select_active_configs, resolve_configs, route_objects, copy_options_check, config_pages,
     config_page_count, watermark_view, watermark_gaps, missing_state, config_upsert,
+    connection_upsert,
     validate_requests, normalize_requests, duplicate_requests, execution_decision, plan_windows,
     finalize_batch, finalize_state, finalize_audit, recovery_actions, contract_violations,
     unique_violations, fk_violations,

@@ -19,21 +19,32 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tidegate.errors import (
     BRONZE_CLEANUP_FAILED,
+    LANDING_CLEANUP_FAILED,
+    LANDING_COPY_FAILED,
     LOAD_FAILED,
     SOURCE_QUERY_FAILED,
     LoadError,
 )
-from tidegate.functions.text import MESSAGE_LIMIT, PAIRED_MESSAGE_LIMIT
-from tidegate.operators import bronze, finalize, landing, requests, routing, windows
-from tidegate.operators.configs import LARGEST_PAGE, checked_page_size
+from tidegate.functions.text import CLEANUP_MESSAGE_LIMIT, MESSAGE_LIMIT, PAIRED_MESSAGE_LIMIT
+from tidegate.operators import bronze, finalize, landing, recovery, requests, routing, windows
+from tidegate.operators.configs import (
+    DEFAULT_PAGE,
+    LARGEST_PAGE,
+    checked_page_size,
+    config_page,
+    page_count,
+)
 from tidegate.operators.lineage import stamp_file_lineage, stamp_lineage, utc_now_text
 from tidegate.plans.store import ControlStore
-from tidegate.schemas import FINALIZE_REQUEST
+from tidegate.schemas import FINALIZE_REQUEST, RUN_REQUEST
 from tidegate.session import local_frame
 from tidegate.sources.files import discover, modified_window
 from tidegate.sources.readers import READERS, named_read_failure, parse_options, reader_for
 from tidegate.sources.tables import upper_bound, window_rows
 
+ENVELOPE = StructType(
+    [StructField("envelope_id", IntegerType()), StructField("request_json", StringType())]
+)
 SOURCE_BOUND = StructType(
     [StructField("config_id", IntegerType()), StructField("source_upper_bound", StringType())]
 )
@@ -60,6 +71,23 @@ class LoadCycle:
     registry: dict = field(default_factory=lambda: READERS)
     objects_at_once: int = 8
 
+    def run_scope(
+        self, request_json: str = "[]", source_system: str = "", page_size: int = DEFAULT_PAGE
+    ) -> None:
+        """Run explicit requests, or all active configs of a source system, page by page."""
+        checked_page_size(page_size)
+        envelope = local_frame(self.spark, [(0, request_json)], ENVELOPE)
+        verdict = requests.validate_requests(envelope).first()
+        if verdict.error_code is not None:
+            raise LoadError(
+                str(verdict.error_code), f"run requests refused; {verdict.duplicate_ids or ''}"
+            )
+        items = requests.request_items(envelope, "envelope_id").select(*RUN_REQUEST.fieldNames())
+        scope = requests.resolve_scope(self.configs, source_system, items)
+        pages = page_count(scope, page_size).first().page_count
+        for page in range(pages):
+            self.run(config_page(scope, page, page_size))
+
     def run(self, wanted: DataFrame) -> DataFrame:
         """Run the requests and return their outcomes after the audit is committed."""
         started = utc_now_text()
@@ -212,19 +240,34 @@ class LoadCycle:
             found = modified_window(
                 found, window.processing_lower_bound, window.processing_upper_bound
             )
-        manifest = landing.land_files(self.spark, found, root, leaf).checkpoint()
-        gate = landing.landing_gate(manifest).first()
-        if gate.outcome == "FAILED":
-            landing.delete_landing(self.spark, leaf, row.config_id, self.batch_id, run_id)
-            raise LoadError(
-                gate.error_code, f"{gate.files_read} found, {gate.files_written} written"
-            )
+        try:
+            manifest = landing.land_files(self.spark, found, root, leaf).checkpoint()
+            gate = landing.landing_gate(manifest).first()
+            if gate.outcome == "FAILED":
+                raise LoadError(
+                    gate.error_code, f"{gate.files_read} found, {gate.files_written} written"
+                )
+        except Exception as failure:
+            self._remove_landing(row, run_id, leaf, failure)
+            if isinstance(failure, LoadError):
+                raise
+            raise LoadError(LANDING_COPY_FAILED, str(failure)) from failure
         if gate.outcome == "SKIPPED":
             return None
         rows = stamp_file_lineage(reader(self.spark, leaf, options), leaf, row.source_path)
         stamped = stamp_lineage(rows, self.batch_id, run_id, utc_now_text(), with_date=True)
         return bronze.append_execution(stamped, self._target(row))
 
+    def _remove_landing(self, row: Row, run_id: str, leaf: str, failure: Exception) -> None:
+        try:
+            landing.delete_landing(self.spark, leaf, row.config_id, self.batch_id, run_id)
+        except Exception as second:
+            raise LoadError(
+                LANDING_CLEANUP_FAILED,
+                f"{str(failure)[:PAIRED_MESSAGE_LIMIT // 2]}"
+                f" | cleanup: {str(second)[:CLEANUP_MESSAGE_LIMIT]}",
+            ) from failure
+
     def _clean_up(self, row: Row, run_id: str, failure: Exception) -> tuple[str, str]:
         """Remove what a failed write left behind; returns the audit code and message."""
         named = named_read_failure(failure)
@@ -243,9 +286,41 @@ class LoadCycle:
             "target_table", "landing_path",
         )
         for row in lost.collect():
-            bronze.delete_execution(self.spark, self._target(row), row.batch_id, row.pipeline_run_id)
-            if row.landing_path:
-                landing.delete_landing(
-                    self.spark, row.landing_path, row.ingestion_config_id, row.batch_id,
-                    row.pipeline_run_id,
-                )
+            self._remove_execution(row)
+
+    def _remove_execution(self, row: Row) -> None:
+        """Table rows first, then the landed files where there are any."""
+        run = (row.batch_id, row.pipeline_run_id)
+        try:
+            bronze.delete_execution(self.spark, self._target(row), *run)
+        except Exception as problem:
+            raise LoadError(BRONZE_CLEANUP_FAILED, str(problem)[:MESSAGE_LIMIT]) from problem
+        if not row.landing_path:
+            return
+        try:
+            landing.delete_landing(self.spark, row.landing_path, row.ingestion_config_id, *run)
+        except Exception as problem:
+            raise LoadError(LANDING_CLEANUP_FAILED, str(problem)[:MESSAGE_LIMIT]) from problem
+
+    def recover(self, uncertain: DataFrame) -> DataFrame:
+        """Settle executions whose finalisation answer was lost.
+
+        ``uncertain`` names config, batch, run, pattern, target and landing path.
+        Only executions with a confirmed conflict in the audit lose their data.
+        Returns the final error of each.
+        """
+        try:
+            audit = self.store.audit()
+        except Exception:  # an audit that cannot be read confirms nothing
+            audit = None
+        judged = recovery.recovery_actions(uncertain, audit).checkpoint()
+        failed = {}
+        for row in judged.where(F.col("action") != recovery.KEEP).collect():
+            try:
+                self._remove_execution(row)
+            except LoadError as problem:
+                failed[row.pipeline_run_id] = problem.code
+        final = F.col("final_error")
+        for run_id, code in failed.items():
+            final = F.when(F.col("pipeline_run_id") == run_id, code).otherwise(final)
+        return judged.withColumn("final_error", final)
