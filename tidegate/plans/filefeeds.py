@@ -6,6 +6,7 @@ import time
 
 from pyspark.sql import functions as F
 
+from tidegate.functions.temporal import utc_text
 from tidegate.operators import bronze, landing, reconcile, requests
 from tidegate.operators import configs as config_ops
 from tidegate.operators.lineage import stamp_file_lineage, stamp_lineage
@@ -29,63 +30,59 @@ from tidegate.streaming import feed, rollup
 QUERIES, SQL = {}, {}
 
 OPTIONS = parse_options(frames.FILE_OPTIONS)
-EPOCH_MS = 1_700_000_000_000  # 2023-11-14T22:13:20Z
-STEP_MS = 3_600_000
-SLOTS = 12
+AREAS, SLOTS = 3, 12
 
 
 def _page_feed(spark, folder):
     """Pages as delimited files in nested folders, beside files of another kind.
 
-    Files of slot n get the modified time of the epoch plus n hours.
+    The areas are written one after the other, so their files differ in time.
     """
     root = work_folder(spark, "feed")
     pages = frames.table(spark, folder, "pages").select("page_id", "url")
-    slotted = pages.withColumns(
-        {"area": F.col("page_id") % 3, "slot": F.col("page_id") % SLOTS}
-    )
-    writer = slotted.write.partitionBy("area", "slot").option("header", "true")
-    writer.option("quote", '"').option("escape", "\\").csv(root)
+    slotted = pages.withColumn("slot", F.col("page_id") % SLOTS)
+    for area in range(AREAS):
+        writer = slotted.where(F.col("page_id") % AREAS == area).write.partitionBy("slot")
+        writer = writer.option("header", "true").option("quote", '"').option("escape", "\\")
+        writer.csv(f"{root}/area={area}")
     pages.select(F.to_json(F.struct("*")).alias("value")).write.text(f"{root}/notes")
-    files, top = bronze.folder_of(spark, root)
-    listing = files.listFiles(top, True)
-    while listing.hasNext():
-        path = listing.next().getPath()
-        slot = path.getParent().getName()
-        if slot.startswith("slot="):
-            stamp = EPOCH_MS + STEP_MS * int(slot.removeprefix("slot="))
-            files.setTimes(path, stamp, -1)
     return root
 
 
-LOW, HIGH = "2023-11-15T00:13:20.000Z", "2023-11-15T05:13:20.000Z"  # slots 2 to 6
+def _second_area(spark, root):
+    """The window that starts exactly at the second area's first file and ends
+    exactly at the third area's first, which is outside."""
+    first_file = (
+        discover(spark, root, "part-*.csv")
+        .groupBy(F.regexp_extract("path", r"area=(\d+)/", 1).alias("area"))
+        .agg(utc_text(F.min("modified_time")).alias("bound"))
+    )
+    bounds = {row.area: row.bound for row in first_file.collect()}
+    return bounds["1"], bounds["2"]
 
 
 def file_discovery(spark, folder):
     root = _page_feed(spark, folder)
     found = discover(spark, root, "part-*.csv")
-    per_slot = found.groupBy(
-        F.regexp_extract("path", r"slot=(\d+)/", 1).cast("bigint").alias("slot"), "modified_time"
-    ).agg((F.sum("length") > 0).alias("has_bytes"))
-    return per_slot
+    part = lambda name: F.regexp_extract("path", rf"{name}=(\d+)/", 1).cast("bigint")
+    return found.groupBy(part("area").alias("area"), part("slot").alias("slot")).agg(
+        (F.min("length") > 0).alias("has_bytes")
+    )
 
 
 SQL["file_discovery"] = f"""
-SELECT page_id % {SLOTS} AS slot,
-  TIMESTAMP '2023-11-14 22:13:20' + to_hours(page_id % {SLOTS}) AS modified_time,
-  count(*) > 0 AS has_bytes
-FROM pages GROUP BY ALL"""
+SELECT DISTINCT page_id % {AREAS} AS area, page_id % {SLOTS} AS slot, true AS has_bytes
+FROM pages"""
 
 
 def file_window(spark, folder):
     root = _page_feed(spark, folder)
     rows = reader_for("delimited_text")(spark, root, OPTIONS)
-    return rows_in_modified_window(rows, LOW, HIGH).select("page_id", "url")
+    return rows_in_modified_window(rows, *_second_area(spark, root)).select("page_id", "url")
 
 
 SQL["file_window"] = f"""
-SELECT CAST(page_id AS VARCHAR) AS page_id, url FROM pages
-WHERE page_id % {SLOTS} >= 2 AND page_id % {SLOTS} < 7"""
+SELECT CAST(page_id AS VARCHAR) AS page_id, url FROM pages WHERE page_id % {AREAS} = 1"""
 
 
 def _customer_files(spark, folder):
@@ -140,7 +137,8 @@ def landing_manifest(spark, folder):
     """Land the files of a window, check them, and read the landed copies."""
     root = _page_feed(spark, folder)
     leaf = landing.landing_leaf(work_folder(spark, "landing"), "2026-01-31", 1, "B1", "R1")
-    found = modified_window(discover(spark, root, "part-*.csv"), LOW, HIGH)
+    window = _second_area(spark, root)
+    found = modified_window(discover(spark, root, "part-*.csv"), *window)
     manifest = landing.land_files(spark, found, root, leaf).checkpoint()
     gate = landing.landing_gate(manifest).select(
         F.lit("gate").alias("check_name"),
@@ -172,7 +170,7 @@ SQL["landing_manifest"] = f"""
 SELECT 'gate' AS check_name, true AS passed, CAST(NULL AS BIGINT) AS row_count
 UNION ALL SELECT 'copies', true, NULL
 UNION ALL SELECT 'rows', true, count(*)
-FROM pages WHERE page_id % {SLOTS} >= 2 AND page_id % {SLOTS} < 7"""
+FROM pages WHERE page_id % {AREAS} = 1"""
 
 
 def landing_gate(spark, folder):
@@ -214,7 +212,7 @@ def stream_file_feed(spark, folder):
 
 SQL["stream_file_feed"] = f"""
 SELECT CAST(page_id AS VARCHAR) AS page_id, url,
-  '/outbound/pages/area=' || (page_id % 3) || '/slot=' || (page_id % {SLOTS}) || '/' AS folder
+  '/outbound/pages/area=' || (page_id % {AREAS}) || '/slot=' || (page_id % {SLOTS}) || '/' AS folder
 FROM pages"""
 
 
