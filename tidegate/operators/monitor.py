@@ -35,10 +35,15 @@ def _looked_up(df: DataFrame, live: bool) -> DataFrame:
     return df if live else small_side(df)
 
 
-def _display_names(named: DataFrame, live: bool) -> DataFrame:
+def _spellings(named: DataFrame) -> DataFrame:
+    """One row per source and way of writing its name, with its latest end time."""
+    text = source_name(F.col("source_system")).alias("_text")
+    return named.groupBy("_name", text).agg(F.max("end_time").alias("end_time"))
+
+
+def _display_names(spellings: DataFrame) -> DataFrame:
     """One spelling per source: the first in text order."""
-    spellings = named.select("_name", source_name(F.col("source_system")).alias("_text")).distinct()
-    return _looked_up(spellings.groupBy("_name").agg(F.min("_text").alias("source_system")), live)
+    return spellings.groupBy("_name").agg(F.min("_text").alias("source_system"))
 
 
 def source_batch(audit: DataFrame, live: bool = False) -> DataFrame:
@@ -52,7 +57,7 @@ def source_batch(audit: DataFrame, live: bool = False) -> DataFrame:
     join.  With ``live`` it stays part of the plan, for views queried later.
     """
     named = _named(audit)
-    return _summarise(named, _display_names(named, live))
+    return _summarise(named, _looked_up(_display_names(_spellings(named)), live))
 
 
 def _summarise(named: DataFrame, display_names: DataFrame) -> DataFrame:
@@ -86,8 +91,9 @@ def latest_source(audit: DataFrame, live: bool = False) -> DataFrame:
     batches are then summed.  No shuffle carries all batches.
     """
     named = _named(audit)
+    spellings = _looked_up(_spellings(named), live)
+    newest = spellings.groupBy("_name").agg(F.max("end_time").alias("end_time"))
     ends = named.select("_name", "batch_id", "end_time")
-    newest = _looked_up(ends.groupBy("_name").agg(F.max("end_time").alias("end_time")), live)
     chosen = _looked_up(
         ends.join(newest, ["_name", "end_time"])
         .groupBy("_name")
@@ -95,7 +101,7 @@ def latest_source(audit: DataFrame, live: bool = False) -> DataFrame:
         live,
     )
     rows = named.join(chosen, ["_name", "batch_id"], "left_semi")
-    return _summarise(rows, _display_names(named, live))
+    return _summarise(rows, _display_names(spellings))
 
 
 def object_history(audit: DataFrame) -> DataFrame:
