@@ -45,12 +45,46 @@ def test_new_columns_are_merged(spark, folder):
     assert merged.where("note IS NULL").count() == 2 and merged.count() == 5
 
 
-def test_incompatible_types_do_not_merge(spark, folder):
+def test_incompatible_types_are_refused_before_the_write(spark, folder):
     table = folder + "/t"
     load(spark, table, "B", "1", 2)
     text = spark.range(2).select(F.col("id").cast("string"))
-    bronze.append_execution(stamp_lineage(text, "B", "2", NOW), table)
+    with pytest.raises(LoadError) as caught:
+        bronze.append_execution(stamp_lineage(text, "B", "2", NOW), table)
+    assert caught.value.code == "INCOMPATIBLE_SCHEMA"
+    assert runs(spark, table) == {("B", "1"): 2}
+
+
+def test_missing_values_and_case_make_no_new_column(spark, folder):
+    table = folder + "/t"
+    for run, text in (("1", "array(1) AS Items"), ("2", "array(2, NULL) AS items")):
+        df = spark.range(1).selectExpr("id", text)
+        bronze.append_execution(stamp_lineage(df, "B", run, NOW), table)
+    got = bronze.read_bronze(spark, table).orderBy("_pipeline_run_id").collect()
+    assert [r.Items for r in got] == [[1], [2, None]]
+
+
+def test_reading_opens_no_footers(spark, folder):
+    table = folder + "/t"
+    load(spark, table, "B", "1", 2)
+    leaf = bronze.execution_folder(spark, table, "B", "1")
+    names = [n for n in os.listdir(leaf) if n.endswith(".parquet")]
+    with open(f"{leaf}/{names[0]}", "wb") as file:
+        file.write(b"not parquet")
+    assert bronze.read_bronze(spark, table).columns == [
+        "id", "_ingestion_timestamp", "_batch_id", "_pipeline_run_id",
+    ]
+
+
+def test_tables_written_by_other_means_are_merged(spark, folder):
+    table = folder + "/t"
+    for run, df in (("1", spark.range(2)), ("2", spark.range(3).withColumn("x", F.lit("é")))):
+        df.write.parquet(f"{table}/_batch_id=007/_pipeline_run_id={run}")
+    assert runs(spark, table) == {("007", "1"): 2, ("007", "2"): 3}
     with pytest.raises(Exception, match="CANNOT_MERGE_SCHEMAS"):
+        spark.range(1).selectExpr("CAST(id AS string) AS id").write.parquet(
+            f"{table}/_batch_id=007/_pipeline_run_id=3"
+        )
         bronze.read_bronze(spark, table)
 
 

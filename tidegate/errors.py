@@ -40,6 +40,7 @@ FINALIZE_OUTCOME_LOOKUP_FAILED = "FINALIZE_OUTCOME_LOOKUP_FAILED"
 INVALID_PROCESSING_BOUNDARY = "INVALID_PROCESSING_BOUNDARY"
 HEADER_MISMATCH = "HEADER_MISMATCH"
 SOURCE_QUERY_FAILED = "SOURCE_QUERY_FAILED"
+INCOMPATIBLE_SCHEMA = "INCOMPATIBLE_SCHEMA"
 LANDING_COPY_FAILED = "LANDING_COPY_FAILED"
 LOAD_FAILED = "LOAD_FAILED"
 

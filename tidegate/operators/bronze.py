@@ -8,8 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidegate.errors import BRONZE_CLEANUP_INCOMPLETE, LoadError
+from tidegate.operators.evolution import declare_type, declared_types, merged
 
 EXECUTION = ["_batch_id", "_pipeline_run_id"]
 
@@ -27,17 +29,27 @@ def append_execution(df: DataFrame, table: str) -> int:
 
     One pass: the count is observed while the files are written, directly below
     the write, so a lost or repeated task is counted once.  Columns new to the
-    table are allowed; readers merge the schemas.
+    table are allowed; a column with another type is refused before the write.
     """
+    row_type = StructType([field for field in df.schema.fields if field.name not in EXECUTION])
+    declare_type(df.sparkSession, table, row_type)
     seen = Observation()
     rows = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     rows.write.mode("append").partitionBy(*EXECUTION).parquet(table)
     return int(seen.get["rows"])
 
 
-def read_bronze(spark: SparkSession, table: str, merge: bool = True) -> DataFrame:
-    """All physical rows, of committed and uncommitted executions alike."""
-    return spark.read.option("mergeSchema", str(merge).lower()).parquet(table)
+def read_bronze(spark: SparkSession, table: str) -> DataFrame:
+    """All physical rows, of committed and uncommitted executions alike.
+
+    The columns are those declared by the appends, so no data file is opened to
+    find them.  A table written by other means has its footers merged.
+    """
+    types = declared_types(spark, table)
+    if not types:
+        return spark.read.option("mergeSchema", "true").parquet(table)
+    ids = [StructField(name, StringType()) for name in EXECUTION]
+    return spark.read.schema(StructType([*merged(types).fields, *ids])).parquet(table)
 
 
 def read_committed(bronze: DataFrame, audit: DataFrame) -> DataFrame:
