@@ -61,7 +61,7 @@ def test_missing_values_and_case_make_no_new_column(spark, folder):
         df = spark.range(1).selectExpr("id", text)
         bronze.append_execution(stamp_lineage(df, "B", run, NOW), table)
     got = bronze.read_bronze(spark, table).orderBy("_pipeline_run_id").collect()
-    assert [r.Items for r in got] == [[1], [2, None]]
+    assert [r[1] for r in got] == [[1], [2, None]]
 
 
 def test_reading_opens_no_footers(spark, folder):

@@ -44,10 +44,12 @@ def merged(types: list[StructType]) -> StructType:
 
 
 def declared_types(spark: SparkSession, table: str) -> list[StructType]:
-    """Row types appended so far; none for a table written by other means."""
+    """Row types appended so far, oldest first; none for a table written by other means."""
     files, pattern = _location(spark, f"{table}/{FOLDER}/*.json")
     found = []
-    for status in files.globStatus(pattern) or []:
+    listed = list(files.globStatus(pattern) or [])
+    listed.sort(key=lambda status: (status.getModificationTime(), status.getPath().getName()))
+    for status in listed:
         stream = files.open(status.getPath())
         try:
             reader = spark._jvm.java.io.InputStreamReader(stream, "UTF-8")
