@@ -34,8 +34,7 @@ def rows_of(names, rows):
     return sorted(made, key=repr)
 
 
-def compare(spark, con, folder, query, text):
-    frame = query(spark, folder)
+def compare(frame, con, text):
     mine = rows_of(frame.columns, [tuple(r) for r in frame.collect()])
     result = con.execute(text)
     names = [d[0] for d in result.description]
@@ -104,7 +103,7 @@ def main():
         start = time.time()
         try:
             if name in texts:
-                verdict = compare(spark, con, folder, query, texts[name])
+                verdict = compare(query(spark, folder), con, texts[name])
             else:
                 verdict = f"ok (no sql) {query(spark, folder).count()}"
         except Exception as problem:  # report and go on

@@ -7,7 +7,7 @@ import pytest
 
 from tidegate.errors import LoadError
 from tidegate.functions.text import MESSAGE_LIMIT
-from tidegate.operators import bronze, finalize
+from tidegate.operators import bronze
 from tidegate.operators.requests import resolve_scope
 from tidegate.plans.filefeeds import OPTIONS
 from tidegate.plans.frames import FILE_OPTIONS
@@ -143,36 +143,46 @@ def test_mixed_headers_are_named_in_the_audit(spark, folder, cycle):
     assert (got[3].status, got[3].error_code) == ("FAILED", "HEADER_MISMATCH")
 
 
-def test_losing_the_checkpoint_removes_the_rows(spark, folder, cycle):
-    """Another run advances the config between planning and finalisation."""
+def test_the_later_of_two_cycles_loses_its_rows(spark, folder, cycle):
+    """A second cycle loads and publishes between the first one's load and its end."""
     move_file(folder, "move_1.csv", ["m1,5"])
-    made = cycle("B1")
-    real = made.store.state
-
-    def moved(version=None):
-        state = real(version)
-        return state.withColumn("last_watermark_value", state.watermark_field)
-
-    plan = made._plan
-
-    def plan_then_move(*args):
-        planned = plan(*args)
-        made.store.state = moved
-        return planned
-
-    made._plan = plan_then_move
-    wanted = local_frame(spark, [(1, "REGULAR", "", ""), (3, "REGULAR", "", "")], RUN_REQUEST)
-    outcomes = {r.ingestion_config_id: r for r in made.run(wanted).collect()}
-    assert {r.outcome for r in outcomes.values()} == {finalize.CONFLICT}
-    audit = made.store.audit().collect()
-    assert {(r.status, r.error_code) for r in audit} == {("FAILED", "WATERMARK_CONFLICT")}
-    for row in audit:
+    first, second = cycle("B1"), cycle("B2")
+    publish = first._publish
+
+    def overtaken(facts):
+        assert {r.status for r in run(spark, second, 1, 3).values()} == {"SUCCESS"}
+        return publish(facts)
+
+    first._publish = overtaken
+    rows = run(spark, first, 1, 2, 3)
+    assert {n: (r.status, r.error_code) for n, r in rows.items()} == {
+        1: ("FAILED", "WATERMARK_CONFLICT"),
+        2: ("SUCCESS", None),
+        3: ("FAILED", "WATERMARK_CONFLICT"),
+    }
+    for number in (1, 3):
+        row = rows[number]
         table = f"{folder}/lake/{row.target_schema}/{row.target_table}"
-        leaf = bronze.execution_folder(spark, table, row.batch_id, row.pipeline_run_id)
-        assert not bronze.path_exists(spark, leaf)
+        left = bronze.read_bronze(spark, table).select("_batch_id").distinct().collect()
+        assert [r[0] for r in left] == ["B2"]
         assert not row.landing_path or not os.path.exists(row.landing_path)
 
 
+def test_a_version_taken_meanwhile_is_judged_again(spark, cycle):
+    first, second = cycle("B1"), cycle("B2")
+    commit, taken = first.store.commit, []
+
+    def overtaken(base, audit_rows, state):
+        if not taken:
+            taken.append(base)
+            run(spark, second, 2)
+        return commit(base, audit_rows, state)
+
+    first.store.commit = overtaken
+    assert run(spark, first, 2)[2].status == "SUCCESS"
+    assert first.store.version() == 3 and first.store.audit().count() == 2
+
+
 def test_one_broken_source_does_not_stop_the_others(spark, cycle):
     good = spark.sql("SELECT 1 AS id, timestamp_ntz'2026-01-01' AS at")
 

@@ -51,3 +51,7 @@ class LoadError(Exception):
     def __init__(self, code: str, message: str):
         super().__init__(f"{code}: {message}")
         self.code = code
+
+
+class VersionTaken(LoadError):
+    """Another writer claimed the next version of the control tables."""

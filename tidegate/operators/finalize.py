@@ -18,6 +18,7 @@ from tidegate.errors import (
 )
 from tidegate.functions.temporal import seconds_crossed
 from tidegate.functions.text import audit_message
+from tidegate.operators.sizes import only_asked_for
 from tidegate.schemas import AUDIT, STATE
 
 # A repeated call is the same call when these agree (missing values agree too).
@@ -135,10 +136,11 @@ def finalize(
     Winners and first uses are found by aggregation, never by a window over all
     requests of a key, so a key holding most of the requests stays parallel.
 
-    The requests with the audit rows they meet are checkpointed: the audit is
-    joined once, and rows appended to it later cannot change the judgement.
+    The audit is read once and, for a call of usual size, not shuffled.  The
+    requests with the audit rows they meet are checkpointed, so rows appended
+    later cannot change the judgement.
     """
-    recorded = audit.select(
+    recorded = only_asked_for(audit, requests, "pipeline_run_id").select(
         "pipeline_run_id",
         F.lit(True).alias("_known"),
         *[F.col(field).alias(f"_old_{field}") for field in OUTCOME_FIELDS],

@@ -12,6 +12,8 @@ from tidegate.errors import (
     WATERMARK_CONFLICT,
 )
 
+from tidegate.operators.sizes import only_asked_for
+
 # fixed values: outcome classes of an uncertain finalisation
 COMMITTED_SUCCESS = "COMMITTED_SUCCESS"
 CONFIRMED_CONFLICT = "CONFIRMED_CONFLICT"
@@ -38,7 +40,7 @@ def recovery_actions(
                 "final_error": F.lit(FINALIZE_OUTCOME_LOOKUP_FAILED),
             }
         )
-    committed = audit.select(
+    committed = only_asked_for(audit, uncertain, "pipeline_run_id").select(
         *EXECUTION, F.col("status").alias("_status"), F.col("error_code").alias("_error")
     )
     conflict = (F.col("_status") == "FAILED") & (F.col("_error") == WATERMARK_CONFLICT)

@@ -7,6 +7,7 @@ objects, and their outcomes are judged together at the end.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -24,6 +25,7 @@ from tidegate.errors import (
     LOAD_FAILED,
     SOURCE_QUERY_FAILED,
     LoadError,
+    VersionTaken,
 )
 from tidegate.functions.text import CLEANUP_MESSAGE_LIMIT, MESSAGE_LIMIT, PAIRED_MESSAGE_LIMIT
 from tidegate.operators import bronze, finalize, landing, recovery, requests, routing, windows
@@ -49,6 +51,8 @@ SOURCE_BOUND = StructType(
     [StructField("config_id", IntegerType()), StructField("source_upper_bound", StringType())]
 )
 
+PUBLISH_ATTEMPTS = 60
+
 TableSource = Callable[[Row], DataFrame]
 
 
@@ -95,14 +99,30 @@ class LoadCycle:
         plans = self._plan(wanted, started, base)
         with ThreadPoolExecutor(self.objects_at_once) as submitters:
             calls = list(submitters.map(lambda plan: self._finish(*plan, started), plans))
-        facts = local_frame(self.spark, calls, FINALIZE_REQUEST)
-        judged = finalize.finalize(
-            facts, self.store.audit(base), self.store.state(base), self.configs
-        ).settled()
-        self.store.commit(base, judged.audit_rows(), judged.new_state(utc_now_text()[:-1]))
+        judged = self._publish(local_frame(self.spark, calls, FINALIZE_REQUEST))
         self._compensate(judged)
         return judged.outcomes()
 
+    def _publish(self, facts: DataFrame) -> finalize.Finalized:
+        """Judge the loads against the latest control tables and publish the result.
+
+        A concurrent cycle may publish first.  The loads are then judged again, on
+        the state it left; whoever lost the checkpoint ends as a conflict.
+        """
+        for attempt in range(PUBLISH_ATTEMPTS):
+            base = self.store.version()
+            judged = finalize.finalize(
+                facts, self.store.audit(base), self.store.state(base), self.configs
+            ).settled()
+            try:
+                self.store.commit(base, judged.audit_rows(), judged.new_state(utc_now_text()[:-1]))
+                return judged
+            except VersionTaken:
+                if attempt + 1 == PUBLISH_ATTEMPTS:
+                    raise
+                time.sleep(1)
+        raise AssertionError("unreachable")
+
     def _plan(
         self, wanted: DataFrame, started: str, base: int
     ) -> list[tuple[Row, Row | None, Exception | None]]:

@@ -237,6 +237,7 @@ SELECT event_id, day, day + to_hours(event_id % 96) AS hour,
 FROM (SELECT event_id,
   TIMESTAMP '2026-01-01' + to_days(CAST(event_id % 365 AS INTEGER)) AS day FROM events)"""
 
+# fixed values: order states by the remainder of the order number
 _STATES = ["COMPLETED", "SHIPPED", "PROCESSING", "PAID", "PENDING", "CANCELLED"]
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from tidegate.errors import WATERMARK_CONFLICT, LoadError
+from tidegate.errors import WATERMARK_CONFLICT, VersionTaken
 from tidegate.schemas import AUDIT, STATE
 from tidegate.session import local_frame
 
@@ -56,7 +56,9 @@ class ControlStore:
         try:
             files.create(marker, False).close()
         except Exception as problem:
-            raise LoadError(
+            if not files.exists(marker):
+                raise
+            raise VersionTaken(
                 WATERMARK_CONFLICT, f"version {number} was taken by another writer"
             ) from problem
         audit_rows.write.mode("overwrite").parquet(f"{self.root}/audit/version={number}")
