@@ -28,10 +28,12 @@ def test_seven_digit_window(frame):
 def test_sortable_form(frame):
     rows = frame(
         "t string", ("2026-01-02T03:04:05Z",), ("2026-01-02 03:04:05.1",), ("token",), (None,),
-        ("2026-02-30T00:00:00",),
+        ("2026-02-30T00:00:00",), ("2026-01-02T03:04:05+02:00",), ("2026-01-02",),
+        ("2026-01-02T03:04:05.123-0700",),
     )
     assert [r[0] for r in rows.select(sortable_bound(F.col("t"))).collect()] == [
-        "2026-01-02 03:04:05.0000000", "2026-01-02 03:04:05.1000000", None, None, None,
+        "2026-01-02 03:04:05.0000000", "2026-01-02 03:04:05.1000000", None, None, None, None,
+        "2026-01-02 00:00:00.0000000", None,
     ]
 
 

@@ -32,13 +32,15 @@ def sortable_bound(text: Column) -> Column:
     """A timestamp text in a fixed-width form with seven fraction digits.
 
     Comparing these forms as text keeps the seventh digit, which a Spark
-    timestamp cannot hold.  Texts that are no timestamp give NULL.
+    timestamp cannot hold.  Texts that are no timestamp give NULL, and so do
+    texts with an offset: they must be turned into UTC by whoever supplies them.
     """
     plain = F.regexp_replace(F.replace(F.trim(text), F.lit("T"), F.lit(" ")), "Z$", "")
     whole = F.split_part(plain, F.lit("."), F.lit(1))
     fraction = F.split_part(plain, F.lit("."), F.lit(2))
     stamp = F.date_format(whole.try_cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss")
-    return F.concat(stamp, F.lit("."), F.rpad(F.left(fraction, F.lit(7)), 7, "0"))
+    digits = F.concat(stamp, F.lit("."), F.rpad(F.left(fraction, F.lit(7)), 7, "0"))
+    return F.when(~F.rlike(plain, F.lit(":[0-9.]+[+-][0-9]")), digits)
 
 
 def bound_instant(text: str) -> Column:
