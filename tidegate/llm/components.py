@@ -16,10 +16,9 @@ def components(edges: DataFrame) -> DataFrame:
     edge table shrinks by at least half its nodes' number in a round, so rounds are few. A
     node with many edges is reduced by partial minima before anything is shuffled.
     """
-    edges = edges.where(F.col("a") != F.col("b")).select("a", "b")
-    nodes = written(edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct(), "nodes")
-    names = nodes.withColumn("root", F.col("node"))
-    edges = written(edges.distinct(), "edges")
+    edges = written(edges.where(F.col("a") != F.col("b")).select("a", "b").distinct(), "edges")
+    nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
+    names = written(nodes.withColumn("root", F.col("node")), "names")
     while edges.count():
         both = edges.union(edges.select("b", "a"))
         least = written(

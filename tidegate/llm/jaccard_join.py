@@ -37,6 +37,7 @@ STEP = 32  # MinHash values compared before a pair is judged again
 ROUNDS = 8
 TOLERANCE = 1e-9  # a pair is dropped when it reaches the threshold with less probability
 BLOCK = 512  # texts of a block
+SIEVE_BITS = 1 << 26
 PACK_TEXTS = 256  # small components worked on together, in texts
 
 _SALTS = np.random.default_rng(20250).integers(0, 2**32, (2, BANDS * ROWS), dtype=np.uint64)
@@ -266,7 +267,7 @@ def similarity_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         "classes",
     )
     shown = rows.where(F.length("bands") > 0).dropDuplicates(["key"]).select("key", "bands")
-    banded = written(band_rows(shown), "bands")
+    banded = band_rows(shown)
     shared = (
         banded.groupBy("band").agg(F.min("key").alias("a"), F.max("key").alias("last"))
         .where(F.col("a") != F.col("last")).select("band", "a")
@@ -328,8 +329,7 @@ def _links(blocks: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFr
         col(text).alias("text"),
     )
     blocks = blocks.withColumn("first_id", F.coalesce("first_id", F.lit(0)))
-    wanted = blocks.select("first_id", "first_text").distinct()
-    texts = texts.join(wanted, ["first_id", "first_text"], "left_semi").dropDuplicates(["first_id", "first_text"])
+    texts = _sifted(texts, blocks).dropDuplicates(["first_id", "first_text"])
     held = blocks.join(texts, ["first_id", "first_text"])
     work = held.select("key", "copies", "root", "block", "mate", "side", "text", "pack")
     return written(
@@ -337,6 +337,30 @@ def _links(blocks: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFr
     )
 
 
+def _sifted(texts: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The texts whose hash bit is set by some wanted text, so that few others are shuffled.
+
+    The bits have a fixed size (8 MB); when a corpus fills them, more pass, none are lost.
+    """
+    slot = F.pmod(F.xxhash64("first_id", "first_text"), F.lit(SIEVE_BITS)).alias("slot")
+    parts = (
+        blocks.select(slot).groupBy(F.bitmap_bucket_number(F.col("slot") + 1).alias("at"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("slot") + 1)).alias("bits"))
+    )
+    sieve = np.zeros(SIEVE_BITS // 8, np.uint8)
+    for at, bits in parts.collect():
+        sieve[(at - 1) * 4096 : at * 4096] = np.frombuffer(bits, np.uint8)
+    shared, names = texts.sparkSession.sparkContext.broadcast(sieve), texts.columns
+
+    def run(batches):
+        for batch in batches:
+            slots = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
+            kept = (shared.value[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1
+            yield batch.filter(pa.array(kept.astype(bool))).select(names)
+
+    return texts.select("*", slot).mapInArrow(run, texts.schema)
+
+
 def _packed(group: pd.DataFrame) -> pd.DataFrame:
     return _verify(group.drop(columns="pack"))
 
