@@ -77,6 +77,19 @@ def spans_of(text: Column, rule: Rule, kind: int) -> Column:
     return F.when(F.regexp_like(text, F.lit(rule.pattern)), walked).otherwise(none)
 
 
+SALTS = 16  # a blob that very many paths hold is joined in so many parts
+
+
+def salted(paths: DataFrame) -> DataFrame:
+    """Paths with a part number that spreads those of one blob."""
+    return paths.withColumn("_part", F.pmod(F.xxhash64(*paths.columns), F.lit(SALTS)).cast("int"))
+
+
+def for_all_parts(found: DataFrame) -> DataFrame:
+    """The few rows of blobs with findings, once for every part."""
+    return found.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def content_addressed(paths: DataFrame, text: str = "text") -> DataFrame:
     """The paths with the ``blob`` of their text; a null text is the empty blob."""
     return paths.withColumn("blob", F.sha2(F.coalesce(col(text), F.lit("")), 256))
@@ -113,7 +126,8 @@ def findings(paths: DataFrame, ledger: DataFrame, text: str = "text",
     held = held.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("all_spans"))
     none = F.array().cast(f"array<{SPAN}>")
     addressed = content_addressed(paths, text).drop(col(text))
-    return addressed.join(held, "blob", "left").withColumn("all_spans", F.coalesce("all_spans", none)).drop("blob")
+    joined = salted(addressed).join(for_all_parts(held), ["blob", "_part"], "left")
+    return joined.withColumn("all_spans", F.coalesce("all_spans", none)).drop("blob", "_part")
 
 
 def spans_text(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
@@ -173,7 +187,8 @@ def without_secrets(docs: DataFrame, text: str = "text", n_chars: str = "n_chars
     own = f"c{names.index(text)}"
     ledger = written(scan_unseen(plain, None, own, rules), "ledger").where(F.size("spans") > 0)
     # a few blobs hold secrets; the join carries their spans to all rows that hold them
-    held = content_addressed(plain, own).join(ledger.select("blob", "spans"), "blob", "left")
+    addressed = salted(content_addressed(plain, own))
+    held = addressed.join(for_all_parts(ledger.select("blob", "spans")), ["blob", "_part"], "left")
     clean = F.when(F.col("spans").isNotNull(), masked(F.col(own), F.col("spans"))).otherwise(F.col(own))
     held = held.withColumn("_clean", clean)
     shown = []
