@@ -75,8 +75,8 @@ def fold(events: DataFrame) -> DataFrame:
 
     Kinds: ``start`` (sets the role), ``delta`` (adds text), ``edit`` (replaces the text),
     ``regenerate`` (drops it). Null texts add nothing; the role is the last one given; events
-    of one sequence number apply in the order of kind and text, so that repeated rows of an
-    edit are harmless. A message without events does not exist.
+    of one sequence number apply edits first, then in the order of texts; an event that the
+    log repeats applies once. A message without events does not exist.
     """
     keys = ["conv_id", "turn", "part"]
     null_keys = [F.coalesce(F.col(k).cast("string"), F.lit("\x00")).alias(f"_{k}") for k in keys]
@@ -94,7 +94,7 @@ def fold(events: DataFrame) -> DataFrame:
         .agg(
             *[F.first(k).alias(k) for k in keys],
             F.max("named")["role"].alias("role"),
-            F.concat_ws("", F.transform(F.array_sort(F.collect_list(piece)), lambda p: p["text"])).alias("text"),
+            F.concat_ws("", F.transform(F.array_sort(F.array_distinct(F.collect_list(piece))), lambda p: p["text"])).alias("text"),
         )
         .select(*keys, F.coalesce("role", F.lit("")).alias("role"), "text")
     )

@@ -10,7 +10,8 @@
    compared 32 at a time, and a pair is dropped as soon as the posterior probability that it
    reaches the threshold falls below ``TOLERANCE``; the rest is verified on the whole sets.
    A large component is cut into blocks, and every pair of blocks is a task of its own that
-   returns at most one row per text: link counts and edges to the smallest linked text.
+   returns at most one row per text: its link count and an edge that keeps what the links
+   connect connected.
 4. Components of the verified links are the groups.
 """
 
@@ -220,14 +221,15 @@ def _sets_of(texts: pd.Series) -> list[np.ndarray]:
 def _verify(group: pd.DataFrame) -> pd.DataFrame:
     """Links inside some components, or between two blocks of one.
 
-    Gives for every text the copies it is linked to, and one edge to a linked text.
+    Gives for every text the copies it is linked to, and an edge to the first text that chains
+    of the links found here connect it to.
     """
     group = group.sort_values(["root", "side"]).reset_index(drop=True)
     keys, copies = group["key"].to_numpy(), group["copies"].to_numpy()
     sets = _sets_of(group["text"])
     hashes = min_hashes(np.concatenate(sets), np.array([len(x) for x in sets]), STEP * ROUNDS)
     links = np.zeros(len(keys), np.int64)
-    near = keys.copy()
+    first = np.arange(len(keys))
     roots, sides = group["root"].to_numpy(), group["side"].to_numpy()
     starts = np.flatnonzero(np.append(True, roots[1:] != roots[:-1]))
     for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)]):
@@ -240,9 +242,14 @@ def _verify(group: pd.DataFrame) -> pd.DataFrame:
             i, j = linked(sets, hashes, slice(a, cut), slice(cut, b))
         np.add.at(links, i, copies[j])
         np.add.at(links, j, copies[i])
-        np.minimum.at(near, i, keys[j])
-        np.minimum.at(near, j, keys[i])
-    return pd.DataFrame({"key": keys, "links": links, "near": near})
+        before = None
+        while before is None or (first != before).any():
+            before = first.copy()
+            least = np.minimum(first[i], first[j])
+            np.minimum.at(first, i, least)
+            np.minimum.at(first, j, least)
+            first[a:b] = first[first[a:b]]
+    return pd.DataFrame({"key": keys, "links": links, "near": keys[first]})
 
 
 def similarity_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
