@@ -44,6 +44,13 @@ def test_drift_is_the_multiset_difference(spark, left, right):
     assert result.checksum_equal == (Counter(left) == Counter(right))
 
 
+def test_nulls_moved_between_columns_are_a_difference(frame):
+    one = frame("a string, b string", (None, "a"), (None, None), ("b", None))
+    two = frame("a string, b string", ("a", None), (None, None), ("b", None))
+    assert not reconcile.content_reconcile(one, two, ["a", "b"]).first().checksum_equal
+    assert reconcile.content_reconcile(one, one, ["a", "b"]).first().checksum_equal
+
+
 def test_pairs_of_equal_rows_do_not_cancel(frame):
     one = frame(SCHEMA, (1, "x"), (1, "x"), (2, "y"), (2, "y"))
     two = frame(SCHEMA, (3, "x"), (3, "x"), (4, "y"), (4, "y"))

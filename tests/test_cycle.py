@@ -281,11 +281,13 @@ def test_hourly_counts_over_two_arrivals(spark, folder):
             "a AS source_system", "b AS status", "CAST(c AS timestamp_ntz) AS start_time"
         ).write.mode("append").parquet(arrivals)
         incoming = spark.readStream.schema(schema).parquet(arrivals)
-        rollup.write_updates(rollup.hourly_counts(incoming), folder + "/t", folder + "/c")
+        rollup.write_updates(incoming, folder + "/t", folder + "/c")
 
     arrive(("S", "FAILED", "2026-01-01 10:05:00"), ("s ", "SUCCESS", "2026-01-01 10:59:00"))
     arrive(("S", "SUCCESS", "2026-01-01 10:30:00"), (None, "SUCCESS", "2026-01-01 11:00:00"))
-    got = rollup.current_counts(spark.read.parquet(folder + "/t")).orderBy("hour_start").collect()
+    arrive(("S", "SUCCESS", "2026-01-02 10:00:00"))
+    arrive(("S", "FAILED", "2026-01-01 11:30:00"))  # a day late
+    got = rollup.current_counts(spark.read.parquet(folder + "/t")).orderBy("hour_start", "source_name").collect()
     assert [(r.source_name, r.object_count, r.failed_count) for r in got] == [
-        ("s", 3, 1), ("unknown", 1, 0),
+        ("s", 3, 1), ("s", 1, 1), ("unknown", 1, 0), ("s", 1, 0),
     ]

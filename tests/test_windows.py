@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidegate.functions.temporal import seconds_crossed, sortable_bound, utc_text
 from tidegate.operators.windows import plan_windows
 from tidegate.sources.files import discover, modified_window, relative_to, rows_in_modified_window
+from tidegate.sources.ranges import range_number
 from tidegate.sources.tables import upper_bound, window_rows
 
 
@@ -173,6 +174,16 @@ def test_file_at_the_lower_bound_is_taken(spark, folder):
 
 
 def test_relative_path(frame):
-    rows = frame("p string", ("file:/lake/land/2026/a.csv?x=1",), ("s3://b/lake/land/a.csv",))
+    rows = frame("p string", ("file:/lake/land/2026/a.csv",), ("s3://b/lake/land/a.csv",),
+                 ("file:/lake/land/x/lake/land/a.csv",), ("file:/lake/land/q?1.csv",))
     got = [r[0] for r in rows.select(relative_to(F.col("p"), "/lake/land/")).collect()]
-    assert got == ["2026/a.csv", "a.csv"]
+    # a folder that repeats the root's name stays in the path, and so does a question mark
+    assert got == ["2026/a.csv", "a.csv", "x/lake/land/a.csv", "q?1.csv"]
+
+
+def test_range_labels_at_large_keys(spark):
+    lo, width = 10**18, 10**17 + 7
+    keys = [lo, lo + width - 1, lo + width, lo + 7 * width - 1, lo + 7 * width, lo + 8 * width - 1]
+    rows = spark.createDataFrame([(k,) for k in keys], "k long")
+    got = [r[0] for r in rows.select(range_number(F.col("k"), lo, width)).collect()]
+    assert got == [(k - lo) // width for k in keys]

@@ -134,12 +134,13 @@ def unique_violations(df: DataFrame, keys: list[str], table: str, rule: str) ->
 def reference_violations(
     child: DataFrame, column: str, parent: DataFrame, parent_column: str, rule: str, key: Column
 ) -> DataFrame:
-    """Child rows whose reference names no parent; a missing reference is legal."""
-    name = "_reference"
-    known = parent.select(F.col(parent_column).alias(name))
+    """Child rows whose reference names no parent, compared without case; a missing one is legal."""
+    name, match = "_reference", "_match"
+    known = parent.select(match_key(F.col(parent_column).cast("string")).alias(match))
     return (
         child.select(key.cast("string").alias("row_key"), F.col(column).alias(name))
         .where(F.col(name).isNotNull())
-        .join(known, name, "left_anti")
+        .withColumn(match, match_key(F.col(name).cast("string")))
+        .join(known, match, "left_anti")
         .select("row_key", F.lit(rule).alias("rule"), F.col(name).cast("string").alias("reference"))
     )

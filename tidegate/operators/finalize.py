@@ -130,8 +130,8 @@ def finalize(
     """Judge a set of finalize requests against one audit and state snapshot.
 
     The requests of one call count as concurrent: they all saw the same state.
-    If several could advance one config, the lowest ``call_order`` wins and the
-    others conflict.  A run id used again in the call is compared with what its
+    If several could advance one config, the lowest ``call_order`` wins (of equal
+    ones the smallest run id) and the others conflict.  A run id used again in the call is compared with what its
     first valid use puts into the audit.  Bounds are compared as exact texts.
     Winners and first uses are found by aggregation, never by a window over all
     requests of a key, so a key holding most of the requests stays parallel.
@@ -172,9 +172,10 @@ def finalize(
             current, ["ingestion_config_id", "watermark_field", "processing_lower_bound"]
         )
         .groupBy("ingestion_config_id")
-        .agg(F.min("call_order").alias("_winner_order"))
+        .agg(F.min(F.struct("call_order", "pipeline_run_id")).alias("_winner"))
     )
-    beaten = F.col("advance_watermark") & ~F.col("call_order").eqNullSafe(F.col("_winner_order"))
+    own = F.struct("call_order", "pipeline_run_id")
+    beaten = F.col("advance_watermark") & ~own.eqNullSafe(F.col("_winner"))
     audited = leaders.join(winners, "ingestion_config_id", "left").withColumns(
         {
             "_lost": beaten,

@@ -22,9 +22,14 @@ def _fingerprint_parts(row_hash: Column) -> dict[str, Column]:
     return parts
 
 
+def _row_hash(columns: list[str]) -> Column:
+    """A row's hash; each column goes with its null flag, because a hash passes over NULLs."""
+    return F.xxhash64(*[part for c in columns for part in (F.col(c), F.col(c).isNull())])
+
+
 def content_fingerprint(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row that is equal for two tables with the same rows in any order."""
-    parts = _fingerprint_parts(F.xxhash64(*columns))
+    parts = _fingerprint_parts(_row_hash(columns))
     return df.agg(
         F.count(F.lit(1)).alias("row_count"), *[e.alias(name) for name, e in parts.items()]
     )
@@ -32,7 +37,7 @@ def content_fingerprint(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def content_reconcile(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
     """Counts and checksum comparison of two tables, in one aggregate over both."""
-    row_hash = F.xxhash64(*columns).alias("_hash")
+    row_hash = _row_hash(columns).alias("_hash")
     both = left.select(F.lit("L").alias("_side"), row_hash).unionByName(
         right.select(F.lit("R").alias("_side"), row_hash)
     )

@@ -199,11 +199,13 @@ def execution_decision(
         "target_conn_ref",
     )
     target = connections.select(
-        F.col("connection_ref").alias("target_conn_ref"),
+        match_key(F.col("connection_ref")).alias("_target_key"),
         F.col("connection_type").alias("_target_type"),
     )
     # the small join first: config with its target, then the requests
-    known = config.join(target, "target_conn_ref", "left").withColumn("_found", F.lit(True))
+    known = config.join(
+        target, match_key(F.col("target_conn_ref")) == F.col("_target_key"), "left"
+    ).withColumn("_found", F.lit(True))
     pattern, strategy = F.upper("ingestion_pattern"), F.upper("load_strategy")
     decision = (
         F.when(F.col("_found").isNull(), CONFIG_NOT_FOUND)

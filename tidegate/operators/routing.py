@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from tidegate.errors import (
     UNSUPPORTED_FILE_ROUTE,
 )
 from tidegate.functions.documents import is_json_object, kind_of
+from tidegate.functions.text import match_key
 
 # fixed values: the supported connection type and strategy pairs per pattern
 ROUTES = {
@@ -22,32 +25,35 @@ ROUTED_FORMATS = ["DELIMITED_TEXT"]
 
 
 def resolve_connections(configs: DataFrame, connections: DataFrame) -> DataFrame:
-    """Configs joined to the source and the target role of the connections."""
+    """Configs joined to the source and the target role of the connections, without case."""
 
     def role(name: str) -> DataFrame:
         return connections.select(
-            F.col("connection_ref").alias(f"{name}_conn_ref"),
+            match_key(F.col("connection_ref")).alias(f"_{name}_key"),
             F.col("connection_type").alias(f"{name}_connection_type"),
             F.col("connection_settings").alias(f"{name}_connection_settings"),
         )
 
-    return configs.join(role("source"), "source_conn_ref").join(role("target"), "target_conn_ref")
+    for name in ("source", "target"):
+        key = match_key(F.col(f"{name}_conn_ref"))
+        configs = configs.join(role(name), key == F.col(f"_{name}_key")).drop(f"_{name}_key")
+    return configs
 
 
 def route_key(connection_type: Column, strategy: Column) -> Column:
     return F.concat_ws("|", F.upper(connection_type), F.upper(strategy))
 
 
-def route_objects(resolved: DataFrame) -> DataFrame:
+def route_objects(resolved: DataFrame, formats: Iterable[str] = ROUTED_FORMATS) -> DataFrame:
     """Add the route of each resolved config, or the code why there is none.
 
-    The file format is tested before the route, so an unreadable format is
+    ``formats`` are those the reader registry in use can read. The file format is tested before the route, so an unreadable format is
     reported as such whatever its connection.
     """
     key = route_key(F.col("source_connection_type"), F.col("load_strategy"))
     pattern = F.upper("ingestion_pattern")
     is_file, is_table = pattern == "FILE", pattern == "DATABASE"
-    readable = F.coalesce(F.upper("file_format").isin(*ROUTED_FORMATS), F.lit(False))
+    readable = F.coalesce(F.upper("file_format").isin(*formats), F.lit(False))
     error = (
         F.when(is_file & ~readable, UNSUPPORTED_FILE_FORMAT)
         .when(is_file & ~key.isin(*ROUTES["FILE"]), UNSUPPORTED_FILE_ROUTE)

@@ -221,9 +221,7 @@ def stream_audit_rollup(spark, folder):
     facts = frames.audit(spark, folder).select("source_system", "status", "start_time")
     facts.write.parquet(arrivals)
     incoming = spark.readStream.schema(facts.schema).parquet(arrivals)
-    rollup.write_updates(
-        rollup.hourly_counts(incoming), table, work_folder(spark, "stream-state")
-    )
+    rollup.write_updates(incoming, table, work_folder(spark, "stream-state"))
     return rollup.current_counts(spark.read.parquet(table))
 
 

@@ -130,7 +130,7 @@ class LoadCycle:
         decided = requests.execution_decision(wanted, self.configs, self.connections)
         resolved = routing.check_copy_options(
             routing.route_objects(
-                routing.resolve_connections(self.configs, self.connections)
+                routing.resolve_connections(self.configs, self.connections), list(self.registry)
             )
         )
         detail = resolved.withColumnRenamed("ingestion_config_id", "config_id").drop(

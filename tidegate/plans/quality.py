@@ -40,8 +40,17 @@ def content_reconcile(spark, folder):
     spread = lines.repartition(16, "l_partkey")
     same = reconcile.content_reconcile(lines, spread, LINE)
     other = reconcile.content_reconcile(lines, _drifted(lines), LINE)
-    return same.withColumn("pair", F.lit("copy")).unionByName(
-        other.withColumn("pair", F.lit("drifted"))
+    keys, flag = ["l_orderkey", "l_linenumber"], F.col("l_linestatus")
+    none = F.lit(None).cast("string")
+    moved = reconcile.content_reconcile(
+        lines.select(*keys, none.alias("a"), flag.alias("b")),
+        lines.select(*keys, flag.alias("a"), none.alias("b")),
+        [*keys, "a", "b"],
+    )
+    return (
+        same.withColumn("pair", F.lit("copy"))
+        .unionByName(other.withColumn("pair", F.lit("drifted")))
+        .unionByName(moved.withColumn("pair", F.lit("nulls moved")))
     )
 
 
@@ -50,6 +59,8 @@ WITH {_DRIFTED.strip()}
 SELECT 'copy' AS pair, count(*) AS left_count, count(*) AS right_count, true AS counts_equal,
   true AS checksum_equal FROM lineitem
 UNION ALL
+SELECT 'nulls moved', count(*), count(*), true, false FROM lineitem
+UNION ALL
 SELECT 'drifted', l, r, l = r, (SELECT count(*) FROM drift) = 0
 FROM (SELECT (SELECT count(*) FROM lineitem) AS l, (SELECT count(*) FROM drifted) AS r)"""
 
@@ -169,14 +180,18 @@ LEFT JOIN (SELECT l_orderkey,
 def conditional_pivot(spark, folder):
     lines = frames.table(spark, folder, "lineitem")
     return sales.conditional_pivot(
-        lines, ["l_orderkey"], "l_linenumber", "l_partkey", [1, 2, 3], "part_"
+        lines, ["l_orderkey"], "l_linenumber", "l_partkey", list(range(1, 8)), "part_"
     )
 
 
 SQL["conditional_pivot"] = """
 SELECT l_orderkey, max(CASE WHEN l_linenumber = 1 THEN l_partkey END) AS part_1,
   max(CASE WHEN l_linenumber = 2 THEN l_partkey END) AS part_2,
-  max(CASE WHEN l_linenumber = 3 THEN l_partkey END) AS part_3
+  max(CASE WHEN l_linenumber = 3 THEN l_partkey END) AS part_3,
+  max(CASE WHEN l_linenumber = 4 THEN l_partkey END) AS part_4,
+  max(CASE WHEN l_linenumber = 5 THEN l_partkey END) AS part_5,
+  max(CASE WHEN l_linenumber = 6 THEN l_partkey END) AS part_6,
+  max(CASE WHEN l_linenumber = 7 THEN l_partkey END) AS part_7
 FROM lineitem GROUP BY l_orderkey"""
 
 

@@ -33,9 +33,12 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """Folder all executors can reach: the cluster's ``spark.checkpoint.dir``.
 
-    Only where a session names none (unit tests) is a local folder made.
+    Only a local session that names none (unit tests) gets a folder of its own; on a
+    cluster each executor would see another one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return (root or tempfile.mkdtemp(prefix="tidegate-")).rstrip("/")
 
 

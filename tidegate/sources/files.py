@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,7 +50,13 @@ def rows_in_modified_window(df: DataFrame, low: str, high: str) -> DataFrame:
 
 
 def relative_to(path: Column, root: str) -> Column:
-    """Path below the root, without scheme, query mark or leading slash."""
-    plain_root = root.split("://", 1)[-1] if "://" in root else root.removeprefix("file:")
-    tail = F.substring_index(path, plain_root.rstrip("/") + "/", -1)
-    return F.substring_index(tail, "?", 1)
+    """Path below the root, without scheme or leading slash.
+
+    Exactly the root is cut off, by length, wherever its name occurs again below it. A path
+    that is not below the root keeps its full name.
+    """
+    place = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+    plain_root = re.sub(place, "", root).rstrip("/") + "/"
+    plain = F.regexp_replace(path, place, "")
+    below = F.substring(plain, len(plain_root) + 1, F.length(plain))
+    return F.when(plain.startswith(plain_root), below).otherwise(plain)

@@ -35,8 +35,13 @@ def range_width(lo: int, hi: int, slices: int) -> int:
 
 
 def range_number(column: Column, lo: int, width: int) -> Column:
-    """Zero-based number of the range a value falls in."""
-    return F.floor((column - F.lit(lo)) / F.lit(width)).cast("int")
+    """Zero-based number of the range a value falls in.
+
+    The remainder goes first: what is left divides evenly, so the quotient is exact although
+    the division is in doubles.
+    """
+    above = column.cast("bigint") - F.lit(lo)
+    return F.round((above - F.pmod(above, F.lit(width))) / F.lit(width)).cast("int")
 
 
 def label_ranges(df: DataFrame, column: str, slices: int) -> DataFrame:

@@ -8,11 +8,10 @@ from pyspark.sql import functions as F
 from tidegate.functions.text import match_key, source_name
 
 
-def hourly_counts(audit: DataFrame, lateness: str = "2 hours") -> DataFrame:
+def hourly_counts(audit: DataFrame) -> DataFrame:
     """Rows and failures per source and hour of start time."""
     return (
         audit.withColumn("start_time", F.col("start_time").cast("timestamp"))
-        .withWatermark("start_time", lateness)
         .groupBy(
             F.window("start_time", "1 hour").alias("_hour"),
             match_key(source_name(F.col("source_system"))).alias("source_name"),
@@ -30,15 +29,18 @@ def hourly_counts(audit: DataFrame, lateness: str = "2 hours") -> DataFrame:
     )
 
 
-def write_updates(counts: DataFrame, table: str, checkpoint: str) -> None:
-    """Store the groups each micro-batch changed, under the micro-batch's number."""
+def write_updates(audit: DataFrame, table: str, checkpoint: str) -> None:
+    """Store what each micro-batch adds to the counts, under the micro-batch's number.
+
+    No state is kept and nothing is too late: a row counts in the batch it arrives with,
+    however long ago its run started. A repeated batch overwrites its own folder.
+    """
 
     def store(rows: DataFrame, epoch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{table}/epoch={epoch}")
+        hourly_counts(rows).write.mode("overwrite").parquet(f"{table}/epoch={epoch}")
 
     query = (
-        counts.writeStream.outputMode("update")
-        .foreachBatch(store)
+        audit.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -47,10 +49,7 @@ def write_updates(counts: DataFrame, table: str, checkpoint: str) -> None:
 
 
 def current_counts(updates: DataFrame) -> DataFrame:
-    """The last stored value of each group."""
-    last = F.max_by(
-        F.struct("object_count", "failed_count"), F.col("epoch").cast("bigint")
-    ).alias("_last")
-    return updates.groupBy("hour_start", "source_name").agg(last).select(
-        "hour_start", "source_name", "_last.*"
+    """The sum of what all batches added to each group."""
+    return updates.groupBy("hour_start", "source_name").agg(
+        F.sum("object_count").alias("object_count"), F.sum("failed_count").alias("failed_count")
     )
