@@ -7,7 +7,7 @@ import pytest
 
 from tidegate.errors import LoadError
 from tidegate.functions.text import MESSAGE_LIMIT
-from tidegate.operators import bronze
+from tidegate.operators import bronze, monitor
 from tidegate.operators.requests import resolve_scope
 from tidegate.plans.filefeeds import OPTIONS
 from tidegate.plans.frames import FILE_OPTIONS
@@ -291,3 +291,48 @@ def test_hourly_counts_over_two_arrivals(spark, folder):
     assert [(r.source_name, r.object_count, r.failed_count) for r in got] == [
         ("s", 3, 1), ("s", 1, 1), ("unknown", 1, 0), ("s", 1, 0),
     ]
+
+
+def test_a_config_requested_twice_is_refused(spark, cycle):
+    made = cycle("B1")
+    with pytest.raises(LoadError) as caught:
+        run(spark, made, 1, 1)
+    assert caught.value.code == "51013" and made.store.audit().count() == 0
+
+
+def test_a_missing_source_connection_is_named(spark, cycle):
+    made = cycle("B1")
+    made.connections = made.connections.where("connection_ref <> 'db'")
+    got = run(spark, made, 2)
+    assert (got[2].status, got[2].error_code) == ("FAILED", "CONNECTION_NOT_FOUND")
+
+
+def test_a_failed_load_does_not_fix_the_types_of_its_table(spark, folder, cycle):
+    bad = spark.range(3).selectExpr("'text' AS id", "assert_true(id < 2, 'broken row') AS x")
+    assert run(spark, cycle("B1", lambda row: bad), 2)[2].status == "FAILED"
+    assert run(spark, cycle("B2"), 2)[2].status == "SUCCESS"
+
+
+def test_the_stored_audit_feeds_the_monitors(spark, cycle):
+    made = cycle("B1")
+    run(spark, made, 1, 2)
+    run(spark, cycle("B2"), 2)
+    ids = [r.ingestion_log_id for r in made.store.audit().orderBy("log_timestamp", "end_time").collect()]
+    assert ids == [1, 2, 3]
+    assert [r.batch_id for r in monitor.recent_audits(made.store.audit(), 1).collect()] == ["B2"]
+    assert [r.is_linked for r in monitor.watermark_chain(made.store.audit()).collect()] == [True]
+    monitor.register_views(made.store.audit(), made.configs, made.store.state())
+    counts = [spark.table(f"v_{name}").count() for name in (
+        "monitor_source_batch", "monitor_latest_source", "monitor_object_history",
+        "pipeline_watermarks")]
+    assert counts == [2, 1, 3, 2]
+
+
+def test_an_object_is_timed_on_its_own(spark, cycle):
+    made = cycle("B1", lambda row: spark.range(1).selectExpr(
+        "id", "java_method('java.lang.Thread', 'sleep', 2000L) AS x"))
+    made.objects_at_once = 1
+    finish, order = made._finish, []
+    made._finish = lambda *plan: order.append(time.time()) or finish(*plan)
+    rows = run(spark, made, 2, 4)
+    assert rows[4].duration_seconds <= 1 and len(order) == 2

@@ -120,6 +120,35 @@ def test_batch_sums_combine_before_their_only_shuffle(frame, plan):
     assert text.count("Exchange hashpartitioning") == 1
 
 
+def test_latest_batches_read_the_audit_once(spark, frame, folder, plan):
+    """Plans alike for queries and views; brute force agrees over many spellings."""
+    rng = random.Random(3)
+    rows = [
+        fact(n, rng.choice(["S", "s ", " T", "t", None, ""]), f"B{rng.randrange(6)}",
+             rng.choice(["SUCCESS", "FAILED"]), rng.randrange(5), 1)
+        for n in range(80)
+    ]
+    frame(AUDIT, *rows).write.parquet(folder + "/a")
+    latest = monitor.latest_source(spark.read.parquet(folder + "/a"))
+    assert plan(latest).count("FileScan") == 1
+    by_name = {}
+    for _, source, batch, status, count, _, _, end in rows:
+        name = (source or "").strip() or "UNKNOWN"
+        by_name.setdefault(name.lower(), []).append((end, batch, name, status))
+    expected = set()
+    for found in by_name.values():
+        ends = {}
+        for end, batch, *_ in found:
+            ends[batch] = max(end, ends.get(batch, end))
+        last = max(ends, key=lambda b: (ends[b], b))
+        own = [f for f in found if f[1] == last]
+        failed = sum(f[3] == "FAILED" for f in own)
+        expected.add((min(f[2] for f in found), last, len(own), failed, ends[last]))
+    got = {(r.source_system, r.batch_id, r.object_count, r.failed_count, r.batch_end_time)
+           for r in latest.collect()}
+    assert got == expected
+
+
 def test_report_views_follow_the_table(spark, frame, folder):
     path = folder + "/audit"
     names = [f.split()[0] for f in AUDIT.split(", ")]

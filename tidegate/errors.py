@@ -43,6 +43,7 @@ SOURCE_QUERY_FAILED = "SOURCE_QUERY_FAILED"
 INCOMPATIBLE_SCHEMA = "INCOMPATIBLE_SCHEMA"
 LANDING_COPY_FAILED = "LANDING_COPY_FAILED"
 LOAD_FAILED = "LOAD_FAILED"
+CONNECTION_NOT_FOUND = "CONNECTION_NOT_FOUND"
 
 
 class LoadError(Exception):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidegate.errors import BRONZE_CLEANUP_INCOMPLETE, LoadError
-from tidegate.operators.evolution import declare_type, declared_types, merged
+from tidegate.operators.evolution import check_type, declare_type, declared_types, merged
 
 EXECUTION = ["_batch_id", "_pipeline_run_id"]
 
@@ -30,12 +30,15 @@ def append_execution(df: DataFrame, table: str) -> int:
     One pass: the count is observed while the files are written, directly below
     the write, so a lost or repeated task is counted once.  Columns new to the
     table are allowed; a column with another type is refused before the write.
+    The columns are declared once the rows are there, so a failed write leaves no
+    trace of its types.
     """
     row_type = StructType([field for field in df.schema.fields if field.name not in EXECUTION])
-    declare_type(df.sparkSession, table, row_type)
+    check_type(df.sparkSession, table, row_type)
     seen = Observation()
     rows = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     rows.write.mode("append").partitionBy(*EXECUTION).parquet(table)
+    declare_type(df.sparkSession, table, row_type)
     return int(seen.get["rows"])
 
 

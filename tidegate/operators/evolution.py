@@ -61,11 +61,21 @@ def declared_types(spark: SparkSession, table: str) -> list[StructType]:
     return found
 
 
-def declare_type(spark: SparkSession, table: str, schema: StructType) -> None:
-    """Check the row type against the table's columns and record it if it is new."""
+def check_type(spark: SparkSession, table: str, schema: StructType) -> tuple[StructType, list[StructType]]:
+    """The row type and those declared so far; LoadError where they contradict each other."""
     plain = StructType([StructField(f.name, f.dataType) for f in schema.fields])
     known = declared_types(spark, table)
     merged([*known, plain])
+    return plain, known
+
+
+def declare_type(spark: SparkSession, table: str, schema: StructType) -> None:
+    """Check the row type against the table's columns and record it if it is new.
+
+    Called after the rows were written: of two first appends with types that contradict
+    each other, the later one fails here and its rows are cleaned up.
+    """
+    plain, known = check_type(spark, table, schema)
     if any(plain.simpleString() == one.simpleString() for one in known):
         return
     text = plain.json()

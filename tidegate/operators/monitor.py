@@ -60,11 +60,16 @@ def source_batch(audit: DataFrame, live: bool = False) -> DataFrame:
     return _summarise(named, _looked_up(_display_names(_spellings(named)), live))
 
 
-def _summarise(named: DataFrame, display_names: DataFrame) -> DataFrame:
+def _status_of(severity: str) -> Column:
+    names = F.array(*[F.lit(code) for code in reversed(STATUS_PRECEDENCE)])
+    return F.element_at(names, F.col(severity))
+
+
+def _sums() -> list[Column]:
+    """The figures of a batch, in the order of the summary, and its strongest status."""
     status = F.upper("status")
     is_status = lambda code: F.sum(F.when(status == code, 1).otherwise(0))
-    names = F.array(*[F.lit(code) for code in reversed(STATUS_PRECEDENCE)])
-    batches = named.groupBy("_name", "batch_id").agg(
+    return [
         F.count(F.lit(1)).alias("object_count"),
         is_status("SUCCESS").alias("success_count"),
         is_status("FAILED").alias("failed_count"),
@@ -74,34 +79,43 @@ def _summarise(named: DataFrame, display_names: DataFrame) -> DataFrame:
         F.min("start_time").alias("batch_start_time"),
         F.max("end_time").alias("batch_end_time"),
         F.max(_severity(status)).alias("_severity"),
-    )
+    ]
+
+
+def _summarise(named: DataFrame, display_names: DataFrame) -> DataFrame:
+    batches = named.groupBy("_name", "batch_id").agg(*_sums())
     return (
         batches.join(display_names, "_name")
-        .withColumn("source_status", F.element_at(names, F.col("_severity")))
+        .withColumn("source_status", _status_of("_severity"))
         .select(*SUMMARY)
     )
 
 
-def latest_source(audit: DataFrame, live: bool = False) -> DataFrame:
+def latest_source(audit: DataFrame) -> DataFrame:
     """The most recent batch of each source; equal end times go to the later id.
 
-    A batch ends with its last row, so the latest batch is the one holding the
-    source's latest end time.  It is found by two aggregates over few columns,
-    each reduced to one row per source in every task; only the rows of those
-    batches are then summed.  No shuffle carries all batches.
+    The audit is read once. Rows are summed by batch and spelling of the source, with running
+    values of fixed width; those few sums are merged by batch, and each task passes on only
+    the latest batch of a source it holds, so a source with most batches stays parallel.
     """
-    named = _named(audit)
-    spellings = _looked_up(_spellings(named), live)
-    newest = spellings.groupBy("_name").agg(F.max("end_time").alias("end_time"))
-    ends = named.select("_name", "batch_id", "end_time")
-    chosen = _looked_up(
-        ends.join(newest, ["_name", "end_time"])
-        .groupBy("_name")
-        .agg(F.max("batch_id").alias("batch_id")),
-        live,
+    named = _named(audit).withColumn("_text", source_name(F.col("source_system")))
+    spelled = named.groupBy("_name", "_text", "batch_id").agg(*_sums())
+    merged = [F.sum(name).alias(name) for name in SUMMARY[2:8]]
+    batches = spelled.groupBy("_name", "batch_id").agg(
+        *merged,
+        F.min("batch_start_time").alias("batch_start_time"),
+        F.max("batch_end_time").alias("batch_end_time"),
+        F.max("_severity").alias("_severity"),
+        F.min("_text").alias("_text"),
+    )
+    figures = F.struct("batch_id", *SUMMARY[2:10], "_severity")
+    newest = batches.groupBy("_name").agg(
+        F.max_by(figures, F.struct("batch_end_time", "batch_id")).alias("_last"),
+        F.min("_text").alias("source_system"),
+    )
+    return newest.select("source_system", "_last.*").select(
+        *SUMMARY[:-1], _status_of("_severity").alias("source_status")
     )
-    rows = named.join(chosen, ["_name", "batch_id"], "left_semi")
-    return _summarise(rows, _display_names(spellings))
 
 
 def object_history(audit: DataFrame) -> DataFrame:
@@ -137,10 +151,8 @@ def history_totals(history: DataFrame, dimensions: list[str]) -> DataFrame:
 
 def history_of(history: DataFrame, sources: DataFrame) -> DataFrame:
     """All history of the selected sources, not only their latest batch."""
-    chosen = small_side(
-        sources.where(F.col("source_system").isNotNull()).select(
-            match_key(F.col("source_system")).alias("_name")
-        )
+    chosen = sources.where(F.col("source_system").isNotNull()).select(
+        match_key(F.col("source_system")).alias("_name")
     )
     return (
         history.withColumn("_name", match_key(F.col("source_system")))
@@ -168,7 +180,7 @@ def register_views(audit: DataFrame, configs: DataFrame, state: DataFrame) -> No
     """Temporary views for reports; nothing is cached, each query reads the tables."""
     views = {
         "v_monitor_source_batch": source_batch(audit, live=True),
-        "v_monitor_latest_source": latest_source(audit, live=True),
+        "v_monitor_latest_source": latest_source(audit),
         "v_monitor_object_history": object_history(audit),
         "v_pipeline_watermarks": watermark_view(configs, state),
     }
@@ -177,8 +189,8 @@ def register_views(audit: DataFrame, configs: DataFrame, state: DataFrame) -> No
 
 
 def recent_audits(audit: DataFrame, count: int) -> DataFrame:
-    """The newest audit rows: a top-k, kept per task before the final merge."""
-    return audit.orderBy(F.col("ingestion_log_id").desc()).limit(count)
+    """The audit rows that ended last: a top-k, kept per task before the final merge."""
+    return audit.orderBy(F.desc("end_time"), F.desc("ingestion_log_id")).limit(count)
 
 
 def previous_in_order(

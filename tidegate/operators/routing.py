@@ -24,8 +24,13 @@ ROUTES = {
 ROUTED_FORMATS = ["DELIMITED_TEXT"]
 
 
-def resolve_connections(configs: DataFrame, connections: DataFrame) -> DataFrame:
-    """Configs joined to the source and the target role of the connections, without case."""
+def resolve_connections(
+    configs: DataFrame, connections: DataFrame, how: str = "inner"
+) -> DataFrame:
+    """Configs joined to the source and the target role of the connections, without case.
+
+    With a left join, configs whose reference is missing stay, with no connection type.
+    """
 
     def role(name: str) -> DataFrame:
         return connections.select(
@@ -36,7 +41,7 @@ def resolve_connections(configs: DataFrame, connections: DataFrame) -> DataFrame
 
     for name in ("source", "target"):
         key = match_key(F.col(f"{name}_conn_ref"))
-        configs = configs.join(role(name), key == F.col(f"_{name}_key")).drop(f"_{name}_key")
+        configs = configs.join(role(name), key == F.col(f"_{name}_key"), how).drop(f"_{name}_key")
     return configs
 
 

@@ -20,6 +20,8 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tidegate.errors import (
     BRONZE_CLEANUP_FAILED,
+    CONNECTION_NOT_FOUND,
+    DUPLICATE_REQUEST,
     LANDING_CLEANUP_FAILED,
     LANDING_COPY_FAILED,
     LOAD_FAILED,
@@ -47,6 +49,9 @@ from tidegate.sources.tables import upper_bound, window_rows
 ENVELOPE = StructType(
     [StructField("envelope_id", IntegerType()), StructField("request_json", StringType())]
 )
+CLEAN_UP = StructType(
+    [StructField("pipeline_run_id", StringType()), StructField("_failed", StringType())]
+)
 SOURCE_BOUND = StructType(
     [StructField("config_id", IntegerType()), StructField("source_upper_bound", StringType())]
 )
@@ -130,7 +135,8 @@ class LoadCycle:
         decided = requests.execution_decision(wanted, self.configs, self.connections)
         resolved = routing.check_copy_options(
             routing.route_objects(
-                routing.resolve_connections(self.configs, self.connections), list(self.registry)
+                routing.resolve_connections(self.configs, self.connections, "left"),
+                list(self.registry),
             )
         )
         detail = resolved.withColumnRenamed("ingestion_config_id", "config_id").drop(
@@ -138,6 +144,8 @@ class LoadCycle:
         )
         rows = decided.join(detail, "config_id", "left").limit(LARGEST_PAGE + 1).collect()
         checked_page_size(max(1, len(rows)))
+        if len({row.config_id for row in rows}) < len(rows):
+            raise LoadError(str(DUPLICATE_REQUEST), "a config is requested more than once")
         needs_bound = [
             row
             for row in rows
@@ -172,6 +180,8 @@ class LoadCycle:
         """How the object ends without a load, or PROCESS."""
         if row.terminal_status:
             return row.terminal_status, None if row.terminal_status == "SKIPPED" else row.decision
+        if row.source_connection_type is None:
+            return "FAILED", CONNECTION_NOT_FOUND
         if row.route_error:
             return "FAILED", row.route_error
         if lookup_failure:
@@ -185,7 +195,8 @@ class LoadCycle:
     def _finish(
         self, row: Row, window: Row | None, lookup_failure: Exception | None, started: str
     ) -> dict:
-        """Load one object and describe how it ended."""
+        """Load one object and describe how it ended, from its own start to its own end."""
+        began = datetime.now(timezone.utc).replace(tzinfo=None)
         run_id = str(uuid.uuid4())
         low = window.processing_lower_bound if window else None
         high = window.processing_upper_bound if window else None
@@ -230,7 +241,7 @@ class LoadCycle:
             "status": status,
             "error_code": code,
             "error_message": message,
-            "start_time": datetime.fromisoformat(started[:-1]),
+            "start_time": began,
             "end_time": datetime.now(timezone.utc).replace(tzinfo=None),
             "advance_watermark": may_advance,
             "call_order": row.config_id,
@@ -305,8 +316,14 @@ class LoadCycle:
             "ingestion_config_id", "batch_id", "pipeline_run_id", "target_schema",
             "target_table", "landing_path",
         )
-        for row in lost.collect():
-            self._remove_execution(row)
+        problems = []
+        for row in lost.toLocalIterator():
+            try:
+                self._remove_execution(row)
+            except LoadError as problem:  # the other executions are still removed
+                problems.append(problem)
+        if problems:
+            raise LoadError(problems[0].code, "; ".join(map(str, problems))[:MESSAGE_LIMIT])
 
     def _remove_execution(self, row: Row) -> None:
         """Table rows first, then the landed files where there are any."""
@@ -334,13 +351,16 @@ class LoadCycle:
         except Exception:  # an audit that cannot be read confirms nothing
             audit = None
         judged = recovery.recovery_actions(uncertain, audit).checkpoint()
-        failed = {}
-        for row in judged.where(F.col("action") != recovery.KEEP).collect():
+        failed = []
+        for row in judged.where(F.col("action") != recovery.KEEP).toLocalIterator():
             try:
                 self._remove_execution(row)
             except LoadError as problem:
-                failed[row.pipeline_run_id] = problem.code
-        final = F.col("final_error")
-        for run_id, code in failed.items():
-            final = F.when(F.col("pipeline_run_id") == run_id, code).otherwise(final)
-        return judged.withColumn("final_error", final)
+                failed.append((row.pipeline_run_id, problem.code))
+        codes = local_frame(self.spark, failed, CLEAN_UP)
+        final = F.coalesce("_failed", "final_error")
+        return (
+            judged.join(codes, "pipeline_run_id", "left")
+            .withColumn("final_error", final)
+            .select(*judged.columns)
+        )

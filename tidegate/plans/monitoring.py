@@ -142,7 +142,7 @@ SQL["recent_audits"] = with_tables(
     body="""
 SELECT ingestion_log_id, batch_id, pipeline_run_id, source_system, source_object, run_type,
   load_strategy, status, error_code, end_time
-FROM audit ORDER BY ingestion_log_id DESC LIMIT 20""",
+FROM audit ORDER BY end_time DESC, ingestion_log_id DESC LIMIT 20""",
 )
 
 

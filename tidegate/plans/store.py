@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidegate.errors import WATERMARK_CONFLICT, VersionTaken
-from tidegate.schemas import AUDIT, STATE
+from tidegate.operators.positions import dense_positions
+from tidegate.schemas import AUDIT, AUDIT_LOG, STATE
 from tidegate.session import local_frame
 
 
@@ -40,14 +41,34 @@ class ControlStore:
         return self.spark.read.schema(STATE).parquet(f"{self.root}/state/version={number}")
 
     def audit(self, version: int | None = None) -> DataFrame:
-        """All audit rows up to a version."""
+        """All audit rows up to a version, with their ids and the time they were published."""
         number = self.version() if version is None else version
+        return self._versions(number).where(F.col("version") <= number).drop("version")
+
+    def _versions(self, number: int) -> DataFrame:
+        stored = StructType([*AUDIT_LOG.fields, StructField("version", IntegerType())])
         files, folder = self._path("audit")
         if number == 0 or not files.exists(folder):
-            return local_frame(self.spark, [], AUDIT)
-        stored = StructType([*AUDIT.fields, StructField("version", IntegerType())])
-        rows = self.spark.read.schema(stored).parquet(f"{self.root}/audit")
-        return rows.where(F.col("version") <= number).drop("version")
+            return local_frame(self.spark, [], stored)
+        return self.spark.read.schema(stored).parquet(f"{self.root}/audit")
+
+    def _last_id(self, base: int) -> int:
+        """The highest row id so far: that of the base version, or of earlier ones if it has no rows."""
+        rows = self._versions(base)
+        for part in (F.col("version") == base, F.col("version") < base):
+            found = rows.where(part).agg(F.max("ingestion_log_id")).first()[0]
+            if found is not None:
+                return found
+        return 0
+
+    def _logged(self, audit_rows: DataFrame, base: int) -> DataFrame:
+        """The rows with the ids that follow the base version's, in the order the runs ended."""
+        rows = audit_rows.select(*AUDIT.fieldNames())
+        placed = dense_positions(rows, ["end_time", "pipeline_run_id"], "_place")
+        return placed.select(
+            (F.col("_place") + self._last_id(base)).alias("ingestion_log_id"), *rows.columns,
+            F.localtimestamp().alias("log_timestamp"),
+        )
 
     def commit(self, base: int, audit_rows: DataFrame, state: DataFrame) -> int:
         """Publish the next version; fails when another writer took it first."""
@@ -61,7 +82,7 @@ class ControlStore:
             raise VersionTaken(
                 WATERMARK_CONFLICT, f"version {number} was taken by another writer"
             ) from problem
-        audit_rows.write.mode("overwrite").parquet(f"{self.root}/audit/version={number}")
+        self._logged(audit_rows, base).write.mode("overwrite").parquet(f"{self.root}/audit/version={number}")
         state.write.mode("overwrite").parquet(f"{self.root}/state/version={number}")
         return number
 

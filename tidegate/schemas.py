@@ -65,8 +65,7 @@ STATE = _fields(
     ("watermark_updated_at", TimestampNTZType, True),
 )
 
-# One terminal row per object execution.  The row id is left out: a lake table
-# has no identity column, and ``pipeline_run_id`` is the key.
+# One terminal row per object execution; ``pipeline_run_id`` is the key.
 AUDIT = _fields(
     ("ingestion_config_id", IntegerType, True),
     ("batch_id", StringType, False),
@@ -97,6 +96,15 @@ AUDIT = _fields(
     ("duration_seconds", LongType, False),
 )
 
+# As stored: with the id of the row, rising in the order of publication, and the time of that.
+AUDIT_LOG = StructType(
+    [
+        StructField("ingestion_log_id", LongType(), False),
+        *AUDIT.fields,
+        StructField("log_timestamp", TimestampNTZType(), False),
+    ]
+)
+
 # A finalize call carries the audit facts except those looked up or computed.
 FINALIZE_REQUEST = StructType(
     [
