@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from tidegate.errors import LoadError
 from tidegate.operators import bronze, landing
+from tidegate.operators.routing import check_file_options
 from tidegate.operators.lineage import stamp_file_lineage, stamp_lineage
 from tidegate.sources.files import discover
 from tidegate.sources.readers import (
-    EXTENDED_READERS, is_header_mismatch, parse_options, read_delimited, reader_for,
+    EXTENDED_READERS, is_header_mismatch, named_read_failure, read_delimited, reader_for,
 )
 
 NOW = "2026-03-01T23:59:59.999Z"
@@ -186,10 +187,29 @@ def test_reader_registry(spark, folder):
     assert rows.dtypes == [("id", "string")]
 
 
-def test_options_must_be_an_object():
-    for text in (None, "", "[]", "{", '"x"'):
-        with pytest.raises(ValueError):
-            parse_options(text)
+def test_options_must_be_an_object(frame):
+    texts = [None, "", "[]", "{", '"x"', '{"quote":5,"has_header":true,"more":"y"}']
+    rows = check_file_options(
+        frame("ingestion_pattern string, source_options string", *[("FILE", t) for t in texts])
+    ).collect()
+    assert [r.file_option_error for r in rows] == ["INVALID_SOURCE_OPTIONS"] * 5 + [None]
+    assert rows[5].file_options.quote is None and rows[5].file_options.has_header is True
+    assert rows[5].file_members["more"] == "y"
+
+
+@pytest.mark.parametrize("line", ["3,4,5", "3"])
+def test_malformed_lines_stop_the_read(spark, folder, line):
+    write(folder + "/in/a.csv", "a,b", "1,2", line)
+    with pytest.raises(Exception) as caught:
+        read_delimited(spark, folder + "/in", OPTIONS).collect()
+    assert named_read_failure(caught.value).code == "MALFORMED_ROWS"
+
+
+def test_parquet_files_of_different_columns_are_merged(spark, folder):
+    spark.sql("SELECT 1 AS a").write.parquet(folder + "/p/x")
+    spark.sql("SELECT 2 AS b").write.parquet(folder + "/p/y")
+    rows = reader_for("PARQUET", EXTENDED_READERS)(spark, folder + "/p", {})
+    assert sorted(rows.columns) == ["a", "b"] and rows.count() == 2
 
 
 def test_file_lineage_names_the_source(spark, folder):
@@ -218,8 +238,13 @@ def test_landing_copies_bytes_and_hierarchy(spark, folder):
             assert file.read() == data
         assert rows[name].sha256 == hashlib.sha256(data).hexdigest()
         assert rows[name].written == rows[name].length == len(data)
-    gate = landing.landing_gate(manifest).first()
-    assert (gate.outcome, gate.error_code, gate.files_read) == ("PROCESS", None, 2)
+    gate = lambda: landing.landing_gate(manifest, landing.landed_files(spark, leaf)).first()
+    assert (gate().outcome, gate().error_code, gate().files_read) == ("PROCESS", None, 2)
+    with open(f"{leaf}/a.csv", "wb") as file:  # cut short after the copy
+        file.write(b"x")
+    assert gate().outcome == "FAILED"
+    os.remove(f"{leaf}/a.csv")
+    assert (gate().outcome, gate().files_written) == ("FAILED", 1)
 
 
 def test_gate_tests_counts_before_no_data(frame):

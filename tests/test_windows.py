@@ -24,6 +24,8 @@ def test_seven_digit_window(frame):
     at = sortable_bound(F.col("at"))
     low, high = (sortable_bound(F.lit(day + f)) for f in ("1234567", "1240001"))
     assert [r.id for r in rows.where((at > low) & (at <= high)).collect()] == [2, 3, 4]
+    window = window_rows(rows, "at", day + "1234567", upper_bound(rows, "at").first().upper_bound)
+    assert [r.id for r in window.collect()] == [2, 3, 4]
 
 
 def test_sortable_form(frame):

@@ -43,6 +43,8 @@ SOURCE_QUERY_FAILED = "SOURCE_QUERY_FAILED"
 INCOMPATIBLE_SCHEMA = "INCOMPATIBLE_SCHEMA"
 LANDING_COPY_FAILED = "LANDING_COPY_FAILED"
 LOAD_FAILED = "LOAD_FAILED"
+INVALID_SOURCE_OPTIONS = "INVALID_SOURCE_OPTIONS"
+MALFORMED_ROWS = "MALFORMED_ROWS"
 CONNECTION_NOT_FOUND = "CONNECTION_NOT_FOUND"
 
 

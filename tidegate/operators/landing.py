@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.errors import LANDING_CLEANUP_INCOMPLETE, LANDING_FILE_COUNT_MISMATCH, LoadError
-from tidegate.operators.bronze import checked_segment, remove_folder
-from tidegate.sources.files import relative_to
+from tidegate.operators.bronze import checked_segment, path_exists, remove_folder
+from tidegate.sources.files import discover, relative_to
 
 CHUNK = 8 * 1024 * 1024
 
@@ -88,20 +88,39 @@ def _as_uri(column: str):
     return F.regexp_replace(F.col(column), r"^file:/+", "file:///")
 
 
-def landing_gate(manifest: DataFrame) -> DataFrame:
-    """Compare what was found with what was written, before the no-data test."""
-    totals = manifest.agg(
-        F.count(F.lit(1)).alias("files_read"),
-        F.count("written").alias("files_written"),
-        F.coalesce(F.sum("length"), F.lit(0)).alias("bytes_read"),
-        F.coalesce(F.sum("written"), F.lit(0)).alias("bytes_written"),
+def landed_files(spark: SparkSession, leaf: str) -> DataFrame:
+    """The files below a leaf, listed anew; none where nothing was landed."""
+    if path_exists(spark, leaf):
+        return discover(spark, leaf)
+    return spark.createDataFrame([], "path string, modified_time timestamp_ntz, length long")
+
+
+def landing_gate(manifest: DataFrame, landed: DataFrame) -> DataFrame:
+    """Compare what was found with what lies in the leaf, before the no-data test.
+
+    ``landed`` is a listing of the leaf made after the copies, so a file lost or cut short
+    after its copy was acknowledged is noticed.
+    """
+    found = manifest.select(F.lit(True).alias("_source"), "length")
+    both = found.unionByName(landed.select(F.lit(False).alias("_source"), "length"))
+    length = lambda source: F.when(F.col("_source") == source, F.col("length"))
+    totals = both.agg(
+        F.count(length(True)).alias("files_read"),
+        F.count(length(False)).alias("files_written"),
+        F.coalesce(F.sum(length(True)), F.lit(0)).alias("bytes_read"),
+        F.coalesce(F.sum(length(False)), F.lit(0)).alias("bytes_written"),
     )
     return gate_outcome(totals)
 
 
 def gate_outcome(totals: DataFrame) -> DataFrame:
-    """Outcome per row of counts: mismatch fails, nothing found skips, else go on."""
+    """Outcome per row of counts: mismatch fails, nothing found skips, else go on.
+
+    Bytes are compared where the row has them.
+    """
     same = F.col("files_read") == F.col("files_written")
+    if {"bytes_read", "bytes_written"} <= set(totals.columns):
+        same = same & (F.col("bytes_read") == F.col("bytes_written"))
     return totals.withColumns(
         {
             "outcome": F.when(~same, "FAILED")
@@ -114,15 +133,10 @@ def gate_outcome(totals: DataFrame) -> DataFrame:
 
 def delete_landing(spark: SparkSession, path: str, config_id, batch_id: str, run_id: str) -> None:
     """Remove one execution's landing folder, and nothing that is not exactly that."""
-    parts = [part for part in path.split("/") if part]
-    expected = landing_leaf("", "x", config_id, batch_id, run_id).split("/")[2:]
-    is_leaf = (
-        len(parts) >= 4
-        and not {".", ".."} & set(parts)
-        and parts[-4].startswith("ingestion_date=")
-        and parts[-3:] == expected
-    )
-    if not is_leaf:
+    base, _, below = path.rstrip("/").rpartition("/ingestion_date=")
+    date = below.partition("/")[0]
+    own = landing_leaf(base, date, config_id, batch_id, run_id) if base and date else None
+    if own != path.rstrip("/") or {".", ".."} & set(base.split("/")):
         raise ValueError(f"not the landing folder of this execution: {path}")
     if not remove_folder(spark, path):
         raise LoadError(LANDING_CLEANUP_INCOMPLETE, path)

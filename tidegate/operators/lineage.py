@@ -12,8 +12,8 @@ from tidegate.sources.files import relative_to
 
 def utc_now_text() -> str:
     """The current instant, cut to milliseconds, with the UTC mark."""
-    now = datetime.now(timezone.utc).isoformat(timespec="milliseconds")
-    return now.replace("+00:00", "Z")
+    now = datetime.now(timezone.utc)
+    return f"{now:%Y-%m-%dT%H:%M:%S}.{now.microsecond // 1000:03d}Z"
 
 
 def stamp_lineage(

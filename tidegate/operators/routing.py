@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidegate.errors import (
     INVALID_COPY_OPTIONS,
+    INVALID_SOURCE_OPTIONS,
     UNSUPPORTED_DATABASE_ROUTE,
     UNSUPPORTED_FILE_FORMAT,
     UNSUPPORTED_FILE_ROUTE,
@@ -22,6 +23,15 @@ ROUTES = {
     "FILE": ["SFTP|FULL", "SFTP|INCREMENTAL"],
 }
 ROUTED_FORMATS = ["DELIMITED_TEXT"]
+# fixed values: the options of delimited text and their kinds
+FILE_OPTIONS = {
+    "file_name_pattern": "STRING",
+    "delimiter": "STRING",
+    "has_header": "BOOLEAN",
+    "encoding": "STRING",
+    "quote": "STRING",
+    "escape": "STRING",
+}
 
 
 def resolve_connections(
@@ -104,3 +114,30 @@ def check_copy_options(configs: DataFrame, column: str = "copy_options") -> Data
             "copy_error": F.when(~legal, INVALID_COPY_OPTIONS),
         }
     )
+
+
+def check_file_options(configs: DataFrame, column: str = "source_options") -> DataFrame:
+    """The reader options of file configs, or the code for a text that is no JSON object.
+
+    ``file_options`` is a struct of the known options, empty where one is of another kind, so
+    that a reader sees it as missing; ``file_members`` has every member as text, for readers
+    with options of their own.
+    """
+    text = F.col(column)
+    options = F.try_parse_json(text)
+
+    def typed(name: str, kind: str) -> Column:
+        path = f"$.{name}"
+        is_kind = kind_of(F.try_variant_get(options, path, "variant")) == kind
+        return F.when(is_kind, F.try_variant_get(options, path, kind.lower())).alias(name)
+
+    legal = is_json_object(text)
+    is_file = F.upper("ingestion_pattern") == "FILE"
+    known = F.struct(*[typed(name, kind) for name, kind in FILE_OPTIONS.items()])
+    return configs.withColumns(
+        {
+            "file_options": F.when(is_file & legal, known),
+            "file_members": F.when(is_file & legal, F.from_json(text, "map<string,string>")),
+            "file_option_error": F.when(is_file & ~legal, INVALID_SOURCE_OPTIONS),
+        }
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 
 from pyspark.sql import functions as F
@@ -24,22 +25,25 @@ from tidegate.sources.files import (
     relative_to,
     rows_in_modified_window,
 )
-from tidegate.sources.readers import parse_options, reader_for
+from tidegate.sources.readers import reader_for
 from tidegate.streaming import feed, rollup
 
 QUERIES, SQL = {}, {}
 
-OPTIONS = parse_options(frames.FILE_OPTIONS)
+OPTIONS = json.loads(frames.FILE_OPTIONS)
 AREAS, SLOTS = 3, 12
 
 
 def _page_feed(spark, folder):
     """Pages as delimited files in nested folders, beside files of another kind.
 
-    The areas are written one after the other, so their files differ in time.
+    The areas are written one after the other, so their files differ in time. The page's
+    source goes as base64: a field of a delimited line holds no line ends.
     """
     root = work_folder(spark, "feed")
-    pages = frames.table(spark, folder, "pages").select("page_id", "url")
+    pages = frames.table(spark, folder, "pages").select(
+        "page_id", "url", F.translate(F.base64(F.encode("html", "UTF-8")), "\r\n", "").alias("html")
+    )
     slotted = pages.withColumn("slot", F.col("page_id") % SLOTS)
     for area in range(AREAS):
         writer = slotted.where(F.col("page_id") % AREAS == area).write.partitionBy("slot")
@@ -78,11 +82,14 @@ FROM pages"""
 def file_window(spark, folder):
     root = _page_feed(spark, folder)
     rows = reader_for("delimited_text")(spark, root, OPTIONS)
-    return rows_in_modified_window(rows, *_second_area(spark, root)).select("page_id", "url")
+    return rows_in_modified_window(rows, *_second_area(spark, root)).select(
+        "page_id", "url", "html"
+    )
 
 
 SQL["file_window"] = f"""
-SELECT CAST(page_id AS VARCHAR) AS page_id, url FROM pages WHERE page_id % {AREAS} = 1"""
+SELECT CAST(page_id AS VARCHAR) AS page_id, url, base64(encode(html)) AS html
+FROM pages WHERE page_id % {AREAS} = 1"""
 
 
 def _customer_files(spark, folder):
@@ -140,7 +147,7 @@ def landing_manifest(spark, folder):
     window = _second_area(spark, root)
     found = modified_window(discover(spark, root, "part-*.csv"), *window)
     manifest = landing.land_files(spark, found, root, leaf).checkpoint()
-    gate = landing.landing_gate(manifest).select(
+    gate = landing.landing_gate(manifest, landing.landed_files(spark, leaf)).select(
         F.lit("gate").alias("check_name"),
         ((F.col("outcome") == "PROCESS") & (F.col("bytes_read") == F.col("bytes_written"))).alias(
             "passed"
@@ -206,12 +213,12 @@ def stream_file_feed(spark, folder):
             spark, root, schema, OPTIONS, "/outbound/pages", target, checkpoint, "pages"
         )
     return bronze.read_bronze(spark, target).select(
-        "page_id", "url", F.regexp_replace("_source_file_path", r"[^/]+$", "").alias("folder")
+        "page_id", "url", "html", F.regexp_replace("_source_file_path", r"[^/]+$", "").alias("folder")
     )
 
 
 SQL["stream_file_feed"] = f"""
-SELECT CAST(page_id AS VARCHAR) AS page_id, url,
+SELECT CAST(page_id AS VARCHAR) AS page_id, url, base64(encode(html)) AS html,
   '/outbound/pages/area=' || (page_id % {AREAS}) || '/slot=' || (page_id % {SLOTS}) || '/' AS folder
 FROM pages"""
 

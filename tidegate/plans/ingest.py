@@ -43,7 +43,7 @@ from tidegate.plans.store import ControlStore
 from tidegate.schemas import FINALIZE_REQUEST, RUN_REQUEST
 from tidegate.session import local_frame
 from tidegate.sources.files import discover, modified_window
-from tidegate.sources.readers import READERS, named_read_failure, parse_options, reader_for
+from tidegate.sources.readers import READERS, named_read_failure, reader_for
 from tidegate.sources.tables import upper_bound, window_rows
 
 ENVELOPE = StructType(
@@ -133,13 +133,13 @@ class LoadCycle:
     ) -> list[tuple[Row, Row | None, Exception | None]]:
         """Decision, route, options and window of each request, as driver rows."""
         decided = requests.execution_decision(wanted, self.configs, self.connections)
-        resolved = routing.check_copy_options(
+        routed = routing.check_copy_options(
             routing.route_objects(
                 routing.resolve_connections(self.configs, self.connections, "left"),
                 list(self.registry),
             )
         )
-        detail = resolved.withColumnRenamed("ingestion_config_id", "config_id").drop(
+        detail = routing.check_file_options(routed).withColumnRenamed("ingestion_config_id", "config_id").drop(
             "ingestion_pattern", "load_strategy"
         )
         rows = decided.join(detail, "config_id", "left").limit(LARGEST_PAGE + 1).collect()
@@ -167,10 +167,11 @@ class LoadCycle:
     def _source_bound(self, row: Row) -> tuple[int, str | None | Exception]:
         """The source's highest value as text, or the failure of looking it up."""
         try:
-            value = upper_bound(self.open_table(row), row.watermark_field).select(
-                F.date_format("upper_bound", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-            )
-            return row.config_id, value.first()[0]
+            bound = upper_bound(self.open_table(row), row.watermark_field)
+            text = F.col("upper_bound")
+            if bound.schema["upper_bound"].dataType != StringType():
+                text = F.date_format(text, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+            return row.config_id, bound.select(text).first()[0]
         except Exception as failure:  # other objects go on
             return row.config_id, failure
 
@@ -190,6 +191,8 @@ class LoadCycle:
             return window.window_class, window.window_error
         if row.decision == "DATABASE" and row.copy_error:
             return "FAILED", row.copy_error
+        if row.decision == "FILE" and row.file_option_error:
+            return "FAILED", row.file_option_error
         return "PROCESS", None
 
     def _finish(
@@ -263,7 +266,7 @@ class LoadCycle:
 
     def _load_files(self, row: Row, window: Row, run_id: str, leaf: str) -> int | None:
         """Land the files of the window, check the counts, append; None without files."""
-        options = parse_options(row.source_options)
+        options = {**row.file_members, **row.file_options.asDict()}
         reader = reader_for(row.file_format, self.registry)
         root = f"{self.file_root}{row.source_path}".rstrip("/")
         found = discover(self.spark, root, options.get("file_name_pattern") or "*")
@@ -273,10 +276,12 @@ class LoadCycle:
             )
         try:
             manifest = landing.land_files(self.spark, found, root, leaf).checkpoint()
-            gate = landing.landing_gate(manifest).first()
+            gate = landing.landing_gate(manifest, landing.landed_files(self.spark, leaf)).first()
             if gate.outcome == "FAILED":
                 raise LoadError(
-                    gate.error_code, f"{gate.files_read} found, {gate.files_written} written"
+                    gate.error_code,
+                    f"{gate.files_read} files of {gate.bytes_read} bytes found,"
+                    f" {gate.files_written} of {gate.bytes_written} landed",
                 )
         except Exception as failure:
             self._remove_landing(row, run_id, leaf, failure)
