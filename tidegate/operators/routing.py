@@ -14,7 +14,7 @@ from tidegate.errors import (
     UNSUPPORTED_FILE_FORMAT,
     UNSUPPORTED_FILE_ROUTE,
 )
-from tidegate.functions.documents import is_json_object, kind_of
+from tidegate.functions.documents import is_json_object, kind_of, with_key
 from tidegate.functions.text import match_key
 
 # fixed values: the supported connection type and strategy pairs per pattern
@@ -116,6 +116,17 @@ def check_copy_options(configs: DataFrame, column: str = "copy_options") -> Data
     )
 
 
+def set_parallel_copies(configs: DataFrame, copies: int, column: str = "copy_options") -> DataFrame:
+    """The configs with the number of parallel copies set in their options.
+
+    The other options keep their values and types.  A text that is no JSON object stays as it
+    is and is reported by the check of the options; without options the object is a new one.
+    """
+    text = F.coalesce(column, F.lit("{}"))
+    changed = with_key(F.when(is_json_object(text), text), "parallel_copies", F.lit(copies).cast("bigint"))
+    return configs.withColumn(column, F.when(is_json_object(text), changed).otherwise(F.col(column)))
+
+
 def check_file_options(configs: DataFrame, column: str = "source_options") -> DataFrame:
     """The reader options of file configs, or the code for a text that is no JSON object.
 

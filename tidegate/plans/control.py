@@ -114,6 +114,28 @@ FROM configs""",
 )
 
 
+def copy_options_set(spark, folder):
+    """Four parallel copies for every config, then the check of what came of it."""
+    changed = routing.set_parallel_copies(frames.configs(spark, folder), 4)
+    return routing.check_copy_options(changed).select(
+        "ingestion_config_id", "partition_option", "partition_column", "parallel_copies",
+        "copy_error",
+    )
+
+
+SQL["copy_options_set"] = with_tables(
+    CONFIGS,
+    body="""
+SELECT ingestion_config_id,
+  CASE WHEN nation IN (2, 3) THEN 'DYNAMIC_RANGE' WHEN nation NOT BETWEEN 5 AND 8 THEN 'NONE' END
+    AS partition_option,
+  CASE WHEN nation IN (2, 3) THEN 'line_id' END AS partition_column,
+  CASE WHEN nation NOT BETWEEN 5 AND 8 THEN CAST(4 AS BIGINT) END AS parallel_copies,
+  CASE WHEN nation BETWEEN 5 AND 8 THEN 'INVALID_COPY_OPTIONS' END AS copy_error
+FROM configs""",
+)
+
+
 def config_pages(spark, folder):
     scope = requests.active_configs(frames.configs(spark, folder))
     return config_ops.config_page(scope, page=1, size=500).select("config_id", "run_type")
@@ -639,7 +661,8 @@ WHERE ingestion_config_id NOT IN (SELECT ingestion_config_id FROM configs WHERE
 )
 
 for _query in (
-    select_active_configs, resolve_configs, route_objects, copy_options_check, config_pages,
+    select_active_configs, resolve_configs, route_objects, copy_options_check,
+    copy_options_set, config_pages,
     config_page_count, watermark_view, watermark_gaps, missing_state, config_upsert,
     connection_upsert,
     validate_requests, normalize_requests, duplicate_requests, execution_decision, plan_windows,

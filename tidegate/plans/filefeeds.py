@@ -203,6 +203,37 @@ FROM (SELECT *, coalesce(source_row_count, 0) AS n FROM audit)""",
 )
 
 
+def landed_gate(spark, folder):
+    """The gate over landed areas of the page feed: whole, with a file lost, and without files."""
+    root = _page_feed(spark, folder)
+    found = discover(spark, root, "part-*.csv")
+    outcomes = []
+    for area in range(AREAS):
+        leaf = landing.landing_leaf(work_folder(spark, "landing"), "2026-01-31", area, "B1", "R1")
+        listed = found.where(F.contains("path", F.lit(f"/area={area}/")))
+        if area == AREAS - 1:
+            listed = listed.where(F.col("length") < 0)
+        manifest = landing.land_files(spark, listed, root, leaf).checkpoint()
+        if area == 1:
+            lost = manifest.agg(F.min("relative_path")).first()[0]
+            bronze.remove_folder(spark, f"{leaf}/{lost}")
+        gate = landing.landing_gate(manifest, landing.landed_files(spark, leaf))
+        outcomes.append(
+            gate.select(
+                F.lit(area).alias("area"), (F.col("files_read") - F.col("files_written")).alias("lost"),
+                "outcome", "error_code",
+            )
+        )
+    return outcomes[0].unionByName(outcomes[1]).unionByName(outcomes[2])
+
+
+SQL["landed_gate"] = f"""
+SELECT area, CAST(area = 1 AS BIGINT) AS lost,
+  CASE area WHEN 0 THEN 'PROCESS' WHEN 1 THEN 'FAILED' ELSE 'SKIPPED' END AS outcome,
+  CASE area WHEN 1 THEN 'LANDING_FILE_COUNT_MISMATCH' END AS error_code
+FROM (SELECT DISTINCT CAST(page_id % {AREAS} AS INTEGER) AS area FROM pages)"""
+
+
 def stream_file_feed(spark, folder):
     """The page feed taken as a stream, twice: the second run finds nothing new."""
     root, target = _page_feed(spark, folder), work_folder(spark, "streamed")
@@ -321,6 +352,6 @@ SELECT 'B2', source_object, CASE WHEN moving THEN 'SKIPPED' ELSE 'SUCCESS' END,
 
 for _query in (
     file_discovery, file_window, delimited_read, file_lineage, landing_manifest, landing_gate,
-    stream_file_feed, stream_audit_rollup, run_all,
+    landed_gate, stream_file_feed, stream_audit_rollup, run_all,
 ):
     QUERIES[_query.__name__] = _query
