@@ -3,7 +3,9 @@
 Every version of every path is addressed by the SHA-256 of its text (its blob). The ledger
 has a row for each blob and the rule versions it was scanned with; a scan reads only blobs
 that lack a rule version, each once however many paths hold it, and its findings join back
-to all paths. All of it is DataFrame functions.
+to all paths. A span in the ledger names its rule and version, so spans of a version that is
+no longer current are left out, whatever else their row was scanned with. All of it is
+DataFrame functions.
 
 Positions come from cutting a text at its matches: the pieces between and the matches, laid
 one after the other, give every match's place in code points.
@@ -51,11 +53,12 @@ MORE_RULES = (
 )
 RULES = BASE_RULES + MORE_RULES
 
-SPAN = "struct<start:int,kind:int,end:int>"  # sorts by start, then by kind as listed
+SPAN = "struct<start:int,rule:string,end:int>"  # in the ledger
+FOUND = "struct<start:int,kind:int,end:int>"  # sorts by start, then by kind as listed
 MARK = "[SECRET]"
 
 
-def spans_of(text: Column, rule: Rule, kind: int) -> Column:
+def spans_of(text: Column, rule: Rule) -> Column:
     """The spans of one rule in a text."""
     pieces = F.split(text, rule.pattern, -1)
     hits = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
@@ -64,7 +67,7 @@ def spans_of(text: Column, rule: Rule, kind: int) -> Column:
     def step(state: Column, pair: Column) -> Column:
         start = state["at"] + F.length(pair["pieces"])
         end = start + F.length(pair["hits"])
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
+        span = F.struct(start.alias("start"), F.lit(rule.name).alias("rule"), end.alias("end"))
         found = F.concat(state["found"], F.array(span))
         if rule.least:
             own = F.length(F.regexp_replace(pair["hits"], "^" + rule.head, ""))
@@ -99,7 +102,7 @@ def scan_unseen(paths: DataFrame, ledger: DataFrame | None = None, text: str = "
                 rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """New ledger rows ``blob``, ``rules``, ``spans``: blobs scanned with rules they had not met.
 
-    ``spans`` are those of the row's rules; kinds are numbered as in ``rules``.
+    ``spans`` are those of the row's rules, each with the name and version of its rule.
     """
     blobs = content_addressed(paths, text).select("blob", F.coalesce(col(text), F.lit("")).alias("text"))
     names = F.array(*[F.lit(r.name) for r in rules])
@@ -111,20 +114,32 @@ def scan_unseen(paths: DataFrame, ledger: DataFrame | None = None, text: str = "
     blobs = blobs.withColumn("rules", todo).where(F.size("rules") > 0).dropDuplicates(["blob"])
     none = F.array().cast(f"array<{SPAN}>")
     found = []
-    for kind, rule in enumerate(rules):
-        spans = spans_of(F.col("text"), rule, kind)
+    for rule in rules:
+        spans = spans_of(F.col("text"), rule)
         due = F.array_contains("rules", rule.name)
         found.append(spans if ledger is None else F.when(due, spans).otherwise(none))
     return blobs.select("blob", "rules", F.array_sort(F.concat(*found)).alias("spans"))
 
 
+def current_spans(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``blob`` and ``all_spans`` of blobs with findings of the rules' current versions, each
+    once however often the ledger has it; ``kind`` is the rule's place in ``rules``."""
+    names = F.array(*[F.lit(r.name) for r in rules])
+    own = F.filter("spans", lambda s: F.array_contains(names, s["rule"]))
+    found = F.transform(own, lambda s: F.struct(
+        s["start"].alias("start"), (F.array_position(names, s["rule"]) - 1).cast("int").alias("kind"),
+        s["end"].alias("end"),
+    ))
+    held = ledger.where(F.size("spans") > 0).select("blob", found.alias("found")).where(F.size("found") > 0)
+    all_spans = F.array_sort(F.array_distinct(F.flatten(F.collect_list("found"))))
+    return held.groupBy("blob").agg(all_spans.alias("all_spans"))
+
+
 def findings(paths: DataFrame, ledger: DataFrame, text: str = "text",
              rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """All columns of the paths but the text, with ``all_spans`` of the rules' current versions."""
-    names = F.array(*[F.lit(r.name) for r in rules])
-    held = ledger.where(F.arrays_overlap("rules", names) & (F.size("spans") > 0))
-    held = held.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("all_spans"))
-    none = F.array().cast(f"array<{SPAN}>")
+    held = current_spans(ledger, rules)
+    none = F.array().cast(f"array<{FOUND}>")
     addressed = content_addressed(paths, text).drop(col(text))
     joined = salted(addressed).join(for_all_parts(held), ["blob", "_part"], "left")
     return joined.withColumn("all_spans", F.coalesce("all_spans", none)).drop("blob", "_part")
@@ -138,16 +153,23 @@ def spans_text(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     )))
 
 
+def with_unseen(paths: DataFrame, ledger: DataFrame | None, text: str, rules: tuple[Rule, ...]) -> DataFrame:
+    """The ledger with what it lacked for these paths."""
+    new = written(scan_unseen(paths, ledger, text, rules), "ledger")
+    return new if ledger is None else ledger.select(*new.columns).unionByName(new)
+
+
 def secret_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                  rules: tuple[Rule, ...] = RULES) -> DataFrame:
+                  rules: tuple[Rule, ...] = RULES, ledger: DataFrame | None = None) -> DataFrame:
     """``doc_id``, ``n_assign``, ``n_access``, ``n_hex``, ``base_sha256``, ``spans`` of every row.
 
     A null text counts as empty; a text without findings has zeros, the digest of the empty
     string and an empty string; repeated rows are reported each; other columns are ignored; an
-    empty table gives no rows. The first three rules must be the base rules.
+    empty table gives no rows. The first three rules must be the base rules. Texts that a
+    ``ledger`` of earlier scans has are scanned only with rule versions it lacks.
     """
     paths = docs.select(col(doc_id).alias("doc_id"), col(text).alias("text"))
-    ledger = written(scan_unseen(paths, None, "text", rules), "ledger")
+    ledger = with_unseen(paths, ledger, "text", rules)
     held = findings(paths, ledger, "text", rules)
     base = F.filter("all_spans", lambda s: s["kind"] < len(BASE_RULES))
 
@@ -179,17 +201,17 @@ def masked(text: Column, spans: Column, mark: str = MARK) -> Column:
 
 
 def without_secrets(docs: DataFrame, text: str = "text", n_chars: str = "n_chars",
-                    rules: tuple[Rule, ...] = RULES) -> DataFrame:
+                    rules: tuple[Rule, ...] = RULES, ledger: DataFrame | None = None) -> DataFrame:
     """The rows of ``docs`` with secrets masked and ``n_chars``, if there is such a column, set
     to the new length where something was masked. Every row stays."""
     names = docs.columns
     plain = docs.select(*[col(c).alias(f"c{i}") for i, c in enumerate(names)])
     own = f"c{names.index(text)}"
-    ledger = written(scan_unseen(plain, None, own, rules), "ledger").where(F.size("spans") > 0)
+    found = current_spans(with_unseen(plain, ledger, own, rules), rules)
     # a few blobs hold secrets; the join carries their spans to all rows that hold them
     addressed = salted(content_addressed(plain, own))
-    held = addressed.join(for_all_parts(ledger.select("blob", "spans")), ["blob", "_part"], "left")
-    clean = F.when(F.col("spans").isNotNull(), masked(F.col(own), F.col("spans"))).otherwise(F.col(own))
+    held = addressed.join(for_all_parts(found), ["blob", "_part"], "left")
+    clean = F.when(F.col("all_spans").isNotNull(), masked(F.col(own), F.col("all_spans"))).otherwise(F.col(own))
     held = held.withColumn("_clean", clean)
     shown = []
     for i, c in enumerate(names):
@@ -198,6 +220,6 @@ def without_secrets(docs: DataFrame, text: str = "text", n_chars: str = "n_chars
             value = F.col("_clean")
         elif c == n_chars:
             kind = docs.schema[c].dataType
-            value = F.when(F.col("spans").isNotNull(), F.length("_clean").cast(kind)).otherwise(value)
+            value = F.when(F.col("all_spans").isNotNull(), F.length("_clean").cast(kind)).otherwise(value)
         shown.append(value.alias(c))
     return held.select(*shown)
