@@ -1,14 +1,20 @@
-"""Quality rules: counts of a text, and the perplexity of its characters under a corpus model.
+"""Quality rules: counts of a text, and the perplexity of its words under a corpus model.
 
-The model is a modified Kneser-Ney model of order 4 over byte classes (letters keep their
-identity, rarer bytes share classes). Spark counts the 4-grams of all texts; lower orders
-are continuation counts, again by Spark. The alphabet bounds every order (43^4 keys, about
-55 MB at the very most), so the sorted key arrays may be broadcast whatever the corpus'
-size; what is gathered to build them is one partial table per task, growing with the input.
+The model is a word bigram model with interpolated absolute discounting. Words and bigrams that
+only one text has (equal texts count as one) are pruned, so that no text vouches for itself; the
+discounted and pruned mass goes to the next lower order and at last to the spelling of a word, a
+modified Kneser-Ney model of order 4 over byte classes (a class' bytes share alike). Words, bigrams
+and the model are Spark tables keyed by 64-bit hashes and grow with the corpus.
+
+A word's logarithm is written as a sum over the n-grams that end at or precede it, each with a
+value of its own, so a text's score is its spelling plus the values of its n-grams. N-grams with
+at least one of SHARE words are fewer than 2 * SHARE at any size; they are broadcast and added
+where the text is read. The others are joined, and none of them is frequent enough to be a hot
+key. A bit set of fixed size keeps most n-grams that the model lacks out of the shuffle.
 
 Perplexities are judged within a language: a text is rejected if the logarithm of its
-perplexity lies outside ``[q1 - reach, q3 + reach]`` of its language's texts. A mean over few
-words varies with the root of their number, so the reach of a short text grows by that.
+perplexity lies outside a band around the quartiles of its language's texts. A mean over few
+words varies with the root of their number, so the band of a short text is wider by that.
 """
 
 from __future__ import annotations
@@ -17,20 +23,25 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tidegate.llm.lexemes import Spans, mixed, text_slices, words
+from tidegate.llm.lexemes import Spans, mixed, span_hashes, text_slices, words
 from tidegate.llm.shared import col, written
 
 ORDER = 4
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-REACH = 4.0  # quartile distances beyond a quartile that are still accepted
-LEAST_REACH = 0.1  # nats per character accepted in any case
+REACH = 8.0  # quartile distances beyond a quartile that are still accepted
+LEAST_REACH = 0.1  # nats per word accepted in any case
 STEADY_WORDS = 250  # below so many words a text's mean varies more, and the band widens
 LANGS_BROADCAST = 4096  # bands of at most so many languages are broadcast
 SYMBOLS = b"#*$%&|<>"
+DISCOUNT = 0.75
+SHARE = 10_000  # n-grams with at least one of so many words are broadcast
+SIEVE = 21  # bits of a word's number in the bit set; a word has 64 bits
+SALTS = 16  # rows of one text are joined in so many parts
+END = np.uint64(0x5851F42D4C957F2D)  # the word that ends every text
 
 
 def _classes() -> np.ndarray:
@@ -58,6 +69,9 @@ NEWLINE = 34
 _IS_SYMBOL = np.zeros(256, bool)
 _IS_SYMBOL[list(SYMBOLS)] = True
 
+_IS_SOUND = np.zeros(256, bool)  # letters, digits and whatever is not ASCII
+_IS_SOUND[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -207,39 +221,186 @@ def fit(docs: DataFrame, text: str = "text") -> GramModel:
     return GramModel.of(arrays)
 
 
-_TABLES: dict[int, np.ndarray] = {}
+# bytes of a class are equally likely
+CLASS_COST = np.log(np.maximum(np.bincount(CLASS, minlength=SIZE), 1)).astype(np.float32)
+
+
+def byte_costs(model: GramModel) -> np.ndarray:
+    """Minus the log probability of the last byte of every 4-gram of classes."""
+    return model.log_table() + np.tile(CLASS_COST, SIZE ** (ORDER - 1))
+
+
+@dataclass
+class Words:
+    """Words of some texts, each text followed by END: hash, text and cost of its spelling.
+
+    Words of nothing but punctuation are left out: separators would make a list look like prose.
+    """
 
+    keys: np.ndarray  # of the texts
+    hashes: np.ndarray
+    owner: np.ndarray
+    costs: np.ndarray
 
-def _log_table(shared) -> np.ndarray:
+    @classmethod
+    def of(cls, data: np.ndarray, offsets: np.ndarray, costs: np.ndarray) -> "Words":
+        runs = words(data, offsets)
+        sound = np.concatenate(([0], np.cumsum(_IS_SOUND[data])))
+        use = np.flatnonzero(sound[runs.end] > sound[runs.start])
+        start, end = runs.start[use], runs.end[use]
+        # every word by itself, with a blank after it
+        size = end - start + 1
+        last = np.cumsum(size)
+        place = np.repeat(start - (last - size), size) + np.arange(size.sum())
+        spelled = data[np.minimum(place, max(len(data) - 1, 0))] if len(data) else data
+        spelled[last - 1] = 32
+        marks = np.concatenate(([0], last))
+        each = np.concatenate(([0.0], np.cumsum(costs[gram_codes(spelled, marks)], dtype=np.float64)))
+        spelling = (each[marks[1:]] - each[marks[:-1]]).astype(np.float32)
+        ends = np.searchsorted(start, offsets[1:])
+        line_end = costs[((NEWLINE * SIZE + NEWLINE) * SIZE + NEWLINE) * SIZE + NEWLINE]
+        return cls(
+            span_hashes(data, offsets[:-1], offsets[1:]), np.insert(span_hashes(data, start, end), ends, END),
+            np.insert(runs.owner()[use], ends, np.arange(len(ends))), np.insert(spelling, ends, line_end),
+        )
+
+    def grams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """All words and bigrams: hash, first word's place, second word's place or -1, text."""
+        pairs = np.flatnonzero(self.owner[1:] == self.owner[:-1])
+        bigrams = mixed(self.hashes[pairs] * np.uint64(0xD1B54A32D192ED03) + self.hashes[pairs + 1])
+        none = np.full(len(self.hashes), -1)
+        return (
+            np.concatenate((self.hashes, bigrams)), np.concatenate((np.arange(len(none)), pairs)),
+            np.concatenate((none, pairs + 1)), np.concatenate((self.owner, self.owner[pairs])),
+        )
+
+
+class _Costs:
     """The expanded table of a broadcast model, made once per Python worker."""
-    key = shared._jbroadcast.id() if getattr(shared, "_jbroadcast", None) else shared._path
-    if key not in _TABLES:
-        _TABLES.clear()
-        _TABLES[key] = shared.value.log_table()
-    return _TABLES[key]
 
+    made: dict = {}
+
+    @classmethod
+    def of(cls, shared) -> np.ndarray:
+        key = shared._jbroadcast.id() if getattr(shared, "_jbroadcast", None) else shared._path
+        if key not in cls.made:
+            cls.made.clear()
+            cls.made[key] = byte_costs(shared.value)
+        return cls.made[key]
+
+
+def count_words(docs: DataFrame, spelling, text: str = "text") -> DataFrame:
+    """Words and bigrams of all texts: ``g``, ``before`` and ``word`` (of bigrams), ``n``, the
+    smallest and largest key of a text that has it, and the ``cost`` of a word's spelling."""
+    schema = "g long, before long, word long, n long, lo long, hi long, cost float"
 
-def score(docs: DataFrame, model: GramModel, text: str = "text", keep_text: bool = True) -> DataFrame:
-    """Adds the base counts, ``base_failed`` and ``log_perplexity`` (null for an empty text)."""
+    def run(batches):
+        costs = _Costs.of(spelling)
+        for batch in batches:
+            for _, _, data, offsets in text_slices(batch.column(0)):
+                found = Words.of(data, offsets, costs)
+                g, first, second, owner = found.grams()
+                order = np.argsort(g)
+                g, first, second = g[order], first[order], second[order]
+                keys = found.keys.view(np.int64)[owner[order]]
+                at = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))
+                first, second = first[at], second[at]
+                word = found.hashes.view(np.int64)
+                alone = second < 0
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(g[at].view(np.int64)), pa.array(word[first], mask=alone),
+                    pa.array(word[second], mask=alone), pa.array(np.diff(np.append(at, len(g)))),
+                    pa.array(np.minimum.reduceat(keys, at)), pa.array(np.maximum.reduceat(keys, at)),
+                    pa.array(found.costs[first], mask=~alone),
+                ], ["g", "before", "word", "n", "lo", "hi", "cost"])
+
+    return docs.select(col(text)).mapInArrow(run, schema)
+
+
+@dataclass
+class WordModel:
+    """``values``: ``g``, ``n``, ``value`` of every word and bigram the model knows; the others
+    add nothing to a text's spelling. ``spelling`` is the broadcast model of characters, which
+    gets the share ``spared`` of the words."""
+
+    spelling: object
+    spared: float
+    values: DataFrame
+
+
+def fit_words(docs: DataFrame, text: str = "text") -> WordModel:
+    """The word model of all texts."""
+    spelling = docs.sparkSession.sparkContext.broadcast(fit(docs, text))
+    seen = Observation()
+    counted = count_words(docs, spelling, text).groupBy("g").agg(
+        F.min("before").alias("before"), F.min("word").alias("word"), F.sum("n").alias("n"),
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("cost").alias("cost"),
+    ).observe(seen, F.sum(F.when(F.col("word").isNull(), F.col("n"))).alias("total"))
+    kept = written(counted.where("lo <> hi").drop("lo", "hi"), "words")
+    total = float(seen.get["total"] or 1)
+    single = kept.where("word IS NULL")
+    share = (F.col("n") - DISCOUNT) / total
+    spared = 1.0 - (single.agg(F.sum(share)).first()[0] or 0.0)
+    chance = share + F.lit(spared) * F.exp(-F.col("cost").cast("double"))
+    single = single.select("g", "n", F.log(chance).alias("log1"), "cost")
+    after = single.select(F.col("g").alias("before"), F.col("n").alias("n_before"))
+    lower = single.select(F.col("g").alias("word"), "log1")
+    pairs = kept.where("word IS NOT NULL").select("g", "before", "word", "n").join(after, "before").join(lower, "word")
+    pairs = written(pairs.withColumn("share", (F.col("n") - DISCOUNT) / F.col("n_before")), "pairs")
+    left = pairs.groupBy("before").agg(F.log(1.0 - F.sum("share")).alias("left"))
+    both = pairs.join(left, "before")
+    more = F.log(F.col("share") + F.exp(F.col("left") + F.col("log1"))) - F.col("left") - F.col("log1")
+    values = single.join(left.withColumnRenamed("before", "g"), "g", "left").select(
+        "g", "n", (F.col("log1") + F.col("cost") - float(np.log(spared)) + F.coalesce("left", F.lit(0.0))).alias("value")
+    ).unionByName(both.select("g", "n", more.alias("value")))
+    return WordModel(spelling, spared, written(values.withColumn("common", F.col("n") * SHARE >= total), "values"))
+
+
+def _common(model: WordModel) -> tuple[np.ndarray, np.ndarray]:
+    found = model.values.where("common").select("g", "value").toArrow()
+    keys = found.column("g").to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], found.column("value").to_numpy()[order]
+
+
+def _sieve(model: WordModel) -> np.ndarray:
+    """A bit for every n-gram that has to be joined."""
+    place = F.shiftrightunsigned("g", 64 - SIEVE).alias("at")
+    bit = F.expr("shiftleft(1L, cast(g & 63 as int))")
+    found = model.values.where("NOT common").groupBy(place).agg(F.bit_or(bit).alias("bits")).toArrow()
+    out = np.zeros(1 << SIEVE, np.uint64)
+    out[found.column("at").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def score(docs: DataFrame, model: WordModel, text: str = "text", keep_text: bool = True) -> DataFrame:
+    """Adds the base counts, ``base_failed`` and ``log_perplexity``, the mean of the words and the
+    end (null for a text without words)."""
     made = {*COUNTS, "base_failed", "log_perplexity"}
     kept = [c for c in docs.columns if c not in made and (keep_text or c != text)]
     source = docs.select(*[col(c) for c in kept], col(text).alias("_text"))
     schema = source.drop("_text").schema
     for name in COUNTS:
         schema = schema.add(name, "long")
-    schema = schema.add("base_failed", "boolean").add("log_perplexity", "double")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    schema = schema.add("base_failed", "boolean").add("_key", "long").add("_cost", "double").add("_size", "long")
+    spelling = model.spelling
+    spark = docs.sparkSession
+    near = spark.sparkContext.broadcast(_common(model))
+    sieve = spark.sparkContext.broadcast(_sieve(model))
 
     def run(batches):
-        costs = _log_table(shared)
+        costs = _Costs.of(spelling)
+        common, value = near.value
         for batch in batches:
             column = batch.column(batch.num_columns - 1)
             for a, b, data, offsets in text_slices(column):
                 counts = text_counts(data, offsets)
-                total = np.concatenate(([0.0], np.cumsum(costs[gram_codes(data, offsets)], dtype=np.float64)))
-                size = np.diff(offsets)
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    mean = (total[offsets[1:]] - total[offsets[:-1]]) / size
+                found = Words.of(data, offsets, costs)
+                g, _, _, owner = found.grams()
+                at = np.minimum(np.searchsorted(common, g), max(len(common) - 1, 0))
+                hit = common[at] == g if len(common) else np.zeros(len(g), bool)
+                total = np.bincount(found.owner, found.costs, b - a)
+                total -= np.bincount(owner[hit], value[at[hit]], b - a)
                 failed = (counts["n_words"] < MIN_WORDS) | (
                     100 * counts["n_repeat_words"] > MAX_REPEAT_PERCENT * counts["n_words"]
                 )
@@ -247,26 +408,59 @@ def score(docs: DataFrame, model: GramModel, text: str = "text", keep_text: bool
                     [
                         *batch.slice(a, b - a).columns[:-1],
                         *[pa.array(counts[c]) for c in COUNTS],
-                        pa.array(failed),
-                        pa.array(mean, mask=size == 0),
+                        pa.array(failed), pa.array(found.keys.view(np.int64)), pa.array(total),
+                        pa.array(np.bincount(found.owner, minlength=b - a)),
                     ],
                     names=schema.names,
                 )
 
-    return source.mapInArrow(run, schema)
+    def rare(batches):
+        costs = _Costs.of(spelling)
+        common, _ = near.value
+        bits = sieve.value
+        for batch in batches:
+            for _, _, data, offsets in text_slices(batch.column(0)):
+                found = Words.of(data, offsets, costs)
+                g, _, _, owner = found.grams()
+                has = (bits[g >> np.uint64(64 - SIEVE)] >> (g & np.uint64(63))) & np.uint64(1)
+                use = has.astype(bool)
+                g, owner = g[use], owner[use]
+                at = np.minimum(np.searchsorted(common, g), max(len(common) - 1, 0))
+                use = common[at] != g if len(common) else np.ones(len(g), bool)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(g[use].view(np.int64)), pa.array(found.keys.view(np.int64)[owner[use]])], ["g", "_key"]
+                )
+
+    # equal texts have one key; what is joined for all of them is shared out by their number
+    rows = source.mapInArrow(run, schema)
+    keys = source.select("_text").mapInArrow(lambda batches: (
+        pa.RecordBatch.from_arrays([pa.array(span_hashes(d, o[:-1], o[1:]).view(np.int64))], ["_key"])
+        for batch in batches for _, _, d, o in text_slices(batch.column(0))
+    ), "_key long").groupBy("_key").agg(F.count(F.lit(1)).alias("_copies"))
+    joined = source.select("_text").mapInArrow(rare, "g long, _key long").join(
+        model.values.where("NOT common").select("g", "value"), "g"
+    )
+    found = joined.groupBy("_key").agg(F.sum("value").alias("_sum")).join(keys, "_key")
+    found = found.select("_key", (F.col("_sum") / F.col("_copies")).alias("_more"))
+    found = found.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    names = [c for c in schema.names if c not in ("_key", "_cost", "_size")]
+    part = F.pmod(F.xxhash64(*[col(c) for c in names]), F.lit(SALTS))
+    rows = rows.withColumn("_part", part.cast("int")).join(found, ["_key", "_part"], "left")
+    mean = (F.col("_cost") - F.coalesce("_more", F.lit(0.0))) / F.col("_size") - float(np.log(model.spared))
+    return rows.select(*[col(c) for c in names], F.when(F.col("_size") > 1, mean).alias("log_perplexity"))
 
 
 def bands(scored: DataFrame, lang: str = "lang") -> DataFrame:
-    """Quartiles and reach of each language, from its texts that meet the base rules."""
+    """Quartiles of each language and their distance, from its texts that meet the base rules."""
     quartiles = F.percentile_approx("log_perplexity", F.array(F.lit(0.25), F.lit(0.75)), F.lit(10_000))
     found = (
         scored.where(~F.col("base_failed"))
         .groupBy(col(lang).alias("_band_lang"))
         .agg(quartiles.alias("_q"))
     )
-    reach = F.greatest(F.lit(LEAST_REACH), F.lit(REACH) * (F.col("_q")[1] - F.col("_q")[0]))
     return found.select(
-        "_band_lang", F.col("_q")[0].alias("_q1"), F.col("_q")[1].alias("_q3"), reach.alias("_reach")
+        "_band_lang", F.col("_q")[0].alias("_q1"), F.col("_q")[1].alias("_q3"),
+        F.greatest(F.lit(LEAST_REACH), F.lit(REACH) * (F.col("_q")[1] - F.col("_q")[0])).alias("_wide"),
     )
 
 
@@ -277,10 +471,10 @@ def with_verdict(scored: DataFrame, limits: DataFrame, lang: str = "lang") -> Da
         limits = F.broadcast(limits)
     joined = scored.join(limits, col(lang).eqNullSafe(F.col("_band_lang")), "left")
     short = F.sqrt(F.greatest(F.lit(1.0), STEADY_WORDS / F.greatest("n_words", F.lit(1))))
-    low, high = F.col("_q1") - F.col("_reach") * short, F.col("_q3") + F.col("_reach") * short
+    low, high = F.col("_q1") - F.col("_wide") * short, F.col("_q3") + F.col("_wide") * short
     inside = F.col("log_perplexity").between(low, high)
     kept = ~F.col("base_failed") & F.coalesce(inside, F.lit(False))
-    return joined.withColumn("kept", kept).drop("_band_lang", "_q1", "_q3", "_reach")
+    return joined.withColumn("kept", kept).drop("_band_lang", "_q1", "_q3", "_wide")
 
 
 def quality_report(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -290,7 +484,7 @@ def quality_report(docs: DataFrame, text: str = "text", lang: str = "lang") -> D
     language of its own; repeated rows are judged alike; an empty table gives no rows.
     Columns that have one of the added names are replaced.
     """
-    scored = written(score(docs, fit(docs, text), text, keep_text=False), "scored")
+    scored = written(score(docs, fit_words(docs, text), text, keep_text=False), "scored")
     return with_verdict(scored, bands(scored, lang), lang)
 
 
@@ -303,7 +497,7 @@ def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFr
     names = docs.columns
     plain = docs.select(*[col(c).alias(f"c{i}") for i, c in enumerate(names)])
     text, lang = f"c{names.index(text)}", f"c{names.index(lang)}"
-    model = fit(plain, text)
+    model = fit_words(plain, text)
     limits = bands(score(plain, model, text, keep_text=False), lang)
     judged = with_verdict(score(plain, model, text), limits, lang).where("kept")
     return judged.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
