@@ -32,7 +32,8 @@ from tidegate.llm.shared import col, written
 ORDER = 4
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-REACH = 8.0  # quartile distances beyond a quartile that are still accepted
+REACH = 1.75  # quartile distances above the upper quartile that are still accepted
+REACH_DOWN = 8.0  # the same below the lower one, wide: near copies vouch for each other
 LEAST_REACH = 0.1  # nats per word accepted in any case
 STEADY_WORDS = 250  # below so many words a text's mean varies more, and the band widens
 LANGS_BROADCAST = 4096  # bands of at most so many languages are broadcast
@@ -460,7 +461,7 @@ def bands(scored: DataFrame, lang: str = "lang") -> DataFrame:
     )
     return found.select(
         "_band_lang", F.col("_q")[0].alias("_q1"), F.col("_q")[1].alias("_q3"),
-        F.greatest(F.lit(LEAST_REACH), F.lit(REACH) * (F.col("_q")[1] - F.col("_q")[0])).alias("_wide"),
+        (F.col("_q")[1] - F.col("_q")[0]).alias("_wide"),
     )
 
 
@@ -471,7 +472,8 @@ def with_verdict(scored: DataFrame, limits: DataFrame, lang: str = "lang") -> Da
         limits = F.broadcast(limits)
     joined = scored.join(limits, col(lang).eqNullSafe(F.col("_band_lang")), "left")
     short = F.sqrt(F.greatest(F.lit(1.0), STEADY_WORDS / F.greatest("n_words", F.lit(1))))
-    low, high = F.col("_q1") - F.col("_wide") * short, F.col("_q3") + F.col("_wide") * short
+    down, up = (F.greatest(F.lit(LEAST_REACH), F.lit(r) * F.col("_wide")) for r in (REACH_DOWN, REACH))
+    low, high = F.col("_q1") - down * short, F.col("_q3") + up * short
     inside = F.col("log_perplexity").between(low, high)
     kept = ~F.col("base_failed") & F.coalesce(inside, F.lit(False))
     return joined.withColumn("kept", kept).drop("_band_lang", "_q1", "_q3", "_wide")
