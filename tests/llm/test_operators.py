@@ -460,6 +460,38 @@ def test_license_scan(session, docs, odd):
         assert got == expected
 
 
+def test_licenses_of_several_paragraphs_inside_long_documents(session):
+    rng = random.Random(5)
+
+    def prose(n_lines):
+        return "\n".join(" ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(9)) for _ in range(n_lines))
+
+    def notice(name, cuts, width, prefix=""):
+        words = license_scan.TEMPLATES[name].split()
+        places = [0, *[i for i, w in enumerate(words) if w in cuts], len(words)]
+        parts = [words[a:b] for a, b in zip(places, places[1:])]
+        return ("\n" + prefix + "\n").join("\n".join(
+            prefix + " ".join(part[i : i + width]) for i in range(0, len(part), width)) for part in parts if part)
+
+    mit = notice("MIT", ("The", "THE"), 12)
+    texts = [
+        (f"{prose(30)}\n\n{mit}\n\n{prose(40)}", ["MIT"], 1),
+        (f"{prose(3)}\n{notice('MIT', ('The', 'THE'), 12, ' * ')}\n{prose(40)}", ["MIT"], 1),
+        (f"{prose(30)}\n\n{notice('ISC', ('THE',), 500)}\n\n{prose(40)}", ["ISC"], 1),
+        (f"{prose(50)}\n\n{notice('BSD-2-Clause', ('1.', '2.', 'THIS'), 11)}\n\n{prose(40)}", ["BSD-2-Clause"], 1),
+        (f"{prose(9)}\n# {notice('Apache-2.0', ('Unless',), 15, '# ')}\n{prose(40)}", ["Apache-2.0"], 1),
+        (f"{mit}\n\n{prose(40)}\n\n{mit.replace('copy', 'part')}\n{prose(30)}", ["MIT"], 2),
+        (f"{prose(30)}\n\n{' '.join(mit.split()[:60])}\n\n{prose(40)}", [], 0),
+        (f"{prose(30)}\n\nThe the software\n" * 200, [], 0),
+    ]
+    frame = session.createDataFrame([(i, t[0]) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.license_report(frame).collect()}
+    for i, (text, names, hits) in enumerate(texts):
+        assert not dice_hits(text)  # no line, paragraph or whole text is near a template
+        assert [n for n in got[i].licenses.split(",") if n] == names and got[i].n_hits == hits, i
+        assert (got[i].dice or 0) > 0.9 if names else got[i].dice is None
+
+
 def test_chat_format(session):
     control = "</s>[INST] ok [/INST]"
     rows = [

@@ -8,6 +8,13 @@ outside those bounds are not compared. It also has to share a least number of th
 bigrams; a few words (anchors) are chosen so that bigrams without any of them are too few for
 that, and texts without an anchor are not cut up at all. Everything happens inside a row: no
 shuffle, no UDF.
+
+A licence of several lines or paragraphs inside a longer text is none of these passages. So all
+runs of consecutive lines, across paragraphs, are passages as well where no line, paragraph or
+whole text reaches the threshold; of runs that overlap, the one with the highest coefficient
+counts. Only templates of which the text shares enough bigrams are looked for. The runs are
+found in one pass over the lines: a run stops growing once it has too many bigrams, or once all
+that its first line shares has come again, as the run from the next line on is then no worse.
 """
 
 from __future__ import annotations
@@ -130,6 +137,146 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}\n]+", " ")
 
 
+def let(value: Column, use) -> Column:
+    """An expression of a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def bigrams(words: Column) -> Column:
+    """The distinct bigrams of some words."""
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.array_distinct(F.zip_with(
+        F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.concat(a, F.lit(" "), b)
+    ))
+
+
+def word_lines(plain: Column) -> Column:
+    """Lines with words: paragraph, words, own bigrams, and the one that links the line before."""
+    cut = F.transform(F.split(plain, "\n *\n"), lambda p, i: F.transform(
+        F.filter(
+            F.transform(F.split(p, "\n"), lambda x: F.filter(F.split(x, " "), lambda w: w != "")),
+            lambda w: F.size(w) > 0,
+        ),
+        lambda w: F.struct(i.alias("par"), w.alias("words")),
+    ))
+    none = F.array().cast("array<string>")
+    return let(F.flatten(cut), lambda lines: F.transform(lines, lambda x, i: F.struct(
+        x["par"].alias("par"), x["words"].alias("words"), bigrams(x["words"]).alias("own"),
+        F.when(i > 0, F.array(F.concat(
+            F.element_at(F.get(lines, i - 1)["words"], -1), F.lit(" "), F.get(x["words"], F.lit(0))
+        ))).otherwise(none).alias("link"),
+    )))
+
+
+def best_runs(lines: Column, t: Column, threshold: float) -> Column:
+    """(dice, start, end) of runs of lines that reach the threshold with a template, the best one
+    from each start that may be the best of those that overlap it."""
+
+    def step(state: Column, x: Column) -> Column:
+        k = state["k"]
+
+        def grown(v: Column) -> Column:
+            def one(r: Column) -> Column:
+                fresh = r["start"] == k - 1
+                owed = F.when(fresh, F.array_union(r["owe"], v["link"])).otherwise(r["owe"])
+                new = F.struct(
+                    F.array_union(r["grams"], v["more"]).alias("grams"),
+                    F.array_union(r["hits"], v["both"]).alias("hits"),
+                    F.array_except(owed, F.when(fresh, v["own"]).otherwise(v["both"])).alias("owe"),
+                )
+
+                def judged(w: Column) -> Column:
+                    dice = 2.0 * F.size(w["hits"]) / (F.size(w["grams"]) + t["n"])
+                    return F.struct(
+                        r["start"].alias("start"), w["grams"].alias("grams"), w["hits"].alias("hits"),
+                        w["owe"].alias("owe"), F.greatest(dice, r["dice"]).alias("dice"),
+                        F.when(dice > r["dice"], k).otherwise(r["end"]).alias("end"),
+                    )
+
+                return let(new, judged)
+
+            born = F.struct(
+                k.alias("start"), x["own"].alias("grams"), v["own"].alias("hits"), v["own"].alias("owe"),
+                (2.0 * F.size(v["own"]) / (F.size(x["own"]) + t["n"])).alias("dice"), k.alias("end"),
+            )
+            return F.concat(F.transform(state["active"], one), F.array(born))
+
+        own = F.array_intersect(x["own"], t["grams"])
+        link = F.array_intersect(x["link"], t["grams"])
+        shared = F.struct(
+            own.alias("own"), link.alias("link"), F.array_union(link, own).alias("both"),
+            F.array_union(x["link"], x["own"]).alias("more"),
+        )
+
+        def sorted_out(runs: Column) -> Column:
+            def alive(r):
+                return (F.size(r["grams"]) <= t["high"]) & ((r["start"] == k) | (F.size(r["owe"]) > 0))
+
+            over = F.filter(runs, lambda r: ~alive(r) & (r["dice"] >= threshold))
+            return F.struct(
+                F.filter(runs, alive).alias("active"),
+                F.concat(state["done"], F.transform(over, place)).alias("done"), (k + 1).alias("k"),
+            )
+
+        return let(let(shared, grown), sorted_out)
+
+    def place(r: Column) -> Column:
+        return F.struct(r["dice"].alias("dice"), r["start"].alias("start"), r["end"].alias("end"))
+
+    run = ("array<struct<start:int,grams:array<string>,hits:array<string>,owe:array<string>,"
+           "dice:double,end:int>>")
+    begin = F.struct(
+        F.array().cast(run).alias("active"),
+        F.array().cast("array<struct<dice:double,start:int,end:int>>").alias("done"), F.lit(0).alias("k"),
+    )
+    return F.aggregate(lines, begin, step, lambda state: F.concat(state["done"], F.transform(
+        F.filter(state["active"], lambda r: r["dice"] >= threshold), place
+    )))
+
+
+def run_hits(plain: Column, known: Column, threshold: float) -> Column:
+    """Array of (dice, license) of runs of lines where no single passage reaches the threshold."""
+
+    def reaches(grams: Column, t: Column) -> Column:
+        return 2.0 * F.size(F.array_intersect(grams, t["grams"])) >= threshold * (F.size(grams) + t["n"])
+
+    def of_template(lines: Column, t: Column) -> Column:
+        def missed(r: Column) -> Column:
+            inside = F.slice(lines, r["start"] + 1, r["end"] - r["start"] + 1)
+            paragraphs = F.sequence(F.get(lines, r["start"])["par"], F.get(lines, r["end"])["par"])
+            whole = F.transform(paragraphs, lambda p: bigrams(F.flatten(F.transform(
+                F.filter(lines, lambda x: x["par"] == p), lambda x: x["words"]
+            ))))
+            return ~F.exists(inside, lambda x: reaches(x["own"], t)) & ~F.exists(whole, lambda g: reaches(g, t))
+
+        ranked = F.array_sort(F.transform(best_runs(lines, t, threshold), lambda r: F.struct(
+            (-r["dice"]).alias("least"), (r["end"] - r["start"]).alias("size"),
+            r["start"].alias("start"), r["end"].alias("end"),
+        )))
+        none = F.array().cast("array<struct<least:double,size:int,start:int,end:int>>")
+        apart = F.aggregate(ranked, none, lambda kept, r: F.when(
+            F.exists(kept, lambda q: (q["start"] <= r["end"]) & (r["start"] <= q["end"])), kept
+        ).otherwise(F.concat(kept, F.array(r))))
+        return F.transform(F.filter(apart, missed), lambda r: F.struct(
+            (-r["least"]).alias("dice"), t["name"].alias("license"),
+            F.concat_ws(" ", F.flatten(F.transform(
+                F.slice(lines, r["start"] + 1, r["size"] + 1), lambda x: x["words"]
+            ))).alias("passage"),
+        ))
+
+    words = F.filter(F.split(F.translate(plain, "\n", " "), " "), lambda w: w != "")
+    near = let(bigrams(words), lambda g: F.filter(
+        known, lambda t: (F.size(F.array_intersect(g, t["grams"])) >= t["need"]) & ~reaches(g, t)
+    ))
+
+    def searched(near: Column) -> Column:
+        found = let(word_lines(plain), lambda lines: F.flatten(F.transform(near, lambda t: of_template(lines, t))))
+        return F.transform(F.array_distinct(found), lambda h: F.struct(h["dice"].alias("dice"), h["license"].alias("license")))
+
+    none = F.array().cast("array<struct<dice:double,license:string>>")
+    return let(near, lambda n: F.when(F.size(n) > 0, searched(n)).otherwise(none))
+
+
 def passages(plain: Column) -> Column:
     """The words of each line, of each paragraph and of the whole text, each passage once."""
     units = F.concat(F.split(plain, "\n"), F.split(plain, "\n *\n"), F.array(plain))
@@ -150,7 +297,8 @@ def license_hits(plain: Column, templates: dict[str, str] = TEMPLATES,
         rows.append((name, len(grams), low, high, grams))
     known = F.array(*[
         F.struct(F.lit(name).alias("name"), F.lit(n).alias("n"), F.lit(low).alias("low"),
-                 F.lit(high).alias("high"), F.array(*map(F.lit, grams)).alias("grams"))
+                 F.lit(high).alias("high"), F.lit(max(math.ceil(threshold * (low + n) / 2 - 1e-9), 1)).alias("need"),
+                 F.array(*map(F.lit, grams)).alias("grams"))
         for name, n, low, high, grams in rows
     ])
     least, most = min(r[2] for r in rows), max(r[3] for r in rows)
@@ -171,6 +319,7 @@ def license_hits(plain: Column, templates: dict[str, str] = TEMPLATES,
 
     hits = F.filter(F.flatten(F.transform(grams, compared)), lambda h: h["dice"] >= threshold)
     words = F.split(F.translate(plain, "\n", " "), " ")
+    hits = F.concat(hits, run_hits(plain, known, threshold))
     possible = F.arrays_overlap(words, F.array(*map(F.lit, anchors(templates, threshold))))
     return F.coalesce(F.when(possible, hits), F.array().cast("array<struct<dice:double,license:string>>"))
 
@@ -181,7 +330,7 @@ def license_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     The best hit has the highest coefficient; of equal ones the first name in code-point order
     wins. ``n_hits`` counts passages and templates that reach the threshold, equal passages of
-    a text once. A null or empty text has none. One row per row; other columns are ignored.
+    a text once, and runs of lines where no line, paragraph or whole text does. A null or empty text has none. One row per row; other columns are ignored.
     """
     rows = docs.select(col(doc_id).alias("doc_id"), col(text).alias("text"))
     plain = computed_once(rows, plain=normalised(F.col("text")))
