@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.llm import (
-    chat_format, fingerprints, jaccard_join, license_scan, mixing, piece_codec, quality_rules,
-    secret_scan, token_counts, url_filter,
+    chat_format, fingerprints, jaccard_join, license_scan, mixing, piece_codec, prefix_trie,
+    quality_rules, secret_scan, token_counts, toxicity, url_filter, whitening,
 )
 from tidegate.llm.shared import ship, table
 from tidegate.llm.sql import SQL
@@ -63,6 +63,19 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secret_report(table(spark, folder, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return toxicity.toxicity_report(docs, table(spark, folder, "labels"))
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie_report(table(spark, folder, "conversations"))
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitening_report(table(spark, folder, "embeddings"))
+
+
 def _shipped(query):
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return query(ship(spark), folder)
@@ -75,6 +88,7 @@ QUERIES = {
     for query in (
         op1_license_scan, op2_mixing, op3_fingerprints, op4_url_filter, op5_piece_codec,
         op6_jaccard_join, op7_token_counts, op8_quality_rules, op9_chat_format, op10_secret_scan,
+        op11_toxicity, op12_prefix_trie, op13_whitening,
     )
 }
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidegate.llm.license_scan import TEMPLATES, THRESHOLD, template_bigrams
 from tidegate.llm.mixing import SEED
+from tidegate.llm.prefix_trie import FAMILY, OPENINGS
 from tidegate.llm.secret_scan import BASE_RULES, RULES
 
 SQL: dict[str, str] = {}
@@ -111,3 +112,29 @@ class AS (SELECT a AS doc_id, min(b) AS class_id FROM reach GROUP BY a),
 counted AS (SELECT a AS doc_id, count(*) AS n_links, count(*) FILTER (same) AS n_same FROM link GROUP BY a)
 SELECT doc_id, class_id, 1 + coalesce(n_same, 0) AS n_copies, coalesce(n_links, 0) AS n_links
 FROM class LEFT JOIN counted USING (doc_id)"""
+
+_CRC = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)),
+      lambda x, i: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)))"""
+
+SQL["op12_prefix_trie"] = rf"""
+WITH turns AS (SELECT conv_id AS c, turn, coalesce(role, '') AS r, coalesce("text", '') AS x FROM conversations
+  WHERE conv_id IS NOT NULL),
+conv AS (SELECT c, list({{'r': r, 'x': x}} ORDER BY turn NULLS FIRST, r, x) AS l FROM turns GROUP BY c),
+opening AS (SELECT c, l, c - c % {FAMILY} AS b, xor({_CRC}, 4294967295) % {OPENINGS} AS h FROM conv),
+rebuilt AS (SELECT a.c, list_concat(coalesce(b.l[1:a.h], []), a.l[a.h + 1:]) AS s
+  FROM opening a LEFT JOIN conv b ON b.c = a.b),
+prefix AS (SELECT c, d, md5(to_json(s[1:d])) AS k, md5(to_json(s[1:d - 1])) AS up, len(s) AS n,
+    len(regexp_extract_all(s[d].x, '[^\x20\x09-\x0D]+')) AS w
+  FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM rebuilt)),
+node AS (SELECT k, d, min(c) AS conv_id, count(*) AS n_convs, any_value(up) AS up, coalesce(any_value(w), 0) AS w,
+    string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (d = n) AS ends FROM prefix GROUP BY k, d),
+kids AS (SELECT up, d - 1 AS d, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL),
+below AS (SELECT a.k, a.d, sum((u.n_convs - 1) * u.w) AS saved, count(*) FILTER (u.leaf) AS leaves
+  FROM (SELECT node.*, kids.n IS NULL AS leaf FROM node LEFT JOIN kids ON kids.up = node.k AND kids.d = node.d) u
+  JOIN prefix a ON a.c = u.conv_id AND a.d <= u.d GROUP BY ALL)
+SELECT v.conv_id, v.d AS depth, p.conv_id AS parent_conv_id, v.n_convs, coalesce(kids.n, 0) AS n_children,
+  below.leaves AS n_leaves, below.saved::BIGINT AS saved_tokens, sha256(coalesce(v.ends, '')) AS ends_sha256
+FROM node v JOIN below ON below.k = v.k AND below.d = v.d
+LEFT JOIN kids ON kids.up = v.k AND kids.d = v.d LEFT JOIN node p ON v.d > 0 AND p.k = v.up AND p.d = v.d - 1
+"""
