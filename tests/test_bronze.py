@@ -223,8 +223,8 @@ def test_file_lineage_names_the_source(spark, folder):
 
 def test_landing_copies_bytes_and_hierarchy(spark, folder):
     source = folder + "/outbound"
-    contents = {"a.csv": b"x" * 10, "deep/er/b.csv": bytes(range(256)) * 100}
-    for name, data in {**contents, "empty.csv": b""}.items():  # empty files are no data
+    contents = {"a.csv": b"x" * 10, "deep/er/b 1%.csv": bytes(range(256)) * 100, "empty.csv": b""}
+    for name, data in contents.items():
         os.makedirs(os.path.dirname(f"{source}/{name}"), exist_ok=True)
         with open(f"{source}/{name}", "wb") as file:
             file.write(data)
@@ -239,12 +239,12 @@ def test_landing_copies_bytes_and_hierarchy(spark, folder):
         assert rows[name].sha256 == hashlib.sha256(data).hexdigest()
         assert rows[name].written == rows[name].length == len(data)
     gate = lambda: landing.landing_gate(manifest, landing.landed_files(spark, leaf)).first()
-    assert (gate().outcome, gate().error_code, gate().files_read) == ("PROCESS", None, 2)
+    assert (gate().outcome, gate().error_code, gate().files_read) == ("PROCESS", None, 3)
     with open(f"{leaf}/a.csv", "wb") as file:  # cut short after the copy
         file.write(b"x")
     assert gate().outcome == "FAILED"
     os.remove(f"{leaf}/a.csv")
-    assert (gate().outcome, gate().files_written) == ("FAILED", 1)
+    assert (gate().outcome, gate().files_written) == ("FAILED", 2)
 
 
 def test_gate_tests_counts_before_no_data(frame):

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tidegate.functions.temporal import seconds_crossed, sortable_bound, utc_text
 from tidegate.operators.windows import plan_windows
-from tidegate.sources.files import discover, modified_window, relative_to, rows_in_modified_window
+from tidegate.sources.files import (
+    discover, list_folders, modified_window, relative_to, rows_in_modified_window,
+)
 from tidegate.sources.ranges import range_number
 from tidegate.sources.tables import upper_bound, window_rows
 
@@ -175,6 +177,44 @@ def test_file_at_the_lower_bound_is_taken(spark, folder):
     assert discover(spark, folder, "c*").count() == 1
 
 
+def test_empty_hidden_and_oddly_named_files_are_found(spark, folder):
+    names = ["a.csv", "empty.csv", "_held.csv", ".dot.csv", "deep/er/b 1%2F.csv", "run=x%3Ay/é#?.csv",
+             "_tmp/c.csv", "notes.txt"]
+    for name in names:
+        os.makedirs(os.path.dirname(os.path.join(folder, name)), exist_ok=True)
+        with open(os.path.join(folder, name), "w") as file:
+            file.write("" if name == "empty.csv" else "x")
+    os.makedirs(os.path.join(folder, "bare"))
+    def found(*args, **more):
+        rows = discover(spark, folder, *args, **more)
+        return {r.p: r.length for r in rows.select(relative_to(F.col("path"), folder).alias("p"), "length").collect()}
+    plain = {"a.csv": 1, "empty.csv": 0, "deep/er/b 1%2F.csv": 1, "run=x%3Ay/é#?.csv": 1}
+    assert found("*.csv") == plain
+    assert found() == plain | {"notes.txt": 1}
+    assert found("_*") == {"_held.csv": 1} and found(".*") == {".dot.csv": 1}
+    assert found("*", hidden=True) == dict.fromkeys(names, 1) | {"empty.csv": 0}
+    assert found("{a,empty}.c[r-t]v") == {"a.csv": 1, "empty.csv": 0}
+    assert found("[!a]*.t?t") == {"notes.txt": 1} and found("a.cs") == {}
+    one = discover(spark, os.path.join(folder, "a.csv"), "*.csv").first()
+    assert one.path.endswith("/a.csv") and one.length == 1
+    assert discover(spark, os.path.join(folder, "bare")).count() == 0
+    with pytest.raises(Exception, match="bare2"):
+        discover(spark, os.path.join(folder, "bare2"))
+
+
+def test_walk_lists_in_tasks(spark, folder, plan):
+    for i in range(3):
+        os.makedirs(os.path.join(folder, f"d{i}"))
+        with open(os.path.join(folder, f"d{i}", "x.csv"), "w") as file:
+            file.write("x")
+    level = spark.createDataFrame([(f"d{i}",) for i in range(3)], "place string")
+    listed = list_folders(level.repartition(3), "file:" + folder, False)
+    text = plan(listed)
+    assert "MapInPandas" in text and "InMemoryFileIndex" not in text and "binaryFile" not in text
+    assert sorted(r.place for r in listed.collect()) == ["d0/x.csv", "d1/x.csv", "d2/x.csv"]
+    assert "binaryFile" not in plan(discover(spark, folder))
+
+
 def test_relative_path(frame):
     rows = frame("p string", ("file:/lake/land/2026/a.csv",), ("s3://b/lake/land/a.csv",),
                  ("file:/lake/land/x/lake/land/a.csv",), ("file:/lake/land/q?1.csv",))

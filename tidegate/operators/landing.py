@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from tidegate.errors import LANDING_CLEANUP_INCOMPLETE, LANDING_FILE_COUNT_MISMATCH, LoadError
 from tidegate.operators.bronze import checked_segment, path_exists, remove_folder
-from tidegate.sources.files import discover, relative_to
+from tidegate.sources.files import FOUND, store_uri, discover, relative_to
 
 CHUNK = 8 * 1024 * 1024
+PARTIAL = ".partial"
 
 
 def landing_leaf(base: str, date: str, config_id, batch_id: str, run_id: str) -> str:
@@ -29,7 +30,7 @@ def landing_leaf(base: str, date: str, config_id, batch_id: str, run_id: str) ->
 
 
 def _copy(source: str, target: str) -> tuple[int, str]:
-    """Stream one file to the target; returns its bytes and SHA-256.
+    """Stream one file to the target (both URIs); returns its bytes and SHA-256.
 
     The copy is written beside the target and moved there when complete, so a
     repeated or speculative task never leaves half a file under the final name.
@@ -40,7 +41,7 @@ def _copy(source: str, target: str) -> tuple[int, str]:
     write_to, target_path = fs.FileSystem.from_uri(target)
     folder, _, name = target_path.rpartition("/")
     write_to.create_dir(folder, recursive=True)
-    partial = f"{folder}/.{name}.{uuid.uuid4().hex}"
+    partial = f"{folder}/.{name}.{uuid.uuid4().hex}{PARTIAL}"
     digest, size = hashlib.sha256(), 0
     with read_from.open_input_stream(source_path) as incoming:
         with write_to.open_output_stream(partial) as outgoing:
@@ -62,12 +63,12 @@ def land_files(spark: SparkSession, files: DataFrame, root: str, leaf: str) -> D
     into memory.  Lazy: the copy happens when the manifest is written or counted;
     write it once and read it back.
     """
-    target_root = leaf if "://" in leaf else "file://" + leaf
+    target_root = leaf if "://" in leaf else "file:" + leaf
 
     def copy_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             copied = [
-                _copy(path, f"{target_root}/{relative}")
+                _copy(store_uri(path), store_uri(f"{target_root}/{relative}"))
                 for path, relative in zip(batch["source_path"], batch["relative_path"])
             ]
             yield batch.assign(
@@ -75,7 +76,7 @@ def land_files(spark: SparkSession, files: DataFrame, root: str, leaf: str) -> D
             )
 
     listed = files.select(
-        _as_uri("path").alias("source_path"),
+        F.col("path").alias("source_path"),
         relative_to(F.col("path"), root).alias("relative_path"),
         "length",
     )
@@ -83,16 +84,12 @@ def land_files(spark: SparkSession, files: DataFrame, root: str, leaf: str) -> D
     return listed.repartition(tasks, "relative_path").mapInPandas(copy_batch, MANIFEST)
 
 
-def _as_uri(column: str):
-    # local paths are listed as "file:/..."; Arrow wants "file:///..."
-    return F.regexp_replace(F.col(column), r"^file:/+", "file:///")
-
-
 def landed_files(spark: SparkSession, leaf: str) -> DataFrame:
     """The files below a leaf, listed anew; none where nothing was landed."""
     if path_exists(spark, leaf):
-        return discover(spark, leaf)
-    return spark.createDataFrame([], "path string, modified_time timestamp_ntz, length long")
+        # what a lost task left half copied is not landed
+        return discover(spark, leaf, hidden=True).where(~F.endswith("path", F.lit(PARTIAL)))
+    return spark.createDataFrame([], FOUND)
 
 
 def landing_gate(manifest: DataFrame, landed: DataFrame) -> DataFrame:

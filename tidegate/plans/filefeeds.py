@@ -66,17 +66,23 @@ def _second_area(spark, root):
 
 
 def file_discovery(spark, folder):
+    """Feed files by area and slot, one area of empty files, and the hidden marker files."""
     root = _page_feed(spark, folder)
-    found = discover(spark, root, "part-*.csv")
-    part = lambda name: F.regexp_extract("path", rf"{name}=(\d+)/", 1).cast("bigint")
-    return found.groupBy(part("area").alias("area"), part("slot").alias("slot")).agg(
+    nothing = frames.table(spark, folder, "pages").select("url").where("url IS NULL AND url > ''")
+    nothing.coalesce(1).write.csv(f"{root}/area={AREAS}/slot=0")
+    found = discover(spark, root, "part-*.csv").unionByName(discover(spark, root, "_SUCC[A-F]S{S,}"))
+    part = lambda name: F.regexp_extract("path", rf"{name}=(\d+)/", 1).try_cast("bigint")
+    hidden = F.regexp_like("path", F.lit("/_[^/]*$"))
+    return found.groupBy(part("area").alias("area"), part("slot").alias("slot"), hidden.alias("hidden")).agg(
         (F.min("length") > 0).alias("has_bytes")
     )
 
 
 SQL["file_discovery"] = f"""
-SELECT DISTINCT page_id % {AREAS} AS area, page_id % {SLOTS} AS slot, true AS has_bytes
-FROM pages"""
+SELECT DISTINCT page_id % {AREAS} AS area, page_id % {SLOTS} AS slot, false AS hidden, true AS has_bytes
+FROM pages
+UNION ALL SELECT DISTINCT page_id % {AREAS}, NULL, true, false FROM pages
+UNION ALL VALUES ({AREAS}, 0, false, false), ({AREAS}, 0, true, false), (NULL, NULL, true, false)"""
 
 
 def file_window(spark, folder):

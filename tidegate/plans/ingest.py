@@ -290,6 +290,8 @@ class LoadCycle:
             raise LoadError(LANDING_COPY_FAILED, str(failure)) from failure
         if gate.outcome == "SKIPPED":
             return None
+        if gate.bytes_read == 0:
+            return 0
         rows = stamp_file_lineage(reader(self.spark, leaf, options), leaf, row.source_path)
         stamped = stamp_lineage(rows, self.batch_id, run_id, utc_now_text(), with_date=True)
         return bronze.append_execution(stamped, self._target(row))
