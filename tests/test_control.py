@@ -1,5 +1,6 @@
 """Contracts, routes, options, ranges, paging and seeding."""
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -182,6 +183,57 @@ def test_range_labels_add_no_shuffle(spark, plan):
     assert ranges.label_ranges(spark.range(0), "id", 4).count() == 0
 
 
+def cut_rows(spark, kind):
+    """A column where one value has a third of the rows and a tail is long; some are NULL."""
+    keys = [5] * 500 + [k * k for k in range(900)] + [10**12] * 90
+    stamp = {"k long": lambda k: k, "k date": lambda k: ranges.date(2000, 1, 1) + ranges.timedelta(days=k % 9999),
+             "k timestamp_ntz": lambda k: ranges.datetime(2000, 1, 1) + ranges.timedelta(microseconds=k)}[kind]
+    return [(stamp(k), k % 10) for k in keys] + [(None, 1)] * 20
+
+
+@pytest.mark.parametrize("kind", ["k long", "k date", "k timestamp_ntz"])
+def test_depth_cuts_are_even_inside_the_window(spark, kind):
+    rows = cut_rows(spark, kind)
+    df = spark.createDataFrame(rows, f"{kind}, w int")
+    inside = df.where("w > 2 AND w <= 9")
+    cuts = ranges.depth_cuts(inside, "k", 8)
+    counts = {r._range_id: r["count"] for r in ranges.label_cuts(inside, "k", cuts).groupBy("_range_id").count().collect()}
+    wanted = [r for r in rows if 2 < r[1] <= 9]
+    assert sum(counts.values()) == len(wanted)
+    own = {v for v in {r[0] for r in wanted} if sum(r[0] == v for r in wanted) > len(wanted) / 8}
+    assert own and sorted(n for n in counts.values() if n * 8 > 2 * len(wanted)) == sorted(
+        n for v in own if (n := sum(r[0] == v for r in wanted)) * 8 > 2 * len(wanted)
+    )
+    con = duckdb.connect()
+    con.execute(f"CREATE TABLE t (k {kind[2:].replace('_ntz', '')}, w INT)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", rows)
+    predicates = ranges.cut_predicates("k", cuts, "w > 2 AND w <= 9")
+    assert len(predicates) <= 2 * 8 and all("w > 2 AND w <= 9" in p for p in predicates)
+    hits = " + ".join(f"coalesce(CAST({p} AS INT), 0)" for p in predicates)
+    got = con.execute(f"SELECT w > 2, {hits} AS n, count(*) FROM t GROUP BY ALL").fetchall()
+    assert {(inside, n) for inside, n, _ in got} == {(True, 1), (False, 0)}
+
+
+def test_cuts_of_little(spark):
+    empty = spark.createDataFrame([], "k long")
+    assert ranges.depth_cuts(empty, "k", 8) == [] and ranges.cut_predicates("k", []) == ["1 = 1"]
+    assert ranges.cut_predicates("k", [], "w > 1") == ["(w > 1)"]
+    same = spark.createDataFrame([(3,)] * 9, "k long")
+    cuts = ranges.depth_cuts(same, "k", 4)
+    assert [r._range_id for r in ranges.label_cuts(same, "k", cuts).distinct().collect() if r.k == 3] == [1]
+    assert ranges.cut_predicates("k", cuts)[1] == "(k >= 3 AND k <= 3)"
+    with pytest.raises(ValueError, match="whole numbers"):
+        ranges.depth_cuts(spark.createDataFrame([("1",)], "k string"), "k", 4)
+
+
+def test_sketch_reads_the_column_and_the_window_only(spark, folder, plan):
+    spark.range(100).selectExpr("id AS k", "id AS w", "'x' AS wide").write.parquet(folder + "/t")
+    rows = spark.read.parquet(folder + "/t").where("w > 50")
+    text = plan(rows.select("k").agg({"k": "max"}))
+    assert "wide" not in text and "GreaterThan(w,50)" in text
+    assert "Exchange" not in plan(ranges.label_cuts(rows, "k", ranges.depth_cuts(rows, "k", 4)))
+
+
 def test_pages(frame):
     scope = frame("config_id int", *[(n,) for n in (5, 3, 9, 1, 7)])
     page = lambda n: [r.config_id for r in configs.config_page(scope, n, 2).collect()]

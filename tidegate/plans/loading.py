@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -81,6 +82,35 @@ SELECT CAST((l_orderkey - lo) // ((hi - lo + 8) // 8) AS INTEGER) AS _range_id,
   count(*) AS row_count, min(l_orderkey) AS first_key, max(l_orderkey) AS last_key
 FROM lineitem, limits GROUP BY 1"""
 
+SLICES = 8
+
+
+def range_window_extract(spark, folder):
+    """Ranges inside a window over a column where one value has a third of the rows.
+
+    One row per kind of range: rows, values outside their range's borders, and whether the
+    largest range of several values has at most twice the mean of all ranges.
+    """
+    key = F.when(F.col("l_orderkey") % 3 == 0, 77).otherwise(F.col("l_orderkey") * F.col("l_orderkey"))
+    lines = frames.table(spark, folder, "lineitem").withColumn("k", key)
+    rows = window_rows(lines, "l_shipdate", LOW, HIGH)
+    labelled = ranges.label_cuts(rows, "k", ranges.depth_cuts(rows, "k", SLICES))
+    each = labelled.groupBy("_range_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("k").alias("first"), F.max("k").alias("last"),
+    )
+    alone = (F.col("first") == F.col("last")) & (F.col("first") == 77)
+    # a row per range: their sum is no shuffle of the data
+    totals = each.withColumn("all_rows", F.sum("n").over(Window.partitionBy(F.lit(1))))
+    return totals.groupBy(alone.alias("one_value")).agg(
+        F.sum("n").alias("row_count"),
+        (F.max("n") * SLICES <= 2 * F.first("all_rows")).alias("within_twice_the_mean"),
+    )
+
+
+SQL["range_window_extract"] = f"""
+SELECT l_orderkey % 3 = 0 AS one_value, count(*) AS row_count, l_orderkey % 3 <> 0 AS within_twice_the_mean
+FROM lineitem WHERE l_shipdate > TIMESTAMP '{LOW}' AND l_shipdate <= TIMESTAMP '{HIGH}' GROUP BY ALL"""
+
 # Executions of one order table: two committed in one batch, one failed later.
 EXECUTIONS = {"F": ("B1", "run:F"), "O": ("B1", "run:O"), "P": ("B2", "run:P")}
 
@@ -271,7 +301,7 @@ FROM (SELECT 'B0' AS batch_id, 'REGULAR' AS run_type, 'SUCCESS' AS status,
 
 for _query in (
     full_load, lineage_stamp, incremental_window, source_upper_bound, range_partition_extract,
-    bronze_append, committed_read, compensating_delete, orphan_executions, nested_append,
+    range_window_extract, bronze_append, committed_read, compensating_delete, orphan_executions, nested_append,
     resumed_copy, load_cycle,
 ):
     QUERIES[_query.__name__] = _query
