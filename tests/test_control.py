@@ -267,6 +267,33 @@ def test_seeding(spark):
     ]
 
 
+def test_doubled_spellings_are_refused_by_name(spark):
+    current = local_frame(spark, [config(ingestion_config_id=1, source_object="orders")], CONFIG)
+    spell = lambda *names: local_frame(spark, [config(source_object=n) for n in names], CONFIG).drop("ingestion_config_id")
+    for seed, named in ((spell("Orders", "ORDERS", "y"), "s.dbo.orders"), (spell("x", "X ", "orders"), "s.dbo.x")):
+        with pytest.raises(LoadError, match=named) as caught:
+            configs.upsert_configs(current, seed)
+        assert caught.value.code == "AMBIGUOUS_SEED"
+    twice = local_frame(spark, [config(ingestion_config_id=i, source_object=n) for i, n in ((1, "a"), (2, "A"))], CONFIG)
+    with pytest.raises(LoadError, match="s.dbo.a"):
+        configs.upsert_configs(twice, spell("b"))
+    refs = spark.createDataFrame([("C1", "X", "{}"), ("c1", "Y", "{}")], "connection_ref string, connection_type string, connection_settings string")
+    with pytest.raises(LoadError, match="c1"):
+        configs.upsert_connections(refs.limit(0), refs)
+
+
+def test_seeding_keeps_time_stamps(spark):
+    current = local_frame(
+        spark, [config(ingestion_config_id=i, source_object=n) for i, n in ((1, "kept"), (2, "old"))], CONFIG
+    ).withColumns({"created_at": F.lit("2026-01-01").cast("timestamp_ntz"), "updated_at": F.lit("2026-01-02").cast("timestamp_ntz")})
+    seed = local_frame(spark, [config(source_object=n) for n in ("OLD", "new")], CONFIG).drop("ingestion_config_id")
+    after = configs.upsert_configs(current, seed, now=F.lit("2026-03-03").cast("timestamp_ntz"))
+    got = [(r.source_object, str(r.created_at)[:10], str(r.updated_at)[:10]) for r in after.orderBy("ingestion_config_id").collect()]
+    assert got == [
+        ("kept", "2026-01-01", "2026-01-02"), ("old", "2026-01-01", "2026-03-03"), ("new", "2026-03-03", "2026-03-03"),
+    ]
+
+
 def test_state_is_only_added(spark):
     rows = [
         config(ingestion_config_id=n, load_strategy=s, watermark_field=f, ingestion_pattern=p)

@@ -126,6 +126,15 @@ def test_repeats_inside_one_call(spark):
     ]
 
 
+def test_one_audit_row_for_one_run_and_order(spark):
+    same = judge(spark, [call(1, "a"), call(1, "a"), call(1, "a")])
+    assert sorted(o for o, _ in outcomes(same)) == ["NO_OP", "NO_OP", "RECORDED"]
+    assert same.audit_rows().count() == 1 and values(same) == ["Ha"]
+    other = judge(spark, [call(1, "a"), call(1, "a", error_code="X"), call(1, "a", error_code="Y")])
+    assert sorted(o for o, _ in outcomes(other)) == ["RECORDED", "REJECTED", "REJECTED"]
+    assert other.audit_rows().count() == 1
+
+
 @settings(max_examples=6, deadline=None,
           suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(

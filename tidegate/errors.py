@@ -46,6 +46,7 @@ LOAD_FAILED = "LOAD_FAILED"
 INVALID_SOURCE_OPTIONS = "INVALID_SOURCE_OPTIONS"
 MALFORMED_ROWS = "MALFORMED_ROWS"
 CONNECTION_NOT_FOUND = "CONNECTION_NOT_FOUND"
+AMBIGUOUS_SEED = "AMBIGUOUS_SEED"
 
 
 class LoadError(Exception):

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.errors import INVALID_CONFIG_PAGE_SIZE, LoadError
+from tidegate.errors import AMBIGUOUS_SEED, INVALID_CONFIG_PAGE_SIZE, LoadError
 from tidegate.functions.text import match_key
 from tidegate.operators.positions import dense_positions
 from tidegate.schemas import CONFIG, INITIAL_WATERMARK
 
 IDENTITY = ("source_system", "source_schema", "source_object")
 
+NAMED_KEYS = 20  # keys that a refusal names
+
 # fixed values: page size limits
 LARGEST_PAGE = 5000
 DEFAULT_PAGE = 1000
@@ -72,66 +74,111 @@ def config_page(scope: DataFrame, page: int, size: int = DEFAULT_PAGE) -> DataFr
     return scope.orderBy("config_id").offset(page * size).limit(size)
 
 
-def _identity_matches(left: str, right: str) -> Column:
-    """Names equal without regard to case; two missing names are equal too."""
-    condition = F.lit(True)
-    for name in IDENTITY:
-        condition = condition & match_key(F.col(f"{left}.{name}")).eqNullSafe(
-            match_key(F.col(f"{right}.{name}"))
-        )
-    return condition
+STAMPS = ("created_at", "updated_at")
+
+
+def _merged(current: DataFrame, seed: DataFrame, key: list[str]) -> DataFrame:
+    """Both sides of each key in one row: structs ``cur`` and ``new``, their numbers of rows.
+
+    One grouping stands for the full outer join; keys compare without case.
+    """
+    names = [match_key(F.col(name)).alias(f"_key_{name}") for name in key]
+    whole = lambda df: F.struct(*df.columns)
+    none = lambda df: F.lit(None).cast(df.select(whole(df)).schema[0].dataType)
+    both = current.select(*names, whole(current).alias("cur"), none(seed).alias("new")).unionByName(
+        seed.select(*names, none(current).alias("cur"), whole(seed).alias("new"))
+    )
+    return both.groupBy(*[f"_key_{name}" for name in key]).agg(
+        F.any_value("cur", True).alias("cur"), F.any_value("new", True).alias("new"),
+        F.count("cur").alias("in_current"), F.count("new").alias("in_seed"),
+    )
+
+
+def _ambiguous(merged: DataFrame, key: tuple[str, ...] | list[str]) -> DataFrame:
+    return merged.where((F.col("in_current") > 1) | (F.col("in_seed") > 1)).select(
+        *[F.col(f"_key_{name}").alias(name) for name in key], "in_current", "in_seed"
+    )
+
+
+def ambiguous_configs(current: DataFrame, seed: DataFrame) -> DataFrame:
+    """Config keys that one side has more than once, spellings without case counted together."""
+    key = list(IDENTITY)
+    return _ambiguous(_merged(current.select(*key), seed.select(*key), key), key)
+
+
+def _checked(merged: DataFrame, key: list[str]) -> DataFrame:
+    """The merge, stored once, or a refusal that names keys found twice on a side."""
+    merged = merged.checkpoint()
+    doubled = _ambiguous(merged, key).orderBy(*key).limit(NAMED_KEYS).collect()
+    if doubled:
+        told = "; ".join(".".join(str(row[name]) for name in key if row[name] is not None) for row in doubled)
+        raise LoadError(AMBIGUOUS_SEED, f"more than one row for {told}")
+    return merged
 
 
 def upsert_configs(
-    current: DataFrame, seed: DataFrame, protected: str | None = None
+    current: DataFrame, seed: DataFrame, protected: str | None = None, now: Column | None = None
 ) -> DataFrame:
     """The config table after seeding: matches updated, missing rows added.
 
-    Rows of the ``protected`` source system are only ever added.  New rows are
-    numbered upwards from the largest id in use; their number comes from their
-    place among the new rows, so it does not depend on how Spark splits them.
+    A key that either side has twice is refused before anything is written.  Rows of the
+    ``protected`` source system are only ever added.  New rows are numbered upwards from
+    the largest id in use; their number comes from their place among the new rows, so it
+    does not depend on how Spark splits them.  With ``now`` the result has ``created_at``
+    and ``updated_at``: kept rows keep theirs, a change sets the second, a new row both.
     """
+    key = list(IDENTITY)
     settings = [f.name for f in CONFIG.fields if f.name not in ("ingestion_config_id", *IDENTITY)]
+    for name in STAMPS if now is not None else ():
+        if name not in current.columns:
+            current = current.withColumn(name, F.lit(None).cast("timestamp_ntz"))
+    stamps = list(STAMPS) if now is not None else []
+    merged = _checked(
+        _merged(current.select("ingestion_config_id", *key, *settings, *stamps), seed.select(*key, *settings), key), key
+    )
     guarded = (
         match_key(F.col("cur.source_system")) == F.lower(F.lit(protected))
         if protected
         else F.lit(False)
     )
-    touched = F.col("new.source_object").isNotNull() & ~guarded
-    updated = (
-        current.alias("cur")
-        .join(seed.alias("new"), _identity_matches("cur", "new"), "left")
-        .select(
-            "cur.ingestion_config_id",
-            *[F.col(f"cur.{name}") for name in IDENTITY],
-            *[
-                F.when(touched, F.col(f"new.{name}")).otherwise(F.col(f"cur.{name}")).alias(name)
-                for name in settings
-            ],
-            F.when(touched, "UPDATED").otherwise("KEPT").alias("change"),
-        )
-    )
-    missing = seed.alias("new").join(
-        current.alias("cur"), _identity_matches("new", "cur"), "left_anti"
+    touched = F.col("new").isNotNull() & ~guarded
+    stamped = lambda at: [
+        F.when(at, now).otherwise(F.col(f"cur.{name}")).alias(name) if name == "updated_at"
+        else F.col(f"cur.{name}").alias(name)
+        for name in stamps
+    ]
+    updated = merged.where(F.col("cur").isNotNull()).select(
+        "cur.ingestion_config_id",
+        *[F.col(f"cur.{name}") for name in IDENTITY],
+        *[
+            F.when(touched, F.col(f"new.{name}")).otherwise(F.col(f"cur.{name}")).alias(name)
+            for name in settings
+        ],
+        *stamped(touched),
+        F.when(touched, "UPDATED").otherwise("KEPT").alias("change"),
     )
+    missing = merged.where(F.col("cur").isNull()).select("new.*")
     last_id = current.agg(F.max("ingestion_config_id")).first()[0] or 0
-    numbered = dense_positions(missing, list(IDENTITY), "_place")
+    numbered = dense_positions(missing, key, "_place")
     added = numbered.select(
         (F.col("_place") + last_id).cast("int").alias("ingestion_config_id"),
         *IDENTITY,
         *settings,
+        *[now.alias(name) for name in stamps],
         F.lit("ADDED").alias("change"),
     )
     return updated.unionByName(added)
 
 
 def upsert_connections(current: DataFrame, seed: DataFrame) -> DataFrame:
-    """The connections after seeding: references in the seed replaced, new ones added."""
-    key = match_key(F.col("connection_ref")).alias("_key")
+    """The connections after seeding: references in the seed replaced, new ones added.
+
+    A reference that either side has twice is refused.
+    """
     columns = ["connection_ref", "connection_type", "connection_settings"]
-    old, new = current.select(key, *columns), seed.select(key, *columns)
-    kept = old.alias("old").join(new.alias("new"), "_key", "left").select(
-        "old.connection_ref",
-        *[F.coalesce(F.col(f"new.{name}"), F.col(f"old.{name}")).alias(name) for name in columns[1:]],
+    merged = _checked(_merged(current.select(*columns), seed.select(*columns), columns[:1]), columns[:1])
+    known = F.col("cur").isNotNull()
+    return merged.select(
+        F.when(known, F.col("cur.connection_ref")).otherwise(F.col("new.connection_ref")).alias("connection_ref"),
+        *[F.coalesce(f"new.{name}", f"cur.{name}").alias(name) for name in columns[1:]],
     )
-    return kept.unionByName(new.join(old, "_key", "left_anti").select(*columns))

@@ -131,8 +131,9 @@ def finalize(
 
     The requests of one call count as concurrent: they all saw the same state.
     If several could advance one config, the lowest ``call_order`` wins (of equal
-    ones the smallest run id) and the others conflict.  A run id used again in the call is compared with what its
-    first valid use puts into the audit.  Bounds are compared as exact texts.
+    ones the smallest run id) and the others conflict.  A run id used again in the call is
+    compared with what its first valid use puts into the audit; of uses with one ``call_order``
+    one is the first, so a run never gets two audit rows.  Bounds are compared as exact texts.
     Winners and first uses are found by aggregation, never by a window over all
     requests of a key, so a key holding most of the requests stays parallel.
 
@@ -151,16 +152,18 @@ def finalize(
             "_argument_error": _argument_error(),
         }
     ).join(recorded, "pipeline_run_id", "left").checkpoint()
+    # a place for every request; among equal orders the outcome decides, then the stored row
+    told = F.xxhash64(*[F.coalesce(F.col(field).cast("string"), F.lit("")) for field in OUTCOME_FIELDS])
+    seen = seen.withColumn("_row", F.monotonically_increasing_id())
+    seen = seen.withColumn("_use", F.struct("call_order", told.alias("told"), F.col("_row").alias("row")))
 
     fresh = seen.where(
         F.col("_known").isNull()
         & (F.col("duration_seconds") >= 0)
         & F.col("_argument_error").isNull()
     )
-    first_use = fresh.groupBy("pipeline_run_id").agg(F.min("call_order").alias("_first_order"))
-    leaders = fresh.join(first_use, "pipeline_run_id").where(
-        F.col("call_order") == F.col("_first_order")
-    )
+    first_use = fresh.groupBy("pipeline_run_id").agg(F.min("_use").alias("_first_use"))
+    leaders = fresh.join(first_use, "pipeline_run_id").where(F.col("_use") == F.col("_first_use"))
     advancing = leaders.where(F.col("advance_watermark"))
     current = state.select(
         "ingestion_config_id",
@@ -185,7 +188,7 @@ def finalize(
     )
     first_outcome = audited.select(
         "pipeline_run_id",
-        "_first_order",
+        "_first_use",
         "_lost",
         "_new_status",
         "_new_error_code",
@@ -196,8 +199,8 @@ def finalize(
         ],
     )
     joined = seen.join(first_outcome, "pipeline_run_id", "left")
-    repeats = F.col("call_order") > F.col("_first_order")
-    leads = F.col("call_order") == F.col("_first_order")
+    repeats = F.col("_use") > F.col("_first_use")
+    leads = F.col("_use") == F.col("_first_use")
     error = (
         F.when(F.col("duration_seconds") < 0, INVALID_TIME_RANGE)
         .when(F.col("_known"), F.when(~_agrees("_old_"), OUTCOME_MISMATCH))

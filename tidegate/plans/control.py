@@ -246,6 +246,27 @@ FROM configs WHERE NOT is_active""",
 
 
 
+def config_ambiguity(spark, folder):
+    """Seeds that spell a key twice, against configs of which some are there twice."""
+    configs = frames.configs(spark, folder)
+    upper = lambda df: df.withColumn("source_system", F.upper("source_system"))
+    lower = lambda df: df.withColumn("source_system", F.lower("source_system"))
+    key = F.col("ingestion_config_id")
+    current = configs.unionByName(upper(configs.where(key % 5 == 0)))
+    seed = lower(configs).unionByName(upper(configs.where(key % 3 == 0)))
+    return config_ops.ambiguous_configs(current, seed)
+
+
+SQL["config_ambiguity"] = with_tables(
+    CONFIGS,
+    body="""
+SELECT rtrim(lower(source_system)) AS source_system, rtrim(lower(source_schema)) AS source_schema,
+  rtrim(lower(source_object)) AS source_object, sum(CASE WHEN ingestion_config_id % 5 = 0 THEN 2 ELSE 1 END)::BIGINT
+    AS in_current, sum(CASE WHEN ingestion_config_id % 3 = 0 THEN 2 ELSE 1 END)::BIGINT AS in_seed
+FROM configs GROUP BY ALL HAVING in_current > 1 OR in_seed > 1""",
+)
+
+
 def connection_upsert(spark, folder):
     """Sources get new settings; one connection per supplier is added."""
     current = frames.connections(spark, folder)
@@ -462,7 +483,7 @@ SELECT o.pipeline_run_id, o.batch_id, o.ingestion_config_id, ingestion_pattern,
     WHEN kind = 'error' THEN 'SOURCE_QUERY_FAILED' END AS error_code,
   o.low AS processing_lower_bound, o.high AS processing_upper_bound,
   CAST(3 AS BIGINT) AS duration_seconds
-FROM outcomes o JOIN argued a ON a.call_order = o.call_order
+FROM outcomes o JOIN argued a ON a.call_order = o.call_order AND a.replay = o.replay
   LEFT JOIN configs c ON c.ingestion_config_id = o.ingestion_config_id
 WHERE outcome IN ('RECORDED', 'CONFLICT')""",
 )
@@ -663,7 +684,7 @@ WHERE ingestion_config_id NOT IN (SELECT ingestion_config_id FROM configs WHERE
 for _query in (
     select_active_configs, resolve_configs, route_objects, copy_options_check,
     copy_options_set, config_pages,
-    config_page_count, watermark_view, watermark_gaps, missing_state, config_upsert,
+    config_page_count, watermark_view, watermark_gaps, missing_state, config_upsert, config_ambiguity,
     connection_upsert,
     validate_requests, normalize_requests, duplicate_requests, execution_decision, plan_windows,
     finalize_batch, finalize_state, finalize_audit, recovery_actions, contract_violations,

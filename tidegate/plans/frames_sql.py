@@ -144,7 +144,7 @@ base AS (
 calls AS (
   SELECT *, false AS replay FROM base
   UNION ALL
-  SELECT call_order + 1, event_id, kind, ingestion_config_id, batch_id, pipeline_run_id, low, high,
+  SELECT call_order + CASE WHEN kind = 'purchase' AND event_id % 2 = 0 THEN 0 ELSE 1 END, event_id, kind, ingestion_config_id, batch_id, pipeline_run_id, low, high,
     CASE WHEN kind = 'view' THEN 'SUCCESS' ELSE status END, ends_early, advance, true
   FROM base WHERE kind IN ('purchase', 'view')),
 current_state AS (
@@ -174,7 +174,7 @@ judged AS (
       WHEN own_error IS NOT NULL THEN own_error
       WHEN f.lost THEN 51006 END AS error_number,
     kind = 'signup' OR (replay AND f.pipeline_run_id IS NOT NULL) AS seen_before,
-    a.advance
+    a.advance, a.replay
   FROM argued a LEFT JOIN first_use f USING (pipeline_run_id)),
 outcomes AS (
   SELECT *, CASE WHEN error_number = 51006 THEN 'CONFLICT'
