@@ -58,6 +58,43 @@ def test_pairs_of_equal_rows_do_not_cancel(frame):
     assert result.counts_equal and not result.checksum_equal
 
 
+def test_equal_tables_move_digests_only(spark, folder):
+    lines = spark.range(2000).selectExpr("id AS a", "concat('x', id % 7) AS b")
+    lines.write.parquet(folder + "/one")
+    lines.repartition(5).write.parquet(folder + "/two")
+    one, two = (spark.read.parquet(f"{folder}/{n}") for n in ("one", "two"))
+    assert reconcile.differing_parts(one, two, ["a", "b"]).count() == 0
+    drift = reconcile.data_drift(one, two, ["a", "b"])
+    assert drift.collect() == []
+    final = drift._jdf.queryExecution().executedPlan().toString()
+    initial = final.split("== Final Plan ==")[-1]
+    assert "LeftSemi" in final and "Exchange hashpartitioning(a" not in initial.split("== Initial Plan ==")[0]
+    changed = two.where("a <> 77").union(spark.createDataFrame([(77, "y"), (5, "x5")], "a long, b string"))
+    parts = reconcile.differing_parts(one, changed, ["a", "b"]).count()
+    assert 1 <= parts <= 3
+    got = {(r.a, r.b, r.only_in, r.copies) for r in reconcile.data_drift(one, changed, ["a", "b"]).collect()}
+    assert got == {(77, "x0", "LEFT", 1), (77, "y", "RIGHT", 1), (5, "x5", "RIGHT", 1)}
+
+
+def test_schema_rows_come_from_footers(spark, folder, plan):
+    kinds = {"a": "id", "b": "if(id % 2 = 0, 'x', null)", "c": "array(id, null)", "d": "struct(id AS e, 'k' AS f)",
+             "g": "timestamp_ntz '2026-01-01 00:00:00'", "h": "cast(id AS decimal(20,3))", "i": "date '2026-01-01'"}
+    rows = spark.range(50).selectExpr(*[f"{value} AS {name}" for name, value in kinds.items()])
+    rows.selectExpr("*", "if(a < 25, 1, null) AS p").write.partitionBy("p").parquet(folder + "/t")
+    rows.selectExpr("a", "'late' AS z").write.mode("append").parquet(folder + "/u")
+    rows.drop("z").write.mode("append").parquet(folder + "/u")
+    for name in ("t", "u"):
+        path = f"{folder}/{name}"
+        table = spark.read.option("mergeSchema", "true").parquet(path)
+        expected = {tuple(r) for r in reconcile.schema_rows(table).collect()}
+        assert {tuple(r) for r in reconcile.schema_rows_of_files(spark, path).collect()} == expected
+        assert reconcile.schema_drift_of_files(spark, path, path).count() == 0
+    text = plan(reconcile.footer_nulls(spark, folder + "/t"))
+    assert "MapInPandas" in text and "FileScan" not in text
+    stated = {r.column_name: (r.row_count, r.known_rows, r.nulls) for r in reconcile.footer_nulls(spark, folder + "/t").collect()}
+    assert stated["b"] == (50, 50, 25) and stated["c"] == (50, 0, 0) and stated[None] == (50, 0, 0)
+
+
 def test_schema_drift(frame):
     one = frame("a int, b string", (1, "x"))
     assert reconcile.schema_drift(one, frame("a int, b string", (2, "y"))).count() == 0

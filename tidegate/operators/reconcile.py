@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegate.sources.files import discover, store_uri
+
 LANES = (0, 16, 32, 48)
+PART_BITS = 16  # tables are compared in so many bits' worth of parts
 
 
 def _fingerprint_parts(row_hash: Column) -> dict[str, Column]:
@@ -63,16 +67,47 @@ def content_reconcile(left: DataFrame, right: DataFrame, columns: list[str]) ->
     )
 
 
+def _parted(df: DataFrame, columns: list[str], side: int) -> DataFrame:
+    """The columns with the row's hash, the part of the table it falls in, and its side."""
+    row_hash = _row_hash(columns)
+    return df.select(
+        *columns, row_hash.alias("_hash"), F.shiftrightunsigned(row_hash, 64 - PART_BITS).alias("_part"),
+        F.lit(side).alias("_copy"),
+    )
+
+
+def differing_parts(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
+    """Parts of the hash range in which the two tables do not hold the same rows.
+
+    Only digests are shuffled, at most one row per part and task.
+    """
+    both = _parted(left, columns, 1).unionByName(_parted(right, columns, -1))
+    signed = [
+        F.sum(F.shiftrightunsigned("_hash", shift).bitwiseAND(0xFFFF) * F.col("_copy")).alias(f"lane{shift}")
+        for shift in LANES
+    ]
+    digests = both.groupBy("_part").agg(
+        F.sum("_copy").alias("rows"), F.bit_xor("_hash").alias("xor"), *signed
+    )
+    off = F.lit(False)
+    for name in ("rows", "xor", *[f"lane{shift}" for shift in LANES]):
+        off = off | (F.col(name) != 0)
+    return digests.where(off).select("_part")
+
+
 def data_drift(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
     """Rows that occur more often on one side, and how many more times.
 
-    Both directions come from one grouping over the union, with copies summed
-    before the shuffle, so a row repeated many times does not pile up anywhere.
+    The tables are first compared by digests of parts of the hash range; rows are moved
+    only from parts that differ, of which there are at most 2^PART_BITS numbers to
+    broadcast.  For equal tables nothing but digests is shuffled, and the second pass ends
+    at the scan.  Both directions come from one grouping, with copies summed before the
+    shuffle, so a row repeated many times does not pile up anywhere.
     """
-    both = left.select(*columns, F.lit(1).alias("_copy")).unionByName(
-        right.select(*columns, F.lit(-1).alias("_copy"))
-    )
-    surplus = both.groupBy(*columns).agg(F.sum("_copy").alias("_surplus"))
+    parts = F.broadcast(differing_parts(left, right, columns))
+    both = _parted(left, columns, 1).unionByName(_parted(right, columns, -1))
+    moved = both.join(parts, "_part", "left_semi")
+    surplus = moved.groupBy(*columns).agg(F.sum("_copy").alias("_surplus"))
     return surplus.where(F.col("_surplus") != 0).select(
         *columns,
         F.when(F.col("_surplus") > 0, "LEFT").otherwise("RIGHT").alias("only_in"),
@@ -103,14 +138,94 @@ def schema_rows(df: DataFrame) -> DataFrame:
     return counted.select(F.inline(rows))
 
 
-def schema_drift(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Column descriptions found on one side only; none when the schemas agree."""
-    one, other = schema_rows(left), schema_rows(right)
+FOOTERS = "column_name string, row_count long, known_rows long, nulls long"
+
+
+def footer_nulls(spark: SparkSession, path: str) -> DataFrame:
+    """Per top-level column of the Parquet files below a folder: rows of the files that have
+    it, rows in row groups that state its nulls, and the nulls stated.
+
+    Tasks list the folder and read footers; no data page is read.  A column with parts of
+    its own (array, struct, map) has no rows of known nulls.
+    """
+    files = discover(spark, path, "*.parquet").where("length > 0").select("path")
+
+    def read(batches):
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        for batch in batches:
+            for name in batch["path"]:
+                store, place = fs.FileSystem.from_uri(store_uri(name))
+                with store.open_input_file(place) as file:
+                    footer = pq.ParquetFile(file).metadata
+                found = {}
+                for i in range(footer.num_columns):
+                    whole = footer.schema.column(i).path
+                    found.setdefault(whole.partition(".")[0], [footer.num_rows, 0, 0])
+                    if "." in whole or footer.schema.column(i).max_repetition_level:
+                        continue
+                    for group in range(footer.num_row_groups):
+                        chunk = footer.row_group(group).column(i)
+                        if chunk.statistics is not None and chunk.statistics.has_null_count:
+                            found[whole][1] += footer.row_group(group).num_rows
+                            found[whole][2] += chunk.statistics.null_count
+                rows = [(column, *counts) for column, counts in found.items()]
+                rows.append((None, footer.num_rows, 0, 0))
+                yield pd.DataFrame(rows, columns=["column_name", "row_count", "known_rows", "nulls"])
+
+    width = 4 * spark.sparkContext.defaultParallelism
+    read_in_tasks = files.repartition(width, "path").mapInPandas(read, FOOTERS)
+    return read_in_tasks.groupBy("column_name").agg(
+        *[F.sum(name).alias(name) for name in ("row_count", "known_rows", "nulls")]
+    )
+
+
+def schema_rows_of_files(spark: SparkSession, path: str) -> DataFrame:
+    """What ``schema_rows`` says of the Parquet table in a folder, from its files' footers.
+
+    Columns whose nulls the footers do not state (nested ones, columns of the folder names,
+    files written without statistics) are measured by a scan of those columns alone.
+    """
+    table = spark.read.option("mergeSchema", "true").parquet(path)
+    stated = {row.column_name: row for row in footer_nulls(spark, path).collect()}  # a row per column
+    total = stated.pop(None).row_count if None in stated else 0
+    missing, open_columns = {}, []
+    for name in table.columns:
+        row = stated.get(name)
+        if row is None or row.known_rows < row.row_count:
+            open_columns.append(name)
+        else:
+            missing[name] = row.nulls > 0 or row.row_count < total
+    if open_columns:
+        measured = table.select(*open_columns).agg(
+            F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(f"`{name}`")).alias(name) for name in open_columns]
+        ).first()
+        missing |= {name: measured["_rows"] > measured[name] for name in open_columns}
+    rows = [
+        (field.name, field.dataType.simpleString(), place, missing[field.name])
+        for place, field in enumerate(table.schema.fields, start=1)
+    ]
+    return spark.createDataFrame(rows, "column_name string, data_type string, ordinal int, has_nulls boolean")
+
+
+def drift_of_schemas(one: DataFrame, other: DataFrame) -> DataFrame:
+    """Rows of two column descriptions found on one side only."""
     return one.exceptAll(other).withColumn("only_in", F.lit("LEFT")).unionByName(
         other.exceptAll(one).withColumn("only_in", F.lit("RIGHT"))
     )
 
 
+def schema_drift(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Column descriptions found on one side only; none when the schemas agree."""
+    return drift_of_schemas(schema_rows(left), schema_rows(right))
+
+
+def schema_drift_of_files(spark: SparkSession, left: str, right: str) -> DataFrame:
+    """The same for two Parquet folders, without reading their data."""
+    return drift_of_schemas(schema_rows_of_files(spark, left), schema_rows_of_files(spark, right))
+
+
 def contiguity(df: DataFrame, column: str, target: int | None = None) -> DataFrame:
     """Whether ids run from 1 without gaps, and whether they exceed a target."""
     totals = df.agg(

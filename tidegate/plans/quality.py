@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidegate.functions import temporal, text
 from tidegate.operators import positions, reconcile, sales
 from tidegate.plans import frames
+from tidegate.session import work_folder
 
 QUERIES, SQL = {}, {}
 
@@ -85,7 +86,9 @@ def schema_drift(spark, folder):
         "o_totalprice",
         F.lit("new").alias("o_comment"),
     )
-    return reconcile.schema_drift(orders, changed)
+    copy = work_folder(spark, "changed-orders")
+    changed.write.parquet(copy)
+    return reconcile.schema_drift_of_files(spark, f"{folder}/orders.parquet", copy)
 
 
 SQL["schema_drift"] = """
