@@ -18,6 +18,7 @@ parents with very many children are fewer than SHARE and broadcast.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -158,30 +159,29 @@ def trie(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str
 
     kids = written(nodes.groupBy((F.col("depth") - 1).alias("depth"), F.col("p1").alias("h1"), F.col("p2").alias("h2"))
                    .agg(F.count(F.lit(1)).alias("n_children")), "kids")
-    top = sequences.agg(
-        F.sum("weight").alias("n_convs"), F.min("rep").alias("conv_id"),
-        F.max(F.when(F.col("depth") == 0, F.col("ends_sha256"))).alias("ends_sha256"), F.max("depth").alias("deepest"),
-    ).where("n_convs IS NOT NULL")
-    total = nodes.agg(F.sum("saving").alias("saved_tokens"))
-    first = kids.where("depth = 0").agg(F.sum("n_children").alias("n_children"))
-    ended = leaves.agg(F.count(F.lit(1)).alias("n_leaves"))
-    single = [F.broadcast(x) for x in (total, first, ended)]  # one row each
-    root = top
-    for one in single:
-        root = root.join(one, F.lit(True), "left")
-    root = root.select(
+    figures = [
+        sequences.agg(
+            F.sum("weight").alias("n_convs"), F.min("rep").alias("conv_id"), F.max("depth").alias("deepest"),
+            F.max(F.when(F.col("depth") == 0, F.col("ends_sha256"))).alias("ends_sha256"),
+        ),
+        nodes.agg(F.sum("saving").alias("saved_tokens")),
+        kids.where("depth = 0").agg(F.sum("n_children").alias("n_children")),
+        leaves.agg(F.count(F.lit(1)).alias("n_leaves")),
+    ]
+    root = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), figures)
+    root = root.agg(*[F.max(name).alias(name) for name in root.columns]).where("n_convs IS NOT NULL").select(
         "conv_id", zero.alias("depth"), F.lit(None).cast("long").alias("parent_conv_id"), "n_convs",
         F.coalesce("n_children", zero).alias("n_children"),
         F.when(F.col("deepest") == 0, F.lit(1).cast("long")).otherwise(F.col("n_leaves")).alias("n_leaves"),
         F.coalesce("saved_tokens", zero).alias("saved_tokens"), F.coalesce("ends_sha256", F.lit(NOBODY)).alias("ends_sha256"),
     )
+    smallest = sequences.agg(F.min("rep")).first()[0]  # the root's, which is no row of the nodes
 
     up = nodes.select(*NODE, "conv_id", (F.col("depth") - 1).alias("up"), "p1", "p2")
     above = kids.join(nodes.select(*NODE, F.col("conv_id").alias("parent_conv_id")), NODE, "left")
-    above = above.join(F.broadcast(top.select(F.col("conv_id").alias("smallest"))), F.lit(True), "left")
     above = written(above.select(
         F.col("depth").alias("up"), F.col("h1").alias("p1"), F.col("h2").alias("p2"), "n_children",
-        F.coalesce("parent_conv_id", "smallest").alias("parent_conv_id"),
+        F.coalesce("parent_conv_id", F.lit(smallest).cast("long")).alias("parent_conv_id"),
     ), "above")
     count = nodes.count()
     busy = above.where(F.col("n_children") * SHARE >= count).drop("n_children")  # at most SHARE rows
