@@ -269,3 +269,55 @@ def test_landing_delete_accepts_only_the_exact_leaf(spark, folder):
     landing.delete_landing(spark, leaf + "/", 7, "B", "R")
     landing.delete_landing(spark, leaf, 7, "B", "R")
     assert not os.path.exists(leaf) and os.path.exists(other)
+
+
+def test_committed_read_does_not_shuffle_rows(spark, folder, plan):
+    table = folder + "/t"
+    for n in range(12):
+        rows = spark.range(n + 1).selectExpr("id", "'x' AS wide")
+        bronze.append_execution(stamp_lineage(rows, f"B{n % 3}", f"run {n}", NOW), table)
+    # an audit far too large to broadcast by itself
+    audit = spark.range(300_000).selectExpr(
+        "concat('B', id % 3) AS batch_id", "concat('run ', id) AS pipeline_run_id",
+        "if(id % 4 = 1, 'FAILED', 'SUCCESS') AS status",
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        expected = sum(n + 1 for n in range(12) if n % 4 != 1)
+        for at_once in (bronze.BROADCAST_EXECUTIONS, 2):
+            rows = bronze.read_committed(bronze.read_bronze(spark, table), audit, at_once)
+            text = plan(rows)
+            assert rows.count() == expected
+            assert "SortMergeJoin" not in text and "dynamicpruning" in text.lower()
+            assert "Exchange hashpartitioning" not in text
+            assert text.count("FileScan parquet") >= (1 if at_once > 2 else 9)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    none = bronze.read_committed(bronze.read_bronze(spark, table), audit.where("status = 'LOST'"))
+    assert none.count() == 0
+
+
+def test_executions_are_removed_in_tasks(spark, folder, plan):
+    table, odd = folder + "/t", "run:a=1 {x}%?"
+    for batch, run in (("B1", "r1"), ("B1", odd), ("B:2", "r1"), ("B3", "kept")):
+        bronze.append_execution(stamp_lineage(spark.range(5), batch, run, NOW), table)
+    at = bronze.qualified(spark, table)
+    os.makedirs(f"{table}/_batch_id=B4/_pipeline_run_id=half")
+    with open(f"{table}/_batch_id=B4/_pipeline_run_id=half/part-0.parquet", "w") as file:
+        file.write("not complete")
+    lost = spark.createDataFrame(
+        [(at, "B1", "r1"), (at, "B1", "r1"), (at, "B1", odd), (at, "B:2", "r1"), (at, "B9", "r1"), (at, "B4", "half"),
+         (at, "..", "r1"), (at + "-none", "B1", "r1")],
+        "target string, batch_id string, pipeline_run_id string",
+    )
+    frame = bronze.delete_executions(lost)
+    assert "MapInPandas" in plan(frame)
+    got = {(r.target[len(at):], r.batch_id, r.pipeline_run_id): (r.outcome, r.rows_before) for r in frame.collect()}
+    done, noop = "BRONZE_CLEANUP_DONE", "BRONZE_CLEANUP_NOOP"
+    assert got == {
+        ("", "B1", "r1"): (done, 5), ("", "B1", odd): (done, 5), ("", "B:2", "r1"): (done, 5), ("", "B9", "r1"): (noop, 0),
+        ("", "B4", "half"): (done, 0), ("", "..", "r1"): ("BRONZE_CLEANUP_FAILED", None), ("-none", "B1", "r1"): (noop, 0),
+    }
+    left = bronze.read_bronze(spark, table).select("_batch_id", "_pipeline_run_id").distinct().collect()
+    assert [tuple(r) for r in left] == [("B3", "kept")]
+    assert {r.outcome for r in bronze.delete_executions(lost.where("batch_id <> '..'")).collect()} == {noop}

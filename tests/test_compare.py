@@ -1,5 +1,6 @@
 """Reconciliation, drift, positions and profiles."""
 
+import os
 import random
 from collections import Counter
 
@@ -155,3 +156,38 @@ def test_order_totals(frame):
     )
     got = [str(r.order_total) for r in sales.order_totals(orders, lines).orderBy("order_id").collect()]
     assert got == ["12.80", "0.00", "7.00"]
+
+
+def test_copy_with_a_hole_is_completed(spark, folder):
+    source = spark.range(1, 1001).selectExpr("id", "concat('v', id) AS v").union(spark.createDataFrame([(None, "n")], "id long, v string"))
+    target = folder + "/copy"
+    ranged = source.withColumn("_range", F.floor(F.col("id") / 100))
+    # a hole in the middle, a half-written range, a doubled row, a range too many
+    broken = ranged.where("_range NOT IN (4, 7)").union(ranged.where("_range = 7 AND id % 2 = 0"))
+    broken = broken.union(ranged.where("id = 250")).union(spark.createDataFrame([(5000, "x", 50)], broken.schema))
+    broken.write.partitionBy("_range").parquet(target)
+    before = {name: os.stat(f"{target}/{name}").st_mtime_ns for name in os.listdir(target)}
+    todo = {r._range: (r.source_rows, r.copied_rows) for r in reconcile.complete_copy(source, target, "id", 100).collect()}
+    assert todo == {4: (100, 0), 7: (100, 50), 2: (100, 101), 50: (0, 1), None: (1, 0)}
+    copied = spark.read.parquet(target).select("id", "v")
+    assert reconcile.content_reconcile(source, copied, ["id", "v"]).first().checksum_equal
+    same = [name for name in before if name.startswith("_range=") and name.split("=")[1] not in ("2", "4", "7", "50")]
+    assert len(same) == 8 and all(os.stat(f"{target}/{name}").st_mtime_ns == before[name] for name in same)
+    assert not os.path.exists(f"{target}/_range=50")
+    assert reconcile.complete_copy(source, target, "id", 100).count() == 0
+    fresh = folder + "/fresh"
+    assert reconcile.complete_copy(source, fresh, "id", 100).count() == 12
+    assert spark.read.parquet(fresh).count() == 1001
+
+
+def test_positions_store_keys_only(spark, folder):
+    rows = spark.range(200).selectExpr("id % 5 AS k", "id AS n", "repeat('wide', 50) AS wide").union(
+        spark.createDataFrame([(1, 7, "same")] * 9 + [(None, None, None)] * 3, "k long, n long, wide string")
+    )
+    directory = positions.rank_directory(rows, ["k", "n"])
+    assert directory.columns == ["_id1", "_id2", "_first"] and directory.count() == 202
+    got = positions.dense_positions(rows, ["k", "n"]).collect()
+    assert sorted(r.position for r in got) == list(range(1, 213))
+    low = lambda v: (v is not None, v or 0)
+    order = [(low(r.k), low(r.n)) for r in sorted(got, key=lambda r: r.position)]
+    assert order == sorted(order)

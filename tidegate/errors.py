@@ -27,6 +27,7 @@ INVALID_COPY_OPTIONS = "INVALID_COPY_OPTIONS"
 LANDING_FILE_COUNT_MISMATCH = "LANDING_FILE_COUNT_MISMATCH"
 WATERMARK_CONFLICT = "WATERMARK_CONFLICT"
 FINALIZE_OUTCOME_MISMATCH = "FINALIZE_OUTCOME_MISMATCH"
+BRONZE_CLEANUP_NOOP = "BRONZE_CLEANUP_NOOP"
 BRONZE_CLEANUP_INCOMPLETE = "BRONZE_CLEANUP_INCOMPLETE"
 BRONZE_CLEANUP_FAILED = "BRONZE_CLEANUP_FAILED"
 LANDING_CLEANUP_INCOMPLETE = "LANDING_CLEANUP_INCOMPLETE"
@@ -46,6 +47,7 @@ LOAD_FAILED = "LOAD_FAILED"
 INVALID_SOURCE_OPTIONS = "INVALID_SOURCE_OPTIONS"
 MALFORMED_ROWS = "MALFORMED_ROWS"
 CONNECTION_NOT_FOUND = "CONNECTION_NOT_FOUND"
+BRONZE_CLEANUP_DONE = "BRONZE_CLEANUP_DONE"
 AMBIGUOUS_SEED = "AMBIGUOUS_SEED"
 
 

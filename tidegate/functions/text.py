@@ -90,31 +90,10 @@ def as_folder(path: Column) -> Column:
     return F.when(F.endswith(path, F.lit("/")), path).otherwise(F.concat(path, F.lit("/")))
 
 
-def is_safe_segment(segment: Column) -> Column:
-    """A folder name that cannot leave its parent."""
-    return (
-        has_text(segment)
-        & ~F.trim(segment).isin(".", "..")
-        & ~F.contains(segment, F.lit("/"))
-        & ~F.contains(segment, F.lit("\\"))
-    )
+# a folder name holds no slash, and something besides dots and blanks
+FOLDER_NAME = r"[^/\\]*[^/\\.\s][^/\\]*"
 
 
-def is_execution_leaf(path: Column, config_id: Column, batch_id: Column, run_id: Column) -> Column:
-    """True when the path ends in exactly this execution's landing folder."""
-    parts = path_segments(path)
-    tail = F.slice(parts, F.greatest(F.size(parts) - 3, F.lit(1)), F.lit(4))
-    expected = F.array(
-        F.concat(F.lit("ingestion_config_id="), config_id),
-        F.concat(F.lit("batch_id="), batch_id),
-        F.concat(F.lit("pipeline_run_id="), run_id),
-    )
-    return (
-        (F.size(parts) >= 4)
-        & ~F.exists(parts, lambda part: part.isin(".", ".."))
-        & F.startswith(F.get(tail, F.lit(0)), F.lit("ingestion_date="))
-        & (F.slice(tail, 2, 3) == expected)
-        & is_safe_segment(config_id)
-        & is_safe_segment(batch_id)
-        & is_safe_segment(run_id)
-    )
+def is_folder_name(name: Column) -> Column:
+    """A name that cannot leave its parent folder."""
+    return F.coalesce(F.rlike(name, F.lit(f"^{FOLDER_NAME}$")), F.lit(False))

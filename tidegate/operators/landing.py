@@ -7,11 +7,14 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.errors import LANDING_CLEANUP_INCOMPLETE, LANDING_FILE_COUNT_MISMATCH, LoadError
-from tidegate.operators.bronze import checked_segment, path_exists, remove_folder
+from tidegate.errors import (
+    LANDING_CLEANUP_FAILED, LANDING_CLEANUP_INCOMPLETE, LANDING_FILE_COUNT_MISMATCH, LoadError,
+)
+from tidegate.functions.text import is_folder_name
+from tidegate.operators.bronze import checked_segment, path_exists, qualified, remove_folder
 from tidegate.sources.files import FOUND, store_uri, discover, relative_to
 
 CHUNK = 8 * 1024 * 1024
@@ -128,12 +131,61 @@ def gate_outcome(totals: DataFrame) -> DataFrame:
     )
 
 
-def delete_landing(spark: SparkSession, path: str, config_id, batch_id: str, run_id: str) -> None:
-    """Remove one execution's landing folder, and nothing that is not exactly that."""
+def own_leaf(path: str, config_id, batch_id: str, run_id: str) -> bool:
+    """Whether the path is exactly this execution's landing folder, by building that anew."""
     base, _, below = path.rstrip("/").rpartition("/ingestion_date=")
     date = below.partition("/")[0]
     own = landing_leaf(base, date, config_id, batch_id, run_id) if base and date else None
-    if own != path.rstrip("/") or {".", ".."} & set(base.split("/")):
+    return own == path.rstrip("/") and not {".", ".."} & set(base.split("/"))
+
+
+def is_own_leaf(path: Column, config_id: Column, batch_id: Column, run_id: Column) -> Column:
+    """The same test on columns."""
+    bare = F.rtrim(path, F.lit("/"))
+    date = F.regexp_extract(path, ".*/ingestion_date=([^/]+)", 1)
+    names = {"ingestion_date": date, "ingestion_config_id": config_id, "batch_id": batch_id, "pipeline_run_id": run_id}
+    tail = F.concat(*[part for name, value in names.items() for part in (F.lit(f"/{name}="), value)])
+    base = F.left(bare, F.length(bare) - F.length(tail))
+    safe = F.lit(True)
+    for value in names.values():
+        safe = safe & is_folder_name(value)
+    inside = ~F.rlike(base, F.lit(r"(^|/)\.\.?(/|$)")) & (F.length(base) > 0)
+    return F.coalesce(safe & F.endswith(bare, tail) & inside, F.lit(False))
+
+
+def delete_landing(spark: SparkSession, path: str, config_id, batch_id: str, run_id: str) -> None:
+    """Remove one execution's landing folder, and nothing that is not exactly that."""
+    if not own_leaf(path, config_id, batch_id, run_id):
         raise ValueError(f"not the landing folder of this execution: {path}")
     if not remove_folder(spark, path):
         raise LoadError(LANDING_CLEANUP_INCOMPLETE, path)
+
+
+CLEARED = "pipeline_run_id string, code string, message string"
+
+
+def delete_landings(spark: SparkSession, executions: DataFrame) -> DataFrame:
+    """Remove many executions' landing folders (``landing_path``, ``ingestion_config_id``,
+    ``batch_id``, ``pipeline_run_id``) in tasks; one row for each that could not be removed."""
+    root = qualified(spark, "/").rstrip("/")
+
+    def clear(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for batch in batches:
+            failed = []
+            for path, config, name, run in batch.itertuples(index=False, name=None):
+                try:
+                    if not own_leaf(path, config, name, run):
+                        raise ValueError(f"not the landing folder of this execution: {path}")
+                    full = path if ":" in path.split("/")[0] else f"{root}/{path.lstrip('/')}"
+                    store, place = fs.FileSystem.from_uri(store_uri(full.rstrip("/")))
+                    if store.get_file_info(place).type == fs.FileType.Directory:
+                        store.delete_dir(place)
+                except Exception as problem:  # told per execution; the others are still removed
+                    failed.append((run, LANDING_CLEANUP_FAILED, str(problem)[:1000]))
+            yield pd.DataFrame(failed, columns=["pipeline_run_id", "code", "message"])
+
+    keys = executions.select("landing_path", "ingestion_config_id", "batch_id", "pipeline_run_id")
+    width = spark.sparkContext.defaultParallelism
+    return keys.where("landing_path > ''").repartition(width, "pipeline_run_id").mapInPandas(clear, CLEARED)

@@ -5,7 +5,9 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
+from tidegate.operators.bronze import path_exists, qualified, remove_folders
 from tidegate.sources.files import discover, store_uri
 
 LANES = (0, 16, 32, 48)
@@ -270,3 +272,65 @@ def resumable_copy(source: DataFrame, copied: DataFrame, key: str) -> DataFrame:
     """Source rows an interrupted copy has not reached: ids above the target's last."""
     last = copied.agg(F.max(key)).first()[0]
     return source if last is None else source.where(F.col(key) > F.lit(last))
+
+
+def range_ledger(df: DataFrame, key: str, width: int, columns: list[str]) -> DataFrame:
+    """Rows and checksums of each fixed range of ``width`` ids; NULL ids are a range of their own."""
+    return df.groupBy(_range_of(key, width)).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        *[part.alias(name) for name, part in _fingerprint_parts(_row_hash(columns)).items()],
+    )
+
+
+def _range_of(key: str, width: int) -> Column:
+    number = F.col(key).cast("bigint")
+    return ((number - F.pmod(number, F.lit(width))) / F.lit(width)).cast("bigint").alias("_range")
+
+
+def open_ranges(source: DataFrame, copied: DataFrame, key: str, width: int) -> DataFrame:
+    """Ranges whose rows differ between source and copy: ``_range`` and the rows on either side.
+
+    Holes, half-written ranges and changed or surplus rows all show; only ledgers are shuffled.
+    """
+    columns = source.columns
+    sides = [
+        range_ledger(df.select(*columns), key, width, columns).withColumn("_side", F.lit(side))
+        for df, side in ((source, "S"), (copied, "C"))
+    ]
+    both = sides[0].unionByName(sides[1])
+    digest = F.struct("row_count", "xor", *[f"lane{shift}" for shift in LANES])
+    mine = lambda side, value: F.max(F.when(F.col("_side") == side, value))
+    met = both.groupBy("_range").agg(
+        mine("S", digest).alias("_source"), mine("C", digest).alias("_copy"),
+        F.coalesce(mine("S", F.col("row_count")), F.lit(0)).alias("source_rows"),
+        F.coalesce(mine("C", F.col("row_count")), F.lit(0)).alias("copied_rows"),
+    )
+    return met.where(~F.col("_source").eqNullSafe(F.col("_copy"))).select("_range", "source_rows", "copied_rows")
+
+
+def complete_copy(source: DataFrame, target: str, key: str, width: int) -> DataFrame:
+    """Bring a copy that is kept by id range (folders ``_range=``) to the source's rows.
+
+    Ranges that agree are neither read again nor written; each other one is written anew as
+    a whole in place of what lies there, so nothing is there twice however often this runs.
+    Ranges the source does not have are removed by tasks.  Returns the ranges that were open.
+    """
+    spark = source.sparkSession
+    schema = StructType([*source.schema.fields, StructField("_range", LongType())])
+    if path_exists(spark, target):
+        there = spark.read.schema(schema).parquet(target)
+    else:
+        there = spark.createDataFrame([], schema)
+    todo = open_ranges(source, there.select(*source.columns), key, width).checkpoint()
+    wanted = source.withColumn("_range", _range_of(key, width)).join(
+        todo.where("source_rows > 0").select(F.col("_range").alias("_open")),
+        F.col("_range").eqNullSafe(F.col("_open")), "left_semi",
+    )
+    writer = wanted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("_range").parquet(target)
+    name = F.coalesce(F.col("_range").cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    surplus = todo.where("source_rows = 0").select(
+        F.concat(F.lit(qualified(spark, target) + "/_range="), name).alias("path")
+    )
+    remove_folders(surplus).count()
+    return todo

@@ -36,6 +36,7 @@ def recovery_actions(
         return uncertain.withColumns(
             {
                 "outcome_class": F.lit(OTHER),
+                "recovery_case": F.lit(OTHER),
                 "action": F.lit(KEEP),
                 "final_error": F.lit(FINALIZE_OUTCOME_LOOKUP_FAILED),
             }
@@ -63,6 +64,9 @@ def recovery_actions(
         .withColumns(
             {
                 "outcome_class": F.coalesce(known, F.lit(OTHER)),
+                "recovery_case": F.when(
+                    known == CONFIRMED_CONFLICT, F.concat_ws("_", F.lit(CONFIRMED_CONFLICT), pattern)
+                ).otherwise(F.coalesce(known, F.lit(OTHER))),
                 "action": action,
                 "final_error": final_error,
             }

@@ -509,6 +509,9 @@ SELECT * EXCLUDE (status, error_code, known), CASE
     WHEN known AND status = 'SUCCESS' THEN 'COMMITTED_SUCCESS'
     WHEN known AND error_code = 'WATERMARK_CONFLICT' THEN 'CONFIRMED_CONFLICT'
     ELSE 'OTHER' END AS outcome_class,
+  CASE WHEN known AND status = 'SUCCESS' THEN 'COMMITTED_SUCCESS'
+    WHEN known AND error_code = 'WATERMARK_CONFLICT' THEN 'CONFIRMED_CONFLICT_' || ingestion_pattern
+    ELSE 'OTHER' END AS recovery_case,
   CASE WHEN known AND error_code = 'WATERMARK_CONFLICT' AND ingestion_pattern = 'DATABASE'
       THEN 'CLEAN_TABLE'
     WHEN known AND error_code = 'WATERMARK_CONFLICT' AND ingestion_pattern = 'FILE'

@@ -20,6 +20,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tidegate.errors import (
     BRONZE_CLEANUP_FAILED,
+    BRONZE_CLEANUP_INCOMPLETE,
     CONNECTION_NOT_FOUND,
     DUPLICATE_REQUEST,
     LANDING_CLEANUP_FAILED,
@@ -29,7 +30,9 @@ from tidegate.errors import (
     LoadError,
     VersionTaken,
 )
-from tidegate.functions.text import CLEANUP_MESSAGE_LIMIT, MESSAGE_LIMIT, PAIRED_MESSAGE_LIMIT
+from tidegate.functions.text import (
+    CLEANUP_MESSAGE_LIMIT, MESSAGE_LIMIT, PAIRED_MESSAGE_LIMIT, is_folder_name,
+)
 from tidegate.operators import bronze, finalize, landing, recovery, requests, routing, windows
 from tidegate.operators.configs import (
     DEFAULT_PAGE,
@@ -49,14 +52,12 @@ from tidegate.sources.tables import upper_bound, window_rows
 ENVELOPE = StructType(
     [StructField("envelope_id", IntegerType()), StructField("request_json", StringType())]
 )
-CLEAN_UP = StructType(
-    [StructField("pipeline_run_id", StringType()), StructField("_failed", StringType())]
-)
 SOURCE_BOUND = StructType(
     [StructField("config_id", IntegerType()), StructField("source_upper_bound", StringType())]
 )
 
 PUBLISH_ATTEMPTS = 60
+NAMED_FAILURES = 20  # clean-up failures that an error message names
 
 TableSource = Callable[[Row], DataFrame]
 
@@ -319,32 +320,28 @@ class LoadCycle:
 
     def _compensate(self, judged: finalize.Finalized) -> None:
         """Remove the rows and landed files of executions that lost the checkpoint."""
-        lost = judged.judged.where(F.col("outcome") == finalize.CONFLICT).select(
-            "ingestion_config_id", "batch_id", "pipeline_run_id", "target_schema",
-            "target_table", "landing_path",
-        )
-        problems = []
-        for row in lost.toLocalIterator():
-            try:
-                self._remove_execution(row)
-            except LoadError as problem:  # the other executions are still removed
-                problems.append(problem)
-        if problems:
-            raise LoadError(problems[0].code, "; ".join(map(str, problems))[:MESSAGE_LIMIT])
+        lost = judged.judged.where(F.col("outcome") == finalize.CONFLICT)
+        failed = self._remove_executions(lost).orderBy("pipeline_run_id").limit(NAMED_FAILURES).collect()
+        if failed:
+            told = "; ".join(f"{row.code}: {row.message}" for row in failed)
+            raise LoadError(failed[0].code, told[:MESSAGE_LIMIT])
 
-    def _remove_execution(self, row: Row) -> None:
-        """Table rows first, then the landed files where there are any."""
-        run = (row.batch_id, row.pipeline_run_id)
-        try:
-            bronze.delete_execution(self.spark, self._target(row), *run)
-        except Exception as problem:
-            raise LoadError(BRONZE_CLEANUP_FAILED, str(problem)[:MESSAGE_LIMIT]) from problem
-        if not row.landing_path:
-            return
-        try:
-            landing.delete_landing(self.spark, row.landing_path, row.ingestion_config_id, *run)
-        except Exception as problem:
-            raise LoadError(LANDING_CLEANUP_FAILED, str(problem)[:MESSAGE_LIMIT]) from problem
+    def _remove_executions(self, lost: DataFrame) -> DataFrame:
+        """Table rows, and landed files where there are any, of all given executions.
+
+        Tasks remove them; the frame that comes back has a row for each that failed.
+        """
+        names = [F.col("target_schema"), F.col("target_table")]
+        place = F.concat_ws("/", F.lit(bronze.qualified(self.spark, self.lake)), *names)
+        safe = is_folder_name(names[0]) & is_folder_name(names[1])
+        targets = lost.withColumn("target", F.when(safe, place)).checkpoint()
+        removed = bronze.delete_executions(targets).checkpoint()
+        kept = removed.where(F.col("outcome").isin(BRONZE_CLEANUP_FAILED, BRONZE_CLEANUP_INCOMPLETE)).select(
+            "pipeline_run_id", F.col("outcome").alias("code"), "message"
+        )
+        # the landed files of rows that are still there stay as well
+        cleared = targets.join(kept.select("pipeline_run_id"), "pipeline_run_id", "left_anti")
+        return kept.unionByName(landing.delete_landings(self.spark, cleared).checkpoint())
 
     def recover(self, uncertain: DataFrame) -> DataFrame:
         """Settle executions whose finalisation answer was lost.
@@ -358,13 +355,12 @@ class LoadCycle:
         except Exception:  # an audit that cannot be read confirms nothing
             audit = None
         judged = recovery.recovery_actions(uncertain, audit).checkpoint()
-        failed = []
-        for row in judged.where(F.col("action") != recovery.KEEP).toLocalIterator():
-            try:
-                self._remove_execution(row)
-            except LoadError as problem:
-                failed.append((row.pipeline_run_id, problem.code))
-        codes = local_frame(self.spark, failed, CLEAN_UP)
+        database = F.col("action") == recovery.CLEAN_TABLE
+        landed = F.when(database, F.lit(None)).otherwise(F.col("landing_path"))
+        failed = self._remove_executions(
+            judged.where(F.col("action") != recovery.KEEP).withColumn("landing_path", landed)
+        )
+        codes = failed.groupBy("pipeline_run_id").agg(F.min("code").alias("_failed"))
         final = F.coalesce("_failed", "final_error")
         return (
             judged.join(codes, "pipeline_run_id", "left")

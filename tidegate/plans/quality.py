@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidegate.functions import temporal, text
-from tidegate.operators import positions, reconcile, sales
+from tidegate.operators import landing, positions, reconcile, sales
 from tidegate.plans import frames
 from tidegate.session import work_folder
 
@@ -313,7 +313,7 @@ def landing_path_check(spark, folder):
     return frames.table(spark, folder, "events").select(
         "event_id",
         F.size(text.path_segments(path)).cast("bigint").alias("segments"),
-        text.is_execution_leaf(path, config, batch, run).alias("is_leaf"),
+        landing.is_own_leaf(path, config, batch, run).alias("is_leaf"),
         text.as_folder(path).alias("as_folder"),
     )
 
