@@ -46,7 +46,7 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.quality_report(table(spark, folder, "documents").select("doc_id", "text", "lang"))
-    return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "log_perplexity")
+    return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", *quality_rules.MEASURES)
 
 
 def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:

@@ -52,8 +52,8 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return up[:n], down[:n]
 
 
-def text_slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets) of runs of rows; a null text is empty."""
+def text_slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, offsets) of runs of rows of about ``size`` bytes; a null text is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_string()).fill_null("")
@@ -65,7 +65,7 @@ def text_slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
     data = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
     a = 0
     while a < n:
-        b = int(np.searchsorted(offsets, offsets[a] + SLICE_BYTES, "right")) - 1
+        b = int(np.searchsorted(offsets, offsets[a] + size, "right")) - 1
         b = min(max(b, a + 1), n)
         yield a, b, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
         a = b

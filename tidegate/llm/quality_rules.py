@@ -1,20 +1,18 @@
-"""Quality rules: counts of a text, and the perplexity of its words under a corpus model.
-
-The model is a word bigram model with interpolated absolute discounting. Words and bigrams that
-only one text has (equal texts count as one) are pruned, so that no text vouches for itself; the
-discounted and pruned mass goes to the next lower order and at last to the spelling of a word, a
-modified Kneser-Ney model of order 4 over byte classes (a class' bytes share alike). Words, bigrams
-and the model are Spark tables keyed by 64-bit hashes and grow with the corpus.
-
-A word's logarithm is written as a sum over the n-grams that end at or precede it, each with a
-value of its own, so a text's score is its spelling plus the values of its n-grams. N-grams with
-at least one of SHARE words are fewer than 2 * SHARE at any size; they are broadcast and added
-where the text is read. The others are joined, and none of them is frequent enough to be a hot
-key. A bit set of fixed size keeps most n-grams that the model lacks out of the shuffle.
-
-Perplexities are judged within a language: a text is rejected if the logarithm of its
-perplexity lies outside a band around the quartiles of its language's texts. A mean over few
-words varies with the root of their number, so the band of a short text is wider by that.
+"""Quality rules: counts of a text, and its perplexity under a corpus model.
+
+The model is a modified Kneser-Ney model of order 5 over the bytes of all texts (equal texts count
+as one). No n-gram is dropped: all are counted by Spark and stored as sorted arrays, one row for
+each pair of bytes that ends an n-gram's context. Whatever the smoothing needs of an n-gram, its
+contexts and its shorter ends down to three bytes, lies in its own row, so every n-gram gets its
+final probability where it is stored; pairs and single bytes are tables of fixed size.
+
+N-grams with at least one of SHARE occurrences are fewer than SHARE at any size; they are broadcast
+as hash arrays and added up where the text is read. The others are joined, and none of them is
+frequent enough to be a hot key. Texts are counted in one pass and scored in one.
+
+A text has two perplexities, by bytes and by words, and is judged within its language: it is
+rejected if the logarithm of one lies outside a band around the quartiles of its language's texts.
+A mean over few words varies with the root of their number, so the band of a short text is wider.
 """
 
 from __future__ import annotations
@@ -23,72 +21,43 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidegate.llm.lexemes import Spans, mixed, span_hashes, text_slices, words
-from tidegate.llm.shared import col, written
+from tidegate.llm.lexemes import Spans, mixed, text_slices, words
+from tidegate.llm.shared import col, tasks, written
 
-ORDER = 4
+ORDER = 5
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-REACH = 1.75  # quartile distances above the upper quartile that are still accepted
-REACH_DOWN = 8.0  # the same below the lower one, wide: near copies vouch for each other
-LEAST_REACH = 0.1  # nats per word accepted in any case
+MEASURES = ("log_perplexity", "log_word_perplexity")
+# quartile distances accepted below the lower and above the upper quartile, and nats in any case
+REACH = {"log_perplexity": (8.0, 1.8, 0.02), "log_word_perplexity": (3.0, 2.5, 0.1)}
 STEADY_WORDS = 250  # below so many words a text's mean varies more, and the band widens
-LANGS_BROADCAST = 4096  # bands of at most so many languages are broadcast
 SYMBOLS = b"#*$%&|<>"
-DISCOUNT = 0.75
-SHARE = 10_000  # n-grams with at least one of so many words are broadcast
-SIEVE = 21  # bits of a word's number in the bit set; a word has 64 bits
-SALTS = 16  # rows of one text are joined in so many parts
-END = np.uint64(0x5851F42D4C957F2D)  # the word that ends every text
-
-
-def _classes() -> np.ndarray:
-    """Byte to class: a-z alone, capitals in 5 classes, other bytes by kind."""
-    out = np.full(256, 42, np.uint8)  # other control characters and punctuation
-    for i in range(26):
-        out[97 + i] = i
-        out[65 + i] = 26 + i % 5
-    out[48:58] = 31
-    out[32] = 32
-    out[[9, 11, 12, 13]] = 33
-    out[10] = 34
-    out[list(b".,;:")] = 35
-    out[list(b"!?")] = 36
-    out[list(SYMBOLS)] = 37
-    for i in range(64):
-        out[0x80 + i] = 38 + i % 3
-    out[0xC0:] = 41
-    return out
-
+SHARE = 2_000_000  # n-grams with at least one of so many occurrences are broadcast
+KEPT_GRAMS = 1_000_000  # distinct n-grams a task gathers before it hands them on
+SIEVE = 20  # bits of a text's number in the bit set of repeated texts; a word has 64 bits
+SLICE = 1 << 19  # bytes of text worked on at once
+NEWLINE = 10
 
-CLASS = _classes()
-SIZE = 43
-NEWLINE = 34
 _IS_SYMBOL = np.zeros(256, bool)
 _IS_SYMBOL[list(SYMBOLS)] = True
 
-_IS_SOUND = np.zeros(256, bool)  # letters, digits and whatever is not ASCII
-_IS_SOUND[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
-
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 def gram_codes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """The code of the 4-gram ending at each byte; a text begins after three line ends."""
-    kinds = CLASS[data]
-    code = kinds.astype(np.int32)
+    """The code of the n-gram ending at each byte; a text begins after line ends."""
+    code = data.astype(np.int64)
     starts = offsets[:-1][np.diff(offsets) > 0]
-    before = kinds
-    weight = SIZE
+    before = data
     for back in range(1, ORDER):
         shifted = np.empty_like(before)
         shifted[1:] = before[:-1]
         shifted[starts] = NEWLINE
-        code += shifted.astype(np.int32) * weight
-        weight *= SIZE
+        code += shifted.astype(np.int64) << (8 * back)
         before = shifted
     return code
 
@@ -139,367 +108,340 @@ def text_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
-def count_grams(docs: DataFrame, text: str = "text") -> DataFrame:
-    """How often each 4-gram of byte classes occurs in all texts: ``code``, ``n``."""
+def text_key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
-    def run(batches):
-        total = np.zeros(SIZE**ORDER, np.int64)
-        for batch in batches:
-            for _, _, data, offsets in text_slices(batch.column(0)):
-                total += np.bincount(gram_codes(data, offsets), minlength=len(total))
-        found = np.flatnonzero(total)
-        for a in range(0, len(found), 100_000):
-            part = found[a : a + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], ["code", "n"])
 
-    grams = docs.select(col(text)).mapInArrow(run, "code long, n long")
-    return grams.groupBy("code").agg(F.sum("n").alias("n"))
+def _repeated(docs: DataFrame) -> np.ndarray:
+    """A bit for every text that occurs more than once (and for texts that share its bit)."""
+    twice = docs.groupBy("_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    place = F.shiftrightunsigned("_key", 64 - SIEVE).alias("at")
+    found = twice.groupBy(place).agg(F.bit_or(F.expr("shiftleft(1L, cast(_key & 63 as int))")).alias("bits")).toArrow()
+    out = np.zeros(1 << SIEVE, np.uint64)
+    out[found.column("at").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return out
 
 
-def discounts(counts: np.ndarray) -> np.ndarray:
-    """Modified Kneser-Ney discounts for counts 0, 1, 2 and 3 or more."""
-    n1, n2, n3, n4 = (float((counts == i).sum()) for i in (1, 2, 3, 4))
-    if min(n1, n2, n3, n4) == 0:  # too regular to estimate: a fixed share
-        return np.array([0.0, 0.5, 0.5, 0.5])
-    y = n1 / (n1 + 2 * n2)
-    raw = (1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3)
-    return np.array([0.0, *(min(max(d, 0.05), i + 0.95) for i, d in enumerate(raw))])
+def _has_bit(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    keys = keys.view(np.uint64)
+    return (bits[keys >> np.uint64(64 - SIEVE)] >> (keys & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-@dataclass
-class GramModel:
-    """For each order the sorted keys of its n-grams with their discounted shares, and the
-    sorted keys of its contexts with the weight that goes to the next lower order."""
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    codes = np.concatenate([c for c, _ in parts])
+    order = np.argsort(codes, kind="stable")
+    codes, counts = codes[order], np.concatenate([n for _, n in parts])[order]
+    first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1]))) if len(codes) else order
+    return codes[first], np.add.reduceat(counts, first) if len(codes) else counts
 
-    keys: list[np.ndarray]
-    shares: list[np.ndarray]
-    contexts: list[np.ndarray]
-    weights: list[np.ndarray]
 
-    @classmethod
-    def of(cls, tables: list[tuple[np.ndarray, np.ndarray]]) -> "GramModel":
-        """Tables of (sorted codes, counts) from order 1 up."""
-        model = cls([], [], [], [])
-        for codes, counts in tables:
-            cut = discounts(counts)[np.minimum(counts, 3)]
-            context, first = np.unique(codes // SIZE, return_index=True)
-            total = np.add.reduceat(counts, first) if len(codes) else counts
-            spared = np.add.reduceat(cut, first) if len(codes) else cut
-            sizes = np.diff(np.append(first, len(codes)))
-            model.keys.append(codes.astype(np.int32))
-            model.shares.append(((counts - cut) / np.repeat(total, sizes)).astype(np.float32))
-            model.contexts.append(context.astype(np.int32))
-            model.weights.append((spared / np.maximum(total, 1)).astype(np.float32))
-        return model
-
-    def log_table(self) -> np.ndarray:
-        """Minus the log probability of every 4-gram's last class, seen or not."""
-        chance = np.full(SIZE, 1 / SIZE, np.float32)
-        for order, keys in enumerate(self.keys, 1):
-            weight = np.ones(SIZE ** (order - 1), np.float32)
-            weight[self.contexts[order - 1]] = self.weights[order - 1]
-            lower = chance if order == 1 else np.tile(chance, SIZE)
-            chance = lower * np.repeat(weight, SIZE)
-            chance[keys] += self.shares[order - 1]
-        return -np.log(chance)
-
-
-def fit(docs: DataFrame, text: str = "text") -> GramModel:
-    """The model of all texts."""
-    grams = written(count_grams(docs, text), "grams")
-    tables, lower = [grams], grams
-    for order in range(ORDER - 1, 0, -1):
-        lower = lower.groupBy((F.col("code") % SIZE**order).alias("code")).agg(
-            F.count(F.lit(1)).alias("n")
-        )
-        tables.insert(0, lower)
-    arrays = []
-    for frame in tables:
-        found = frame.toArrow()
-        codes, counts = (found.column(c).to_numpy().astype(np.int64) for c in ("code", "n"))
-        order = np.argsort(codes)
-        arrays.append((codes[order], counts[order]))
-    return GramModel.of(arrays)
-
-
-# bytes of a class are equally likely
-CLASS_COST = np.log(np.maximum(np.bincount(CLASS, minlength=SIZE), 1)).astype(np.float32)
-
-
-def byte_costs(model: GramModel) -> np.ndarray:
-    """Minus the log probability of the last byte of every 4-gram of classes."""
-    return model.log_table() + np.tile(CLASS_COST, SIZE ** (ORDER - 1))
+def count_grams(docs: DataFrame, text: str = "text") -> DataFrame:
+    """How often each n-gram occurs in the different texts: ``g``, ``n``."""
+    keyed = docs.select(col(text).alias("text"), text_key(col(text)).alias("_key"))
+    bits = docs.sparkSession.sparkContext.broadcast(_repeated(keyed.select("_key")))
 
+    def again(batches):
+        for batch in batches:
+            hit = _has_bit(bits.value, batch.column(1).to_numpy())
+            yield from [batch.filter(pa.array(hit))] if hit.any() else []
 
-@dataclass
-class Words:
-    """Words of some texts, each text followed by END: hash, text and cost of its spelling.
+    def count(batches, alone):
+        parts, size = [], 0
+        for batch in batches:
+            if alone:
+                batch = batch.filter(pa.array(~_has_bit(bits.value, batch.column(1).to_numpy())))
+            for _, _, data, offsets in text_slices(batch.column(0), SLICE):
+                found = np.unique(gram_codes(data, offsets), return_counts=True)
+                parts.append(found)
+                size += len(found[0])
+                if size > KEPT_GRAMS:
+                    parts = [_added(parts)]
+                    size = len(parts[0][0])
+                    if 2 * size > KEPT_GRAMS:
+                        yield _gram_batch(*parts[0])
+                        parts, size = [], 0
+        if parts:
+            yield _gram_batch(*_added(parts))
+
+    # texts that occur once are counted where they are read, the others once each
+    different = keyed.mapInArrow(again, "text string, _key long").groupBy("_key").agg(F.min("text").alias("text"))
+    grams = keyed.mapInArrow(lambda batches: count(batches, True), "g long, n long").unionByName(
+        different.select("text").mapInArrow(lambda batches: count(batches, False), "g long, n long")
+    )
+    return grams.groupBy("g").agg(F.sum("n").alias("n"))
 
-    Words of nothing but punctuation are left out: separators would make a list look like prose.
-    """
 
-    keys: np.ndarray  # of the texts
-    hashes: np.ndarray
-    owner: np.ndarray
-    costs: np.ndarray
+def _gram_batch(codes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts.astype(np.int64))], ["g", "n"])
 
-    @classmethod
-    def of(cls, data: np.ndarray, offsets: np.ndarray, costs: np.ndarray) -> "Words":
-        runs = words(data, offsets)
-        sound = np.concatenate(([0], np.cumsum(_IS_SOUND[data])))
-        use = np.flatnonzero(sound[runs.end] > sound[runs.start])
-        start, end = runs.start[use], runs.end[use]
-        # every word by itself, with a blank after it
-        size = end - start + 1
-        last = np.cumsum(size)
-        place = np.repeat(start - (last - size), size) + np.arange(size.sum())
-        spelled = data[np.minimum(place, max(len(data) - 1, 0))] if len(data) else data
-        spelled[last - 1] = 32
-        marks = np.concatenate(([0], last))
-        each = np.concatenate(([0.0], np.cumsum(costs[gram_codes(spelled, marks)], dtype=np.float64)))
-        spelling = (each[marks[1:]] - each[marks[:-1]]).astype(np.float32)
-        ends = np.searchsorted(start, offsets[1:])
-        line_end = costs[((NEWLINE * SIZE + NEWLINE) * SIZE + NEWLINE) * SIZE + NEWLINE]
-        return cls(
-            span_hashes(data, offsets[:-1], offsets[1:]), np.insert(span_hashes(data, start, end), ends, END),
-            np.insert(runs.owner()[use], ends, np.arange(len(ends))), np.insert(spelling, ends, line_end),
-        )
-
-    def grams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """All words and bigrams: hash, first word's place, second word's place or -1, text."""
-        pairs = np.flatnonzero(self.owner[1:] == self.owner[:-1])
-        bigrams = mixed(self.hashes[pairs] * np.uint64(0xD1B54A32D192ED03) + self.hashes[pairs + 1])
-        none = np.full(len(self.hashes), -1)
-        return (
-            np.concatenate((self.hashes, bigrams)), np.concatenate((np.arange(len(none)), pairs)),
-            np.concatenate((none, pairs + 1)), np.concatenate((self.owner, self.owner[pairs])),
-        )
-
-
-class _Costs:
-    """The expanded table of a broadcast model, made once per Python worker."""
-
-    made: dict = {}
 
-    @classmethod
-    def of(cls, shared) -> np.ndarray:
-        key = shared._jbroadcast.id() if getattr(shared, "_jbroadcast", None) else shared._path
-        if key not in cls.made:
-            cls.made.clear()
-            cls.made[key] = byte_costs(shared.value)
-        return cls.made[key]
+def stored_arrays(grams: DataFrame) -> DataFrame:
+    """The n-grams as sorted arrays ``keys`` and ``counts``, a row for each pair of bytes before
+    the last one (``pair``)."""
 
+    def pack(batches):
+        now, keys, counts = None, [], []
 
-def count_words(docs: DataFrame, spelling, text: str = "text") -> DataFrame:
-    """Words and bigrams of all texts: ``g``, ``before`` and ``word`` (of bigrams), ``n``, the
-    smallest and largest key of a text that has it, and the ``cost`` of a word's spelling."""
-    schema = "g long, before long, word long, n long, lo long, hi long, cost float"
+        def row():
+            one = [pa.array([now]), pa.array([np.concatenate(keys)]), pa.array([np.concatenate(counts)])]
+            return pa.RecordBatch.from_arrays(one, ["pair", "keys", "counts"])
 
-    def run(batches):
-        costs = _Costs.of(spelling)
         for batch in batches:
-            for _, _, data, offsets in text_slices(batch.column(0)):
-                found = Words.of(data, offsets, costs)
-                g, first, second, owner = found.grams()
-                order = np.argsort(g)
-                g, first, second = g[order], first[order], second[order]
-                keys = found.keys.view(np.int64)[owner[order]]
-                at = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))
-                first, second = first[at], second[at]
-                word = found.hashes.view(np.int64)
-                alone = second < 0
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(g[at].view(np.int64)), pa.array(word[first], mask=alone),
-                    pa.array(word[second], mask=alone), pa.array(np.diff(np.append(at, len(g)))),
-                    pa.array(np.minimum.reduceat(keys, at)), pa.array(np.maximum.reduceat(keys, at)),
-                    pa.array(found.costs[first], mask=~alone),
-                ], ["g", "before", "word", "n", "lo", "hi", "cost"])
-
-    return docs.select(col(text)).mapInArrow(run, schema)
+            pair, g, n = (c.to_numpy() for c in batch.columns)
+            cuts = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1]))) if len(pair) else []
+            for a, b in zip(cuts, [*cuts[1:], len(pair)]):
+                if now is not None and pair[a] != now:
+                    yield row()
+                    keys, counts = [], []
+                now = int(pair[a])
+                keys.append(g[a:b])
+                counts.append(n[a:b])
+        if now is not None:
+            yield row()
+
+    pair = F.shiftright("g", 8).bitwiseAND(0xFFFF).alias("pair")
+    spread = grams.select(pair, "g", "n").repartition(tasks(grams), "pair").sortWithinPartitions("pair", "g")
+    return spread.mapInArrow(pack, "pair long, keys array<long>, counts array<long>")
+
+
+def _shorter(codes: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ends of n-grams without their first byte, and how many different first bytes each has."""
+    return np.unique(codes & ((1 << (8 * order)) - 1), return_counts=True)
+
+
+def discounts(ones: float, twos: float, threes: float, fours: float) -> np.ndarray:
+    """Modified Kneser-Ney discounts for counts 0, 1, 2 and 3 or more, from counts of counts."""
+    if min(ones, twos, threes, fours) == 0:  # too regular to estimate: a fixed share
+        return np.array([0.0, 0.5, 0.5, 0.5])
+    y = ones / (ones + 2 * twos)
+    raw = (1 - 2 * y * twos / ones, 2 - 3 * y * threes / twos, 3 - 4 * y * fours / threes)
+    return np.array([0.0, *(min(max(d, 0.05), i + 0.95) for i, d in enumerate(raw))])
+
+
+def chances(codes: np.ndarray, counts: np.ndarray, cut: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    """Probabilities of the last bytes of n-grams that hold all of their contexts' n-grams."""
+    context, at = np.unique(codes >> 8, return_inverse=True)
+    spared = cut[np.minimum(counts, 3)]
+    total = np.bincount(at, counts, len(context))[at]
+    return (counts - spared + np.bincount(at, spared, len(context))[at] * lower) / total
 
 
 @dataclass
-class WordModel:
-    """``values``: ``g``, ``n``, ``value`` of every word and bigram the model knows; the others
-    add nothing to a text's spelling. ``spelling`` is the broadcast model of characters, which
-    gets the share ``spared`` of the words."""
-
-    spelling: object
-    spared: float
-    values: DataFrame
-
-
-def fit_words(docs: DataFrame, text: str = "text") -> WordModel:
-    """The word model of all texts."""
-    spelling = docs.sparkSession.sparkContext.broadcast(fit(docs, text))
-    seen = Observation()
-    counted = count_words(docs, spelling, text).groupBy("g").agg(
-        F.min("before").alias("before"), F.min("word").alias("word"), F.sum("n").alias("n"),
-        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("cost").alias("cost"),
-    ).observe(seen, F.sum(F.when(F.col("word").isNull(), F.col("n"))).alias("total"))
-    kept = written(counted.where("lo <> hi").drop("lo", "hi"), "words")
-    total = float(seen.get["total"] or 1)
-    single = kept.where("word IS NULL")
-    share = (F.col("n") - DISCOUNT) / total
-    spared = 1.0 - (single.agg(F.sum(share)).first()[0] or 0.0)
-    chance = share + F.lit(spared) * F.exp(-F.col("cost").cast("double"))
-    single = single.select("g", "n", F.log(chance).alias("log1"), "cost")
-    after = single.select(F.col("g").alias("before"), F.col("n").alias("n_before"))
-    lower = single.select(F.col("g").alias("word"), "log1")
-    pairs = kept.where("word IS NOT NULL").select("g", "before", "word", "n").join(after, "before").join(lower, "word")
-    pairs = written(pairs.withColumn("share", (F.col("n") - DISCOUNT) / F.col("n_before")), "pairs")
-    left = pairs.groupBy("before").agg(F.log(1.0 - F.sum("share")).alias("left"))
-    both = pairs.join(left, "before")
-    more = F.log(F.col("share") + F.exp(F.col("left") + F.col("log1"))) - F.col("left") - F.col("log1")
-    values = single.join(left.withColumnRenamed("before", "g"), "g", "left").select(
-        "g", "n", (F.col("log1") + F.col("cost") - float(np.log(spared)) + F.coalesce("left", F.lit(0.0))).alias("value")
-    ).unionByName(both.select("g", "n", more.alias("value")))
-    return WordModel(spelling, spared, written(values.withColumn("common", F.col("n") * SHARE >= total), "values"))
-
-
-def _common(model: WordModel) -> tuple[np.ndarray, np.ndarray]:
-    found = model.values.where("common").select("g", "value").toArrow()
-    keys = found.column("g").to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], found.column("value").to_numpy()[order]
-
-
-def _sieve(model: WordModel) -> np.ndarray:
-    """A bit for every n-gram that has to be joined."""
-    place = F.shiftrightunsigned("g", 64 - SIEVE).alias("at")
-    bit = F.expr("shiftleft(1L, cast(g & 63 as int))")
-    found = model.values.where("NOT common").groupBy(place).agg(F.bit_or(bit).alias("bits")).toArrow()
-    out = np.zeros(1 << SIEVE, np.uint64)
-    out[found.column("at").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
-    return out
+class Smoothing:
+    """Discounts of the orders from 3 up, and the probabilities of bytes after one byte."""
+
+    cuts: dict[int, np.ndarray]
+    pairs: np.ndarray
+
+    @classmethod
+    def of(cls, classes: dict[int, np.ndarray], pairs: np.ndarray) -> "Smoothing":
+        """From counts of counts by order, and the numbers of bytes found before each pair."""
+        cuts = {order: discounts(*numbers[1:5]) for order, numbers in classes.items()}
+        before = (pairs > 0).reshape(256, 256).sum(axis=0)
+        single = (before + 1 / 256) / (before.sum() + 1)  # every byte has a chance
+        spared = discounts(*[(pairs == i).sum() for i in (1, 2, 3, 4)])[np.minimum(pairs, 3)].reshape(256, 256)
+        total = pairs.reshape(256, 256).sum(axis=1, keepdims=True)
+        left = np.where(total > 0, spared.sum(axis=1, keepdims=True) / np.maximum(total, 1), 1.0)
+        whole = (np.where(total > 0, (pairs.reshape(256, 256) - spared) / np.maximum(total, 1), 0) + left * single).ravel()
+        return cls(cuts, whole)
+
+    def costs(self, codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Minus the logarithm of each n-gram's probability; ``codes`` are sorted."""
+        tables = {ORDER: (codes, counts)}
+        for order in range(ORDER - 1, 2, -1):
+            tables[order] = _shorter(tables[order + 1][0], order)
+        below, ends = self.pairs, None
+        for order in range(3, ORDER + 1):
+            codes, counts = tables[order]
+            short = codes & ((1 << (8 * (order - 1))) - 1)
+            lower = below[short] if ends is None else below[np.searchsorted(ends, short)]
+            below, ends = chances(codes, counts, self.cuts[order], lower), codes
+        return -np.log(below)
+
+
+def _row_arrays(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(batch.column(c)[i].values.to_numpy() for c in (1, 2))
+
+
+def smoothing(arrays: DataFrame) -> Smoothing:
+    """Counts of counts and pairs, added up by Spark to tables of fixed size."""
+
+    def run(batches):
+        classes = {order: np.zeros(5, np.int64) for order in range(3, ORDER + 1)}
+        pairs = np.zeros(65536, np.int64)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                codes, counts = _row_arrays(batch, i)
+                for order in range(ORDER, 2, -1):
+                    classes[order] += np.bincount(np.minimum(counts, 5), minlength=6)[:5]
+                    codes, counts = _shorter(codes, order - 1)
+                pairs[codes] += counts
+        used = np.flatnonzero(pairs)
+        rows = [(order, k, int(numbers[k])) for order, numbers in classes.items() for k in range(1, 5)]
+        rows += [(2, int(at), int(pairs[at])) for at in used]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(3)], ["kind", "at", "n"])
+
+    found = arrays.mapInArrow(run, "kind long, at long, n long").groupBy("kind", "at").agg(F.sum("n").alias("n")).toArrow()
+    kind, at, n = (found.column(c).to_numpy() for c in ("kind", "at", "n"))
+    classes = {order: np.zeros(5, np.int64) for order in range(3, ORDER + 1)}
+    for order, numbers in classes.items():
+        numbers[at[kind == order]] = n[kind == order]
+    pairs = np.zeros(65536, np.int64)
+    pairs[at[kind == 2]] = n[kind == 2]
+    return Smoothing.of(classes, pairs)
+
+
+def fit(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The model of all texts: ``g``, ``n``, ``value`` (minus the logarithm of its probability)
+    of every n-gram they have, and whether it is ``common``."""
+    arrays = written(stored_arrays(count_grams(docs, text)), "grams")
+    shared = docs.sparkSession.sparkContext.broadcast(smoothing(arrays))
 
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                codes, counts = _row_arrays(batch, i)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(codes), pa.array(counts), pa.array(shared.value.costs(codes, counts))], ["g", "n", "value"]
+                )
 
-def score(docs: DataFrame, model: WordModel, text: str = "text", keep_text: bool = True) -> DataFrame:
-    """Adds the base counts, ``base_failed`` and ``log_perplexity``, the mean of the words and the
-    end (null for a text without words)."""
-    made = {*COUNTS, "base_failed", "log_perplexity"}
-    kept = [c for c in docs.columns if c not in made and (keep_text or c != text)]
-    source = docs.select(*[col(c) for c in kept], col(text).alias("_text"))
+    values = arrays.mapInArrow(run, "g long, n long, value double")
+    total = arrays.select(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
+    return written(values.withColumn("common", F.col("n") * SHARE >= total), "values")
+
+
+class HashArrays:
+    """Values by key: keys sorted by their hash, and where each run of top bits begins."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        hashes = mixed(keys.view(np.uint64))
+        order = np.argsort(hashes)
+        self.bits = max(int(len(keys)).bit_length() + 1, 4)
+        tops = (hashes[order] >> np.uint64(64 - self.bits)).astype(np.int64)
+        self.start = np.searchsorted(tops, np.arange((1 << self.bits) + 1)).astype(np.int32)
+        self.keys, self.values = keys[order], values[order]
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values, 0 where the key is unknown, and whether it is known."""
+        top = (mixed(keys.view(np.uint64)) >> np.uint64(64 - self.bits)).astype(np.int64)
+        place, end = self.start[top], self.start[top + 1]
+        out, known = np.zeros(len(keys)), np.zeros(len(keys), bool)
+        open_ = np.flatnonzero(place < end)
+        while len(open_):
+            at = place[open_]
+            hit = self.keys[at] == keys[open_]
+            out[open_[hit]] = self.values[at[hit]]
+            known[open_[hit]] = True
+            open_ = open_[~hit]
+            place[open_] += 1
+            open_ = open_[place[open_] < end[open_]]
+        return out, known
+
+
+def _common(values: DataFrame) -> HashArrays:
+    found = values.where("common").select("g", "value").toArrow()
+    return HashArrays(found.column("g").to_numpy(), found.column("value").to_numpy())
+
+
+def score(docs: DataFrame, values: DataFrame, text: str = "text") -> DataFrame:
+    """All columns but the text, with the base counts, ``base_failed`` and the two perplexities'
+    logarithms, the mean cost of a byte and of a word (null for a text without words)."""
+    made = {*COUNTS, *MEASURES, "base_failed"}
+    source = docs.select(*[col(c) for c in docs.columns if c not in made and c != text], col(text).alias("_text"))
     schema = source.drop("_text").schema
+    names = [*schema.names, *COUNTS, "base_failed"]
     for name in COUNTS:
         schema = schema.add(name, "long")
-    schema = schema.add("base_failed", "boolean").add("_key", "long").add("_cost", "double").add("_size", "long")
-    spelling = model.spelling
-    spark = docs.sparkSession
-    near = spark.sparkContext.broadcast(_common(model))
-    sieve = spark.sparkContext.broadcast(_sieve(model))
+    schema = schema.add("base_failed", "boolean").add("_cost", "double").add("_size", "long").add("_rare", T.ArrayType(T.LongType()))
+    near = docs.sparkSession.sparkContext.broadcast(_common(values))
 
     def run(batches):
-        costs = _Costs.of(spelling)
-        common, value = near.value
         for batch in batches:
-            column = batch.column(batch.num_columns - 1)
-            for a, b, data, offsets in text_slices(column):
+            for a, b, data, offsets in text_slices(batch.column(batch.num_columns - 1), SLICE):
                 counts = text_counts(data, offsets)
-                found = Words.of(data, offsets, costs)
-                g, _, _, owner = found.grams()
-                at = np.minimum(np.searchsorted(common, g), max(len(common) - 1, 0))
-                hit = common[at] == g if len(common) else np.zeros(len(g), bool)
-                total = np.bincount(found.owner, found.costs, b - a)
-                total -= np.bincount(owner[hit], value[at[hit]], b - a)
+                codes = gram_codes(data, offsets)
+                cost, known = near.value.find(codes)
+                sums = np.concatenate(([0.0], np.cumsum(cost)))
+                rare = np.concatenate(([0], np.cumsum(~known)))[offsets].astype(np.int32)
                 failed = (counts["n_words"] < MIN_WORDS) | (
                     100 * counts["n_repeat_words"] > MAX_REPEAT_PERCENT * counts["n_words"]
                 )
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *batch.slice(a, b - a).columns[:-1],
-                        *[pa.array(counts[c]) for c in COUNTS],
-                        pa.array(failed), pa.array(found.keys.view(np.int64)), pa.array(total),
-                        pa.array(np.bincount(found.owner, minlength=b - a)),
+                        *batch.slice(a, b - a).columns[:-1], *[pa.array(counts[c]) for c in COUNTS], pa.array(failed),
+                        pa.array(sums[offsets[1:]] - sums[offsets[:-1]]), pa.array(np.diff(offsets)),
+                        pa.ListArray.from_arrays(pa.array(rare), pa.array(codes[~known])),
                     ],
                     names=schema.names,
                 )
 
-    def rare(batches):
-        costs = _Costs.of(spelling)
-        common, _ = near.value
-        bits = sieve.value
-        for batch in batches:
-            for _, _, data, offsets in text_slices(batch.column(0)):
-                found = Words.of(data, offsets, costs)
-                g, _, _, owner = found.grams()
-                has = (bits[g >> np.uint64(64 - SIEVE)] >> (g & np.uint64(63))) & np.uint64(1)
-                use = has.astype(bool)
-                g, owner = g[use], owner[use]
-                at = np.minimum(np.searchsorted(common, g), max(len(common) - 1, 0))
-                use = common[at] != g if len(common) else np.ones(len(g), bool)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(g[use].view(np.int64)), pa.array(found.keys.view(np.int64)[owner[use]])], ["g", "_key"]
-                )
-
-    # equal texts have one key; what is joined for all of them is shared out by their number
-    rows = source.mapInArrow(run, schema)
-    keys = source.select("_text").mapInArrow(lambda batches: (
-        pa.RecordBatch.from_arrays([pa.array(span_hashes(d, o[:-1], o[1:]).view(np.int64))], ["_key"])
-        for batch in batches for _, _, d, o in text_slices(batch.column(0))
-    ), "_key long").groupBy("_key").agg(F.count(F.lit(1)).alias("_copies"))
-    joined = source.select("_text").mapInArrow(rare, "g long, _key long").join(
-        model.values.where("NOT common").select("g", "value"), "g"
+    rows = written(source.mapInArrow(run, schema).withColumn("_row", F.monotonically_increasing_id()), "scoring")
+    rare = rows.select("_row", F.explode("_rare").alias("g")).join(values.where("NOT common").select("g", "value"), "g")
+    rest = rare.groupBy("_row").agg(F.sum("value").alias("_rest"))
+    cost = F.col("_cost") + F.coalesce("_rest", F.lit(0.0))
+    return rows.join(rest, "_row", "left").select(
+        *[col(c) for c in names],
+        F.when(F.col("n_words") > 0, cost / F.col("_size")).alias("log_perplexity"),
+        F.when(F.col("n_words") > 0, cost / F.col("n_words")).alias("log_word_perplexity"),
     )
-    found = joined.groupBy("_key").agg(F.sum("value").alias("_sum")).join(keys, "_key")
-    found = found.select("_key", (F.col("_sum") / F.col("_copies")).alias("_more"))
-    found = found.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    names = [c for c in schema.names if c not in ("_key", "_cost", "_size")]
-    part = F.pmod(F.xxhash64(*[col(c) for c in names]), F.lit(SALTS))
-    rows = rows.withColumn("_part", part.cast("int")).join(found, ["_key", "_part"], "left")
-    mean = (F.col("_cost") - F.coalesce("_more", F.lit(0.0))) / F.col("_size") - float(np.log(model.spared))
-    return rows.select(*[col(c) for c in names], F.when(F.col("_size") > 1, mean).alias("log_perplexity"))
 
 
 def bands(scored: DataFrame, lang: str = "lang") -> DataFrame:
-    """Quartiles of each language and their distance, from its texts that meet the base rules."""
-    quartiles = F.percentile_approx("log_perplexity", F.array(F.lit(0.25), F.lit(0.75)), F.lit(10_000))
-    found = (
-        scored.where(~F.col("base_failed"))
-        .groupBy(col(lang).alias("_band_lang"))
-        .agg(quartiles.alias("_q"))
-    )
-    return found.select(
-        "_band_lang", F.col("_q")[0].alias("_q1"), F.col("_q")[1].alias("_q3"),
-        (F.col("_q")[1] - F.col("_q")[0]).alias("_wide"),
-    )
+    """Lowest and highest accepted values for each language, before short texts' bands widen:
+    the quartiles of its texts that meet the base rules, and the reach beyond them."""
+    quartiles = [F.percentile_approx(m, F.array(F.lit(0.25), F.lit(0.75)), F.lit(10_000)).alias(f"_q_{m}") for m in MEASURES]
+    found = scored.where(~F.col("base_failed")).groupBy(col(lang).alias("_band_lang")).agg(*quartiles)
+    columns = []
+    for m in MEASURES:
+        down, up, least = REACH[m]
+        low, high = F.col(f"_q_{m}")[0], F.col(f"_q_{m}")[1]
+        columns += [
+            low.alias(f"_low_{m}"), high.alias(f"_high_{m}"),
+            F.greatest(F.lit(least), down * (high - low)).alias(f"_down_{m}"),
+            F.greatest(F.lit(least), up * (high - low)).alias(f"_up_{m}"),
+        ]
+    return found.select("_band_lang", *columns)
 
 
 def with_verdict(scored: DataFrame, limits: DataFrame, lang: str = "lang") -> DataFrame:
-    """Adds ``kept``. Limits are one row per language and are broadcast if they are few."""
+    """Adds ``kept``. Limits are one row per language."""
     limits = written(limits, "bands")
-    if limits.count() <= LANGS_BROADCAST:
-        limits = F.broadcast(limits)
     joined = scored.join(limits, col(lang).eqNullSafe(F.col("_band_lang")), "left")
     short = F.sqrt(F.greatest(F.lit(1.0), STEADY_WORDS / F.greatest("n_words", F.lit(1))))
-    down, up = (F.greatest(F.lit(LEAST_REACH), F.lit(r) * F.col("_wide")) for r in (REACH_DOWN, REACH))
-    low, high = F.col("_q1") - down * short, F.col("_q3") + up * short
-    inside = F.col("log_perplexity").between(low, high)
+    inside = F.lit(True)
+    for m in MEASURES:
+        low = F.col(f"_low_{m}") - F.col(f"_down_{m}") * short
+        high = F.col(f"_high_{m}") + F.col(f"_up_{m}") * short
+        inside = inside & F.col(m).between(low, high)
     kept = ~F.col("base_failed") & F.coalesce(inside, F.lit(False))
-    return joined.withColumn("kept", kept).drop("_band_lang", "_q1", "_q3", "_wide")
+    return joined.withColumn("kept", kept).drop(*limits.columns)
 
 
 def quality_report(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """All columns but the text, with the counts, ``base_failed``, ``log_perplexity``, ``kept``.
+    """All columns but the text, with the counts, ``base_failed``, the logarithms of the two
+    perplexities, ``kept``.
 
     A null text counts as empty and an empty text fails the base rule; a null language is a
     language of its own; repeated rows are judged alike; an empty table gives no rows.
     Columns that have one of the added names are replaced.
     """
-    scored = written(score(docs, fit_words(docs, text), text, keep_text=False), "scored")
+    scored = written(score(docs, fit(docs, text), text), "scored")
     return with_verdict(scored, bands(scored, lang), lang)
 
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows whose text is kept, with the columns of ``docs``.
 
-    Texts are scored once for the bands and again for the filter, which costs less than
-    writing or shuffling them.
+    A verdict belongs to a text and a language; the rejected ones are taken out by the text's
+    64-bit hash, so each text is scored once.
     """
     names = docs.columns
     plain = docs.select(*[col(c).alias(f"c{i}") for i, c in enumerate(names)])
     text, lang = f"c{names.index(text)}", f"c{names.index(lang)}"
-    model = fit_words(plain, text)
-    limits = bands(score(plain, model, text, keep_text=False), lang)
-    judged = with_verdict(score(plain, model, text), limits, lang).where("kept")
-    return judged.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
+    narrow = plain.select(F.col(text), F.col(lang), text_key(F.col(text)).alias("_key"))
+    judged = quality_report(narrow, text, lang).where("NOT kept")
+    rejected = written(judged.select("_key", F.col(lang).alias("_lang")).distinct(), "rejected")
+    keyed = plain.withColumn("_key", text_key(F.col(text)))
+    same = (keyed["_key"] == rejected["_key"]) & keyed[lang].eqNullSafe(rejected["_lang"])
+    kept = keyed.join(rejected, same, "left_anti")
+    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
