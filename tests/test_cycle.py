@@ -4,6 +4,7 @@ import os
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidegate.errors import LoadError
 from tidegate.functions.text import MESSAGE_LIMIT
@@ -336,3 +337,29 @@ def test_an_object_is_timed_on_its_own(spark, cycle):
     made._finish = lambda *plan: order.append(time.time()) or finish(*plan)
     rows = run(spark, made, 2, 4)
     assert rows[4].duration_seconds <= 1 and len(order) == 2
+
+
+def test_live_batches_take_late_rows_and_keep_few_files(spark, folder):
+    from tidegate.operators import monitor
+
+    schema = "source_system string, batch_id string, status string, source_row_count long, target_row_count long, start_time timestamp_ntz, end_time timestamp_ntz"
+    rows = spark.range(240).selectExpr(
+        "concat(if(id % 2 = 0, 'Shop', ' shop '), id % 3) AS source_system", "concat('B', id % 20) AS batch_id",
+        "if(id % 17 = 0, 'FAILED', if(id % 5 = 0, 'SKIPPED', 'SUCCESS')) AS status", "id AS source_row_count",
+        "if(id % 4 = 0, null, id) AS target_row_count",
+        "timestamp_ntz '2026-01-01' + make_interval(0, 0, 0, 0, id) AS start_time",
+        "timestamp_ntz '2026-01-02' + make_interval(0, 0, 0, 0, id) AS end_time",
+    )
+    seen = None
+    for arrival in range(8):  # the first batch's last rows come at the very end
+        part = rows.where(F.col("batch_id") == "B0") if arrival == 7 else rows.where(
+            (F.col("batch_id") != "B0") & (F.col("source_row_count") % 7 == arrival))
+        part.coalesce(1).write.mode("append").parquet(folder + "/in")
+        incoming = spark.readStream.schema(schema).parquet(folder + "/in")
+        rollup.write_batches(incoming, folder + "/t", folder + "/c", fold_after=3)
+        seen = part if seen is None else seen.unionByName(part)
+        names = monitor.SUMMARY
+        got = rollup.current_batches(spark, folder + "/t").select(*names)
+        expected = monitor.source_batch(seen).select(*names)
+        assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+        assert len(os.listdir(folder + "/t")) <= 4

@@ -82,6 +82,19 @@ def _sums() -> list[Column]:
     ]
 
 
+def batch_figures() -> list[Column]:
+    """The figures of a group of audit rows; all can be merged, so streams may keep them."""
+    return _sums()
+
+
+def from_figures(batches: DataFrame) -> DataFrame:
+    """The summary from figures per ``_name`` and ``batch_id`` that carry a spelling ``_text``."""
+    names = batches.groupBy("_name").agg(F.min("_text").alias("source_system"))
+    return (
+        batches.join(names, "_name").withColumn("source_status", _status_of("_severity")).select(*SUMMARY)
+    )
+
+
 def _summarise(named: DataFrame, display_names: DataFrame) -> DataFrame:
     batches = named.groupBy("_name", "batch_id").agg(*_sums())
     return (

@@ -274,28 +274,34 @@ def resumable_copy(source: DataFrame, copied: DataFrame, key: str) -> DataFrame:
     return source if last is None else source.where(F.col(key) > F.lit(last))
 
 
-def range_ledger(df: DataFrame, key: str, width: int, columns: list[str]) -> DataFrame:
-    """Rows and checksums of each fixed range of ``width`` ids; NULL ids are a range of their own."""
-    return df.groupBy(_range_of(key, width)).agg(
+def range_ledger(df: DataFrame, place: Column, columns: list[str]) -> DataFrame:
+    """Rows and checksums of each range."""
+    return df.groupBy(place.alias("_range")).agg(
         F.count(F.lit(1)).alias("row_count"),
         *[part.alias(name) for name, part in _fingerprint_parts(_row_hash(columns)).items()],
     )
 
 
 def _range_of(key: str, width: int) -> Column:
+    """Number of the fixed range of ``width`` ids; NULL ids are a range of their own."""
     number = F.col(key).cast("bigint")
     return ((number - F.pmod(number, F.lit(width))) / F.lit(width)).cast("bigint").alias("_range")
 
 
-def open_ranges(source: DataFrame, copied: DataFrame, key: str, width: int) -> DataFrame:
+def open_ranges(
+    source: DataFrame, copied: DataFrame, key: str, width: int, kept_in: str | None = None
+) -> DataFrame:
     """Ranges whose rows differ between source and copy: ``_range`` and the rows on either side.
 
     Holes, half-written ranges and changed or surplus rows all show; only ledgers are shuffled.
+    The copy's rows belong to the range that column ``kept_in`` names, if it is given.
     """
-    columns = source.columns
+    columns, place = source.columns, _range_of(key, width)
     sides = [
-        range_ledger(df.select(*columns), key, width, columns).withColumn("_side", F.lit(side))
-        for df, side in ((source, "S"), (copied, "C"))
+        range_ledger(df, where, columns).withColumn("_side", F.lit(side))
+        for df, where, side in (
+            (source, place, "S"), (copied, F.col(kept_in) if kept_in else place, "C")
+        )
     ]
     both = sides[0].unionByName(sides[1])
     digest = F.struct("row_count", "xor", *[f"lane{shift}" for shift in LANES])
@@ -321,7 +327,7 @@ def complete_copy(source: DataFrame, target: str, key: str, width: int) -> DataF
         there = spark.read.schema(schema).parquet(target)
     else:
         there = spark.createDataFrame([], schema)
-    todo = open_ranges(source, there.select(*source.columns), key, width).checkpoint()
+    todo = open_ranges(source, there, key, width, "_range").checkpoint()
     wanted = source.withColumn("_range", _range_of(key, width)).join(
         todo.where("source_rows > 0").select(F.col("_range").alias("_open")),
         F.col("_range").eqNullSafe(F.col("_open")), "left_semi",

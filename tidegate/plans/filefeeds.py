@@ -11,7 +11,7 @@ from tidegate.functions.temporal import utc_text
 from tidegate.operators import bronze, landing, reconcile, requests
 from tidegate.operators import configs as config_ops
 from tidegate.operators.lineage import stamp_file_lineage, stamp_lineage
-from tidegate.plans import frames
+from tidegate.plans import frames, monitoring
 from tidegate.plans.frames_sql import AUDIT, with_tables
 from tidegate.plans.ingest import LoadCycle
 from tidegate.plans.loading import INSTANT
@@ -279,6 +279,27 @@ SELECT date_trunc('hour', start_time) AS hour_start,
 FROM audit GROUP BY 1, 2""",
 )
 
+ARRIVALS = 7
+
+
+def stream_source_batch(spark, folder):
+    """Source × batch figures of audit rows that come in several arrivals, some of them very late.
+
+    Every seventh row of each batch comes last, long after all batches have been seen.
+    """
+    arrivals, table = work_folder(spark, "arrivals"), work_folder(spark, "batches")
+    facts = frames.audit(spark, folder)
+    wave = F.pmod(F.col("ingestion_log_id"), F.lit(ARRIVALS))
+    for number in range(ARRIVALS):
+        facts.where(wave == number).coalesce(1).write.mode("append").parquet(arrivals)
+    incoming = spark.readStream.schema(facts.schema).option("maxFilesPerTrigger", 1).parquet(arrivals)
+    rollup.write_batches(incoming, table, work_folder(spark, "stream-state"), fold_after=3)
+    return rollup.current_batches(spark, table)
+
+
+SQL["stream_source_batch"] = monitoring.SQL["monitor_source_batch"]
+
+
 def run_all(spark, folder):
     """Eight objects twice: everything loads, then only the full loads repeat."""
     outcome, _ = run_all_twice(spark, folder)
@@ -358,6 +379,6 @@ SELECT 'B2', source_object, CASE WHEN moving THEN 'SKIPPED' ELSE 'SUCCESS' END,
 
 for _query in (
     file_discovery, file_window, delimited_read, file_lineage, landing_manifest, landing_gate,
-    landed_gate, stream_file_feed, stream_audit_rollup, run_all,
+    landed_gate, stream_file_feed, stream_audit_rollup, stream_source_batch, run_all,
 ):
     QUERIES[_query.__name__] = _query

@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from tidegate.operators import bronze
 from tidegate.operators.lineage import stamp_lineage
-from tidegate.operators.reconcile import content_reconcile, contiguity, resumable_copy
+from tidegate.operators.reconcile import complete_copy, content_reconcile, contiguity, resumable_copy
 from tidegate.plans import frames
 from tidegate.plans.ingest import LoadCycle
 from tidegate.plans.store import ControlStore
@@ -242,6 +242,40 @@ SELECT count(*) AS row_count, count(*) AS left_count, count(*) AS right_count,
   count(*) = max(o_orderkey) + 1 AS is_contiguous, false AS exceeds_target FROM orders"""
 
 
+RANGE = 500
+
+
+def completed_copy(spark, folder):
+    """A copy by id range with a hole in the middle, a half-written range, doubled rows and a
+    range too many, brought to the source's rows; what was open then, and that nothing is now."""
+    target = work_folder(spark, "ranges")
+    source = frames.table(spark, folder, "orders").withColumn("id", F.col("o_orderkey") + 1)
+    place = F.expr(f"id div {RANGE}")
+    copy = source.withColumn("_range", place)
+    half = (F.col("_range") == 2) & (F.col("id") % 2 == 0)
+    broken = copy.where(~F.col("_range").isin(1, 2) | half).unionByName(copy.where(F.col("_range") == 0))
+    extra = copy.where(F.col("_range") == 1).withColumn("_range", F.lit(1_000_000).cast("long"))
+    extra = extra.withColumn("id", F.col("id") + 1_000_000 * RANGE)
+    broken.unionByName(extra).write.partitionBy("_range").parquet(target)
+    opened = complete_copy(source, target, "id", RANGE)
+    copied = spark.read.parquet(target).select(*source.columns)
+    checked = content_reconcile(source, copied, source.columns)
+    result = checked.first()
+    return opened.select(
+        F.col("_range").alias("range_id"), "source_rows", "copied_rows",
+        F.lit(result.counts_equal).alias("counts_equal"), F.lit(result.checksum_equal).alias("checksum_equal"),
+    )
+
+
+SQL["completed_copy"] = f"""
+WITH each AS (SELECT (o_orderkey + 1) // {RANGE} AS r, count(*) AS n,
+  count(CASE WHEN (o_orderkey + 1) % 2 = 0 THEN 1 END) AS even FROM orders GROUP BY 1)
+SELECT CASE k WHEN 3 THEN 1000000 ELSE r END AS range_id, CASE k WHEN 3 THEN 0 ELSE n END AS source_rows,
+  CASE k WHEN 0 THEN 2 * n WHEN 1 THEN 0 WHEN 2 THEN even ELSE n END AS copied_rows,
+  true AS counts_equal, true AS checksum_equal
+FROM each JOIN (VALUES (0, 0), (1, 1), (2, 2), (3, 1)) v(k, p) ON p = r"""
+
+
 def load_cycle(spark, folder):
     """Three runs of one incremental object: load, nothing new, backfill."""
     root = work_folder(spark, "cycle")
@@ -302,7 +336,7 @@ FROM (SELECT 'B0' AS batch_id, 'REGULAR' AS run_type, 'SUCCESS' AS status,
 for _query in (
     full_load, lineage_stamp, incremental_window, source_upper_bound, range_partition_extract,
     range_window_extract, bronze_append, committed_read, compensating_delete, orphan_executions, nested_append,
-    resumed_copy, load_cycle,
+    resumed_copy, completed_copy, load_cycle,
 ):
     QUERIES[_query.__name__] = _query
 QUERIES["resumable_copy"] = QUERIES.pop("resumed_copy")
