@@ -363,3 +363,32 @@ def test_live_batches_take_late_rows_and_keep_few_files(spark, folder):
         expected = monitor.source_batch(seen).select(*names)
         assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
         assert len(os.listdir(folder + "/t")) <= 4
+
+
+def test_arrivals_are_written_and_taken_by_many_tasks(spark, folder, monkeypatch):
+    from tidegate.plans import filefeeds
+
+    spark.range(0, 700, 1, 4).selectExpr(
+        "nullif(id, 13) AS event_id", "timestamp_ntz '2026-01-01' + make_interval(0, 0, 0, 0, id % 9) AS ts",
+        "id % 10 AS user_id", "if(id % 6 = 0, 'error', 'click') AS event_type", "CAST(id % 50 AS double) AS value",
+        "concat('{\"k\": ', id % 30, '}') AS props",
+    ).write.parquet(folder + "/events.parquet")
+    monkeypatch.setattr(filefeeds, "work_folder", lambda spark, label: f"{folder}/{label}")
+    wide = {"spark.sql.files.openCostInBytes": "128m", "spark.sql.shuffle.partitions": "40"}  # a task per file
+    before = {name: spark.conf.get(name) for name in wide}
+    for name, value in wide.items():
+        spark.conf.set(name, value)
+    try:
+        got = filefeeds.stream_source_batch(spark, folder).select(*monitor.SUMMARY).collect()
+    finally:
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    expected = monitor.source_batch(filefeeds.frames.audit(spark, folder)).select(*monitor.SUMMARY).collect()
+    assert sorted(map(str, got)) == sorted(map(str, expected)) and sum(r.object_count for r in got) == 700
+    files = [name for name in os.listdir(folder + "/arrivals") if name.endswith(".parquet")]
+    assert len(files) == 4 * filefeeds.ARRIVALS
+    taken = [name for name in os.listdir(folder + "/stream-state/commits") if name.isdigit()]
+    assert len(taken) == filefeeds.ARRIVALS
+    kept = [name for name in os.listdir(folder + "/stream-state/state/0") if name.isdigit()]
+    assert len(kept) == min(40, spark.sparkContext.defaultParallelism)

@@ -285,15 +285,17 @@ ARRIVALS = 7
 def stream_source_batch(spark, folder):
     """Source × batch figures of audit rows that come in several arrivals, some of them very late.
 
-    Every seventh row of each batch comes last, long after all batches have been seen.
+    Every seventh row of each batch comes last, long after all batches have been seen. An arrival
+    is written by all tasks that read it, and the stream is resumed to take it as one micro-batch.
     """
     arrivals, table = work_folder(spark, "arrivals"), work_folder(spark, "batches")
+    state = work_folder(spark, "stream-state")
     facts = frames.audit(spark, folder)
-    wave = F.pmod(F.col("ingestion_log_id"), F.lit(ARRIVALS))
+    wave = F.coalesce(F.pmod(F.col("ingestion_log_id"), F.lit(ARRIVALS)), F.lit(0))
     for number in range(ARRIVALS):
-        facts.where(wave == number).coalesce(1).write.mode("append").parquet(arrivals)
-    incoming = spark.readStream.schema(facts.schema).option("maxFilesPerTrigger", 1).parquet(arrivals)
-    rollup.write_batches(incoming, table, work_folder(spark, "stream-state"), fold_after=3)
+        facts.where(wave == number).write.mode("append").parquet(arrivals)
+        incoming = spark.readStream.schema(facts.schema).parquet(arrivals)
+        rollup.write_batches(incoming, table, state, fold_after=3)
     return rollup.current_batches(spark, table)
 
 

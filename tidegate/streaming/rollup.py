@@ -85,12 +85,20 @@ def write_batches(audit: DataFrame, table: str, checkpoint: str, fold_after: int
         if (epoch + 1) % fold_after == 0:
             _fold(rows.sparkSession, table, epoch)
 
-    query = (
-        live_batches(audit).writeStream.outputMode("update").foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    # every state partition commits files with each micro-batch: one a core, however wide shuffles are;
+    # the stream copies the session as it starts, and a resumed one keeps the number it began with
+    session, setting = audit.sparkSession, "spark.sql.shuffle.partitions"
+    width = session.conf.get(setting)
+    session.conf.set(setting, min(int(width), session.sparkContext.defaultParallelism))
+    try:
+        query = (
+            live_batches(audit).writeStream.outputMode("update").foreachBatch(store)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        session.conf.set(setting, width)
     query.awaitTermination()
 
 
